@@ -32,7 +32,8 @@ def nearest_listed(points: DataFrame, anchors: DataFrame, *, km: str = "km") ->
     own = _names(anchors)
     listed = anchors.dropna("any", subset=["lat", "lon"]).agg(F.collect_list(
         F.struct("lat", "lon", F.struct(*own).alias("own"))).alias("a")).scalar()
-    measured = points.withColumn("__d", F.transform(listed, lambda a: F.struct(
+    measured = points.withColumn("__a", listed)
+    measured = measured.withColumn("__d", F.transform("__a", lambda a: F.struct(
         great_circle_km(F.col("lat"), F.col("lon"), a["lat"], a["lon"]).alias("km"),
         a["own"].alias("own"))))
     best = measured.withColumn("__m", F.array_min(F.transform("__d", lambda d: d["km"])))
@@ -98,7 +99,8 @@ def nearest_descent(points: DataFrame, anchors: DataFrame, *, km: str = "km",
     def reachable(near, best):
         return near <= best * (1 + 1e-9) + 1e-14
 
-    front = located(points, "plat", "plon").withColumn("__c", F.transform(listed, measure))
+    front = located(points, "plat", "plon").withColumn("__a", listed)
+    front = front.withColumn("__c", F.transform("__a", measure))
     front = front.withColumn("__b", F.array_min(F.transform("__c", lambda c: c["far"])))
     front = front.withColumn("__c", F.explode(
         F.filter("__c", lambda c: reachable(c["near"], F.col("__b")))))

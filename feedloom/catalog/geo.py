@@ -110,16 +110,16 @@ def point_parse(spark, sf):
 
 _BOX_SQL = f"""b AS (SELECT s.station, least(s.lat, t.lat) AS south, least(s.lon, t.lon) AS west,
   greatest(s.lat, t.lat) AS north, greatest(s.lon, t.lon) AS east
-  FROM s JOIN (SELECT station, lat + ((station % 7) - 3) * 0.004::DOUBLE AS lat,
-                      lon + ((station % 5) - 2) * 0.003::DOUBLE AS lon FROM s) t USING (station))"""
+  FROM s JOIN (SELECT station, lat + ((station % 7) - 3) * 0.04::DOUBLE AS lat,
+                      lon + ((station % 5) - 2) * 0.03::DOUBLE AS lon FROM s) t USING (station))"""
 
 
 def _boxes(spark, sf):
     s = _anchors(spark, sf)
     here = F.struct("lat", "lon")
     there = F.struct(
-        (F.col("lat") + ((F.col("station") % 7) - 3) * F.lit(0.004)).alias("lat"),
-        (F.col("lon") + ((F.col("station") % 5) - 2) * F.lit(0.003)).alias("lon"))
+        (F.col("lat") + ((F.col("station") % 7) - 3) * F.lit(0.04)).alias("lat"),
+        (F.col("lon") + ((F.col("station") % 5) - 2) * F.lit(0.03)).alias("lon"))
     return s.select("station", P.bounding_box(here, there).alias("box"))
 
 

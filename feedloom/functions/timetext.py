@@ -17,11 +17,8 @@ def canonical(c) -> Column:
 
     Works on text slices, so the session time zone plays no part. Bad text gives NULL.
     """
-    s = _col(c).try_cast("timestamp_ntz").cast("string")
-    return F.concat(
-        F.substring(s, 1, 10), F.lit("T"),
-        F.substring(s, 12, 2), F.substring(s, 15, 2), F.substring(s, 18, 2),
-    )
+    s = F.substring(_col(c).try_cast("timestamp_ntz").cast("string"), 1, 19)
+    return F.translate(s, " :", "T")
 
 
 def to_ntz(c) -> Column:

@@ -11,8 +11,7 @@ TOTAL = "Total"
 def mean_profile(df: DataFrame, keys: list, measures: list[str]) -> DataFrame:
     """Mean of each measure per key, an absent value counting as zero."""
     return df.groupBy(*keys).agg(*[
-        F.avg(F.coalesce(F.col(f"`{m}`").cast("double"), F.lit(0.0))).alias(m)
-        for m in measures
+        F.expr(f"avg(coalesce(CAST(`{m}` AS DOUBLE), 0D)) AS `{m}`") for m in measures
     ]).fillna(0)
 
 

@@ -6,13 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def names(columns) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` of each key.
 
     An aggregate, not a window: every task first reduces its own rows to one per key, so a
     key with very many rows never meets in one task. ``order`` should be total.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rank = F.struct(*[F.col(f"`{c}`") for c in order])
-    keyed = df.groupBy(*[F.col(f"`{k}`").alias(f"__key_{i}") for i, k in enumerate(keys)])
-    return keyed.agg(F.max_by(row, rank).alias("__row")).select("__row.*")
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    row = F.expr(f"max_by(struct({names(rest)}), struct({names(order)})) AS __row")
+    # Keys come from the grouping, so a join on them needs no further exchange.
+    last = df.groupBy(*[f"`{k}`" for k in keys]).agg(row)
+    return last.select(*[f"`{c}`" if c in keys else f"__row.`{c}`" for c in df.columns])

@@ -7,22 +7,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def q(name: str):
-    return F.col(f"`{name}`")
-
-
 def melt(df: DataFrame, ids: list[str], values: list[str], *, name: str = "variable",
          value: str = "value") -> DataFrame:
     """One row per id row and value column; NULL values stay."""
-    return df.unpivot([q(c) for c in ids], [q(c) for c in values], name, value)
+    return df.unpivot([f"`{c}`" for c in ids], [f"`{c}`" for c in values], name, value)
 
 
 def paired_unpivot(df: DataFrame, ids: list[str], stems: list[str], indexes, *,
                    index_name: str = "direction") -> DataFrame:
     """Columns ``stem_1 .. stem_n`` to rows ``(index, stem...)``; incomplete rows drop."""
-    slots = [F.struct(F.lit(i).cast("long").alias(index_name),
-                      *[q(f"{s}_{i}").alias(s) for s in stems]) for i in indexes]
-    long = df.select(*[q(c) for c in ids], F.inline(F.array(*slots)))
+    slots = [f"named_struct('{index_name}', {i}L, "
+             + ", ".join(f"'{s}', `{s}_{i}`" for s in stems) + ")" for i in indexes]
+    long = df.selectExpr(*[f"`{c}`" for c in ids], f"inline(array({', '.join(slots)}))")
     return long.dropna("any", subset=stems)
 
 
@@ -40,7 +36,7 @@ def ranked_pivot(df: DataFrame, keys: list[str], order: list, values: list[str],
         g = W.partitionBy(*keys).orderBy(*within)
         top = top.withColumn("__grp", F.dense_rank().over(g)).filter(F.col("__grp") == 1)
     return top.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("__rn") == i, q(v))).alias(f"{v}_{i}")
+        F.expr(f"max(CASE WHEN __rn = {i} THEN `{v}` END) AS `{v}_{i}`")
         for i in range(1, n + 1) for v in values
     ])
 
@@ -48,10 +44,10 @@ def ranked_pivot(df: DataFrame, keys: list[str], order: list, values: list[str],
 def group_reshape(df: DataFrame, ids: list[str], groups: list[str], columns: dict, *,
                   name: str) -> DataFrame:
     """One row per group: ``columns`` maps an output name to ``group -> input column``."""
-    slots = [F.struct(F.lit(g).alias(name),
-                      *[q(source(g)).alias(out) for out, source in columns.items()])
+    slots = [f"named_struct('{name}', '{g}', "
+             + ", ".join(f"'{out}', `{source(g)}`" for out, source in columns.items()) + ")"
              for g in groups]
-    return df.select(*[q(c) for c in ids], F.inline(F.array(*slots)))
+    return df.selectExpr(*[f"`{c}`" for c in ids], f"inline(array({', '.join(slots)}))")
 
 
 def name_tail(c, sep: str = "_"):
@@ -62,7 +58,7 @@ def name_tail(c, sep: str = "_"):
 
 def rename(df: DataFrame, how) -> DataFrame:
     """Every column through a function of its name."""
-    return df.select(*[q(c).alias(how(c)) for c in df.columns])
+    return df.toDF(*[how(c) for c in df.columns])
 
 
 def prefix(df: DataFrame, text: str, *, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -73,7 +69,7 @@ def place(df: DataFrame, column: str, position: int) -> DataFrame:
     """Moves a column to a zero-based position."""
     order = [c for c in df.columns if c != column]
     order.insert(position, column)
-    return df.select(*[q(c) for c in order])
+    return df.select(*[f"`{c}`" for c in order])
 
 
 def stack_all(frames: list[DataFrame]) -> DataFrame:

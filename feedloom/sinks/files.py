@@ -15,8 +15,8 @@ def conform(df: DataFrame, schema=WAREHOUSE) -> DataFrame:
     missing = [n for n in schema.fieldNames() if n not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the wide table: {missing}")
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields])
 
 
 def key_violations(df: DataFrame, keys) -> DataFrame:

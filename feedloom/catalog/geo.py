@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feedloom.catalog.base import query, table
 from feedloom.functions import points as P
 from feedloom.operators.boxes import points_in_boxes
-from feedloom.operators.nearest import nearest_descent, nearest_listed
+from feedloom.operators.nearest import nearest, nearest_descent
 from feedloom.plans.cameras import camera_mapping
 
 
@@ -70,9 +70,9 @@ def _rounded(df):
     return df.withColumn("km", F.round("km", 4))
 
 
-@query("nearest_listed", _NEAREST)
-def nearest_listed_query(spark, sf):
-    return _rounded(nearest_listed(_points(spark, sf), _anchors(spark, sf)))
+@query("nearest_anchor", _NEAREST)
+def nearest_anchor(spark, sf):
+    return _rounded(nearest(_points(spark, sf), _anchors(spark, sf)))
 
 
 @query("nearest_descent", _NEAREST)

@@ -19,7 +19,7 @@ def nearest(points: DataFrame, anchors: DataFrame, *, small_rows: int = SMALL_RO
     """``points(.., lat, lon)`` and ``anchors(.., lat, lon)`` with further columns of their
     own. Returns the columns of both but the coordinates, and the distance."""
     if has_at_most(anchors, small_rows):
-        return nearest_listed(points, anchors, km=km)
+        return _nearest_listed(points, anchors, km)
     return nearest_descent(points, anchors, km=km)
 
 
@@ -27,8 +27,8 @@ def _names(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("lat", "lon")]
 
 
-def nearest_listed(points: DataFrame, anchors: DataFrame, *, km: str = "km") -> DataFrame:
-    """Few anchors: each task holds them as one array, so nothing is shuffled."""
+def _nearest_listed(points: DataFrame, anchors: DataFrame, km: str) -> DataFrame:
+    """Anchors known to be few: each task holds them as one array, nothing is shuffled."""
     own = _names(anchors)
     listed = anchors.dropna("any", subset=["lat", "lon"]).agg(F.collect_list(
         F.struct("lat", "lon", F.struct(*own).alias("own"))).alias("a")).scalar()

@@ -13,9 +13,6 @@ from feedloom.operators.reshape import paired_unpivot, prefix
 from feedloom.schemas import TS
 from feedloom.sources.payloads import flatten
 
-_STATION = ("station_id", "station_loc", "station_name")
-
-
 def _item():
     return F.try_element_at(F.col("payload.items"), F.lit(1))
 
@@ -24,22 +21,37 @@ def _loc(c):
     return point_text(c["latitude"], c["longitude"])
 
 
+# Readings beside the stations of the same document, then stations without a reading.
+_BESIDE = """inline(concat(
+  flatten(transform(readings, r -> if(exists(stations, s -> s.id = r.station_id),
+    transform(filter(stations, s -> s.id = r.station_id),
+              s -> named_struct('station_id', r.station_id, 'value', r.value, 'station', s)),
+    array(named_struct('station_id', r.station_id, 'value', r.value, 'station', nothing))))),
+  transform(filter(stations, s -> NOT exists(readings, r -> r.station_id = s.id)),
+            s -> named_struct('station_id', s.id, 'value', CAST(NULL AS DOUBLE), 'station', s))))
+"""
+
+
 def readings(payloads: DataFrame, kind: str) -> DataFrame:
-    """Values of one reading kind beside their stations; neither side drops a row."""
-    field = f"{kind}_realtime"
+    """Values of one reading kind beside their stations; neither side drops a row.
+
+    Both sides sit in the same document, so the outer join stays inside the row.
+    """
     item = payloads.select(TS, _item().alias("item"), "payload.metadata.stations")
-    values = item.select(
-        TS, canonical(F.col("item.timestamp")).alias("timestamp"),
-        F.explode("item.readings").alias("r")).select(
-        TS, "timestamp", F.col("r.station_id").cast("string").alias("station_id"),
-        F.col("r.value").alias(field))
-    stations = item.select(
+    both = item.select(
         TS, canonical(F.col("item.timestamp")).alias("timestamp"),
-        F.explode("stations").alias("s")).select(
-        TS, "timestamp", F.col("s.id").cast("string").alias("station_id"),
-        _loc(F.col("s.location")).alias("station_loc"), F.col("s.name").alias("station_name"))
-    merged = outer_merge(values, stations, [TS, "timestamp", "station_id"])
-    return merged.select("timestamp", *_STATION, field, TS)
+        F.coalesce("item.readings", F.array()).alias("readings"),
+        F.coalesce("stations", F.array()).alias("stations"),
+    ).withColumn("nothing", F.lit(None).cast(_station_type()))
+    rows = both.selectExpr(TS, "timestamp", _BESIDE)
+    located = F.when(F.col("station").isNotNull(), _loc(F.col("station.location")))
+    return rows.select(
+        "timestamp", "station_id", located.alias("station_loc"),
+        F.col("station.name").alias("station_name"), F.col("value").alias(f"{kind}_realtime"), TS)
+
+
+def _station_type():
+    return S.PAYLOAD_READINGS["metadata"].dataType["stations"].dataType.elementType
 
 
 def rainfall(payloads: DataFrame) -> DataFrame:
@@ -56,18 +68,17 @@ def non_rainfall(by_kind: dict[str, DataFrame]) -> DataFrame:
 
 def forecast_2hr(payloads: DataFrame) -> DataFrame:
     """Forecast per area; an area needs both a forecast and a location."""
-    base = payloads.select(TS, _item().alias("item"), "payload.area_metadata")
-    values = base.select(
+    base = payloads.select(
+        TS, _item().alias("item"), "payload.area_metadata").select(
         TS, canonical(F.col("item.valid_period.start")).alias("2hr_start"),
         canonical(F.col("item.valid_period.end")).alias("2hr_end"),
-        F.explode("item.forecasts").alias("f")).select(
-        TS, "2hr_start", "2hr_end", F.col("f.area").alias("2hr_forecast_area"),
-        F.col("f.forecast").alias("2hr_forecast_value"))
-    areas = base.select(TS, F.explode("area_metadata").alias("a")).select(
-        TS, F.col("a.name").alias("2hr_forecast_area"),
-        _loc(F.col("a.label_location")).alias("2hr_forecast_area_loc"))
-    return values.join(areas, [TS, "2hr_forecast_area"]).select(
-        *S.FORECAST_2HR.fieldNames())
+        F.explode("item.forecasts").alias("f"), "area_metadata")
+    pairs = base.select("*", F.explode(F.filter(
+        "area_metadata", lambda a: a["name"] == F.col("f.area"))).alias("a"))
+    return pairs.select(
+        F.col("f.area").alias("2hr_forecast_area"),
+        _loc(F.col("a.label_location")).alias("2hr_forecast_area_loc"),
+        F.col("f.forecast").alias("2hr_forecast_value"), "2hr_start", "2hr_end", TS)
 
 
 def _general(item) -> list:

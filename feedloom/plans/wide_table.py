@@ -48,17 +48,20 @@ def build_wide_table(feeds: Feeds, mode: str = "all", as_of=None, *, unique: boo
 
     The congestion feed leads: the table has no row without one, so the grid of snapshots
     and cameras never needs to exist. The day slice is applied to every feed, which prunes
-    their folders. Narrow readings join before the wide forecasts.
+    their folders. Narrow readings join before the wide forecasts. The complete snapshots
+    restrict the four-day forecast, one row per snapshot, whose inner join restricts the
+    rest: the large side is not shuffled for them.
     """
     feeds = feeds.map_facts(lambda df: slice_day(df, mode, as_of))
     if snapshots is None:
         snapshots = complete_snapshots(feeds)
     if mode == "latest":
         snapshots = slice_latest(snapshots)
+        feeds = feeds.map_facts(lambda df: df.join(snapshots, TS, "left_semi"))
 
     cams = N.camera_map(feeds.camera_map).join(N.route_keys(feeds.routes), "cam_id")
-    base = N.congestion(feeds.congestion, unique=unique).join(snapshots, TS, "left_semi")
-    base = base.join(cams, ["cam_id", "direction"])
+    base = N.congestion(feeds.congestion, unique=unique).join(cams, ["cam_id", "direction"])
+    days = N.forecast_4day(feeds.forecast_4day).join(snapshots, TS, "left_semi")
     out = (
         base.join(N.rainfall(feeds.rainfall, unique=unique), [TS, "rainfall_station_id"], "left")
         .join(N.non_rainfall(feeds.non_rainfall, unique=unique),
@@ -66,6 +69,6 @@ def build_wide_table(feeds: Feeds, mode: str = "all", as_of=None, *, unique: boo
         .join(N.forecast_2hr(feeds.forecast_2hr, unique=unique),
               [TS, "two_hr_forecast_area"], "left")
         .join(N.forecast_24hr(feeds.forecast_24hr, unique=unique), [TS, "compass"])
-        .join(N.forecast_4day(feeds.forecast_4day), TS)
+        .join(days, TS)
     )
     return conform(out, WAREHOUSE)

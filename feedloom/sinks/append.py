@@ -20,15 +20,19 @@ def new_rows(batch: DataFrame, target: DataFrame, keys=WAREHOUSE_KEY, *,
     return once.join(target.select(*keys).distinct(), keys, "left_anti")
 
 
-def append_new(batch: DataFrame, path: str, keys=WAREHOUSE_KEY, *, ts: str = TS) -> None:
-    """Append to the Parquet table at ``path``; reads only the days the batch touches."""
-    spark = batch.sparkSession
-    target = read_if_present(spark, path)
+def append_new(batch: DataFrame, path: str, keys=WAREHOUSE_KEY, *, ts: str = TS,
+               days: DataFrame | None = None) -> None:
+    """Append to the Parquet table at ``path``; reads only the days the batch touches.
+
+    ``days`` lists them as ``dt`` where the caller knows them more cheaply.
+    """
+    target = read_if_present(batch.sparkSession, path)
     if target is None:
         rest = [c for c in batch.columns if c not in keys]
         write_table(keep_last(batch, list(keys), rest), path, ts=ts)
         return
-    days = with_day(batch, ts).select("dt").distinct()
+    if days is None:
+        days = with_day(batch, ts).select("dt").distinct()
     touched = target.join(days, "dt", "left_semi")
     write_table(new_rows(batch, touched, keys), path, ts=ts)
 

@@ -59,3 +59,12 @@ def compact(spark: SparkSession, landing: str, out: str, feed: str, *,
     rows = read_csv_by_name(spark, landing, spec.schema, glob=feed_glob(feed))
     merged = merge_snapshots(rows, spec.keys if dedupe else (), per_snapshot=per_snapshot)
     write_table(merged, out, mode="errorifexists")
+
+
+def compact_landed(spark: SparkSession, table: str, out: str, feed: str, *,
+                   dedupe: bool = False, per_snapshot: bool = True) -> None:
+    """Rewrite a streamed table, whose batches left many small files."""
+    rows = spark.read.parquet(table).drop("dt", "batch")
+    keys = FEEDS[feed].keys if dedupe else ()
+    write_table(merge_snapshots(rows, keys, per_snapshot=per_snapshot), out,
+                mode="errorifexists")

@@ -9,6 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from feedloom.plans.wide_table import Feeds, build_wide_table, complete_snapshots
 from feedloom.schemas import TS
+from feedloom.session import cut_lineage
 from feedloom.sinks.append import append_new
 from feedloom.sources.csvfeeds import with_day
 from feedloom.streaming.landing import start
@@ -16,11 +17,11 @@ from feedloom.streaming.landing import start
 
 def touched_feeds(feeds: Feeds, touched: DataFrame) -> Feeds:
     """Rows of the touched snapshots; the day column lets Spark prune folders."""
-    days = with_day(touched.select(TS).distinct())
+    stamps = with_day(touched.select(TS).distinct())
 
     def narrow(df: DataFrame) -> DataFrame:
         on = ["dt", TS] if "dt" in df.columns else [TS]
-        return df.join(days.select(*on), on, "left_semi")
+        return df.join(stamps.select(*on), on, "left_semi")
 
     return feeds.map_facts(narrow)
 
@@ -50,6 +51,8 @@ def fuse_stream(spark: SparkSession, tables: dict[str, str], routes: DataFrame,
         session = batch.sparkSession
         feeds = Feeds(**{n: session.read.parquet(tables[n]) for n in Feeds.FACTS},
                       routes=routes, camera_map=camera_map)
-        append_new(fuse_touched(feeds, batch), target)
+        touched = cut_lineage(batch.select(TS).distinct())
+        days = with_day(touched).select("dt").distinct()
+        append_new(fuse_touched(feeds, touched), target, days=days)
 
     return start(arrivals, each, checkpoint, every=every)

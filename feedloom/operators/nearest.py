@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedloom.functions.points import great_circle_km, unit_vector
-from feedloom.session import SMALL_ROWS, cut_lineage, has_at_most
+from feedloom.session import SMALL_ROWS, count_up_to, cut_lineage
 
 _STEP = 2          # grid levels per descent step: a cell has 4 x 4 x 4 children
 _LEAF = 64         # anchors per cell at which the descent may end
@@ -18,8 +18,9 @@ def nearest(points: DataFrame, anchors: DataFrame, *, small_rows: int = SMALL_RO
             km: str = "km") -> DataFrame:
     """``points(.., lat, lon)`` and ``anchors(.., lat, lon)`` with further columns of their
     own. Returns the columns of both but the coordinates, and the distance."""
-    if has_at_most(anchors, small_rows):
-        return _nearest_listed(points, anchors, km)
+    n = count_up_to(anchors, small_rows)
+    if n <= small_rows:
+        return _nearest_listed(points, anchors, n, km)
     return nearest_descent(points, anchors, km=km)
 
 
@@ -27,20 +28,75 @@ def _names(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("lat", "lon")]
 
 
-def _nearest_listed(points: DataFrame, anchors: DataFrame, km: str) -> DataFrame:
-    """Anchors known to be few: each task holds them as one array, nothing is shuffled."""
+def let(value, body):
+    """``body`` of a value that is computed once per row: a lambda that names an outer
+    column would see its expression again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _reachable(near, best):
+    """Whether a squared distance can still be the least one, with a margin for rounding."""
+    return near <= best * (1 + 1e-9) + 1e-14
+
+
+def _nearest_listed(points: DataFrame, anchors: DataFrame, n: int, km: str) -> DataFrame:
+    """Anchors known to be few: each task holds them as one array, nothing is shuffled.
+
+    They are filed in about sqrt(n) cells. A point first bounds its distance to each cell,
+    then measures the anchors of the cells in reach only.
+    """
     own = _names(anchors)
-    listed = anchors.dropna("any", subset=["lat", "lon"]).agg(F.collect_list(
-        F.struct("lat", "lon", F.struct(*own).alias("own"))).alias("a")).scalar()
-    measured = points.withColumn("__a", listed)
-    measured = measured.withColumn("__d", F.transform("__a", lambda a: F.struct(
-        great_circle_km(F.col("lat"), F.col("lon"), a["lat"], a["lon"]).alias("km"),
-        a["own"].alias("own"))))
-    best = measured.withColumn("__m", F.array_min(F.transform("__d", lambda d: d["km"])))
-    kept = best.select(*_names(points), F.explode(
-        F.filter("__d", lambda d: d["km"] == F.col("__m"))).alias("__w"))
-    return kept.select(*_names(points), *[f"__w.own.`{c}`" for c in own],
-                       F.col("__w.km").alias(km))
+    side = max(1, round(n ** 0.25))
+    x, y, z = unit_vector("lat", "lon")
+    spots = anchors.dropna("any", subset=["lat", "lon"])
+
+    def slot(c: str):
+        low, high = (spots.agg(f(c).alias("v")).scalar() for f in (F.min, F.max))
+        width = F.when(high > low, high - low).otherwise(1.0)
+        return F.floor((F.col(c) - low) / width * side)
+
+    filed = spots.select(
+        slot("lat").alias("i"), slot("lon").alias("j"), x.alias("x"), y.alias("y"), z.alias("z"),
+        F.struct("lat", "lon", x.alias("x"), y.alias("y"), z.alias("z"),
+                 F.struct(*own).alias("own")).alias("item"))
+    cells = filed.groupBy("i", "j").agg(*_box(), F.collect_list("item").alias("items"))
+    listed = cells.agg(F.collect_list(F.struct(*_BOX, "items"))).scalar()
+
+    def in_reach(cells, p):
+        """Anchors of the cells whose near edge is no farther than the best far edge."""
+        return let(
+            F.array_min(F.transform(cells, lambda c: _bounds(p, c)[1])),
+            lambda best: F.flatten(F.transform(
+                F.filter(cells, lambda c: _reachable(_bounds(p, c)[0], best)),
+                lambda c: c["items"])))
+
+    def closest(spots_, p):
+        """Candidates by straight line, then those with the least arc."""
+        square = lambda a: sum((p[v] - a[v]) * (p[v] - a[v]) for v in "xyz")
+        arcs = let(
+            F.array_min(F.transform(spots_, square)),
+            lambda best: F.transform(
+                F.filter(spots_, lambda a: _reachable(square(a), best)),
+                lambda a: F.struct(
+                    great_circle_km(p["lat"], p["lon"], a["lat"], a["lon"]).alias("km"),
+                    a["own"].alias("own"))))
+        return let(arcs, lambda near: let(
+            F.array_min(F.transform(near, lambda a: a["km"])),
+            lambda best: F.filter(near, lambda a: a["km"] == best)))
+
+    here = F.struct("lat", "lon", x.alias("x"), y.alias("y"), z.alias("z"))
+    found = points.withColumn("__a", listed).select(*_names(points), F.explode(let(
+        here, lambda p: let(in_reach(F.col("__a"), p), lambda c: closest(c, p)))).alias("__w"))
+    return found.select(*_names(points), *[f"__w.own.`{c}`" for c in own],
+                        F.col("__w.km").alias(km))
+
+
+_BOX = ("x0", "x1", "y0", "y1", "z0", "z1")
+
+
+def _box() -> list:
+    """Least and greatest coordinate of the anchors of a cell."""
+    return [f(c).alias(f"{c}{i}") for c in ("x", "y", "z") for i, f in ((0, F.min), (1, F.max))]
 
 
 def _cell(c, level: int):
@@ -53,17 +109,25 @@ def _cells(level: int, names) -> list:
     return [_cell(F.col(c), level).alias(n) for c, n in zip(("x", "y", "z"), names)]
 
 
-def _bounds(get):
-    """Least and greatest squared distance from (x, y, z) to a box of real anchors."""
+def _bounds(p, box):
+    """Least and greatest squared distance from ``p`` to a box of real anchors; both are
+    looked up by coordinate name."""
     near = far = F.lit(0.0)
     for c in ("x", "y", "z"):
-        below, above = get(f"{c}0") - F.col(c), F.col(c) - get(f"{c}1")
+        below, above = box[f"{c}0"] - p[c], p[c] - box[f"{c}1"]
         gap = F.greatest(below, above, F.lit(0.0))
         reach = F.greatest(F.abs(below), F.abs(above))
         near, far = near + gap * gap, far + reach * reach
     return near, far
 
 
+class _Columns:
+    """Columns of the row, looked up like the fields of a struct."""
+
+    def __getitem__(self, name: str):
+        return F.col(name)
+
+
 def nearest_descent(points: DataFrame, anchors: DataFrame, *, km: str = "km",
                     leaf: int = _LEAF) -> DataFrame:
     """Many anchors: descend a grid of cells, keeping per location only the cells that can
@@ -73,8 +137,6 @@ def nearest_descent(points: DataFrame, anchors: DataFrame, *, km: str = "km",
     distance exceeds the greatest distance to some other cell, with a margin for rounding;
     the survivors' distances are then computed in full.
     """
-    box = [f(c).alias(f"{c}{i}") for c in ("x", "y", "z") for i, f in ((0, F.min), (1, F.max))]
-
     def located(df, lat, lon):
         x, y, z = unit_vector("lat", "lon")
         return (df.select("lat", "lon").dropna().distinct()
@@ -88,34 +150,31 @@ def nearest_descent(points: DataFrame, anchors: DataFrame, *, km: str = "km",
         depth += _STEP
 
     # First level: at most 64 cells, listed in every task.
-    top = sites.groupBy(*_cells(_STEP, "ijk")).agg(*box)
+    top = sites.groupBy(*_cells(_STEP, "ijk")).agg(*_box())
     listed = top.agg(F.collect_list(F.struct(*top.columns))).scalar()
 
     def measure(c):
-        near, far = _bounds(lambda n: c[n])
+        near, far = _bounds(_Columns(), c)
         return F.struct(near.alias("near"), far.alias("far"), c["i"].alias("i"),
                         c["j"].alias("j"), c["k"].alias("k"))
 
-    def reachable(near, best):
-        return near <= best * (1 + 1e-9) + 1e-14
-
     front = located(points, "plat", "plon").withColumn("__a", listed)
     front = front.withColumn("__c", F.transform("__a", measure))
     front = front.withColumn("__b", F.array_min(F.transform("__c", lambda c: c["far"])))
     front = front.withColumn("__c", F.explode(
-        F.filter("__c", lambda c: reachable(c["near"], F.col("__b")))))
+        F.filter("__c", lambda c: _reachable(c["near"], F.col("__b")))))
     front = front.select("plat", "plon", "x", "y", "z", "__c.i", "__c.j", "__c.k")
 
     per_place = W.partitionBy("plat", "plon")
     for level in range(2 * _STEP, depth + 1, _STEP):
         tree = sites.select("x", "y", "z", *_cells(level - _STEP, "ijk"),
                             *_cells(level, ("i2", "j2", "k2")))
-        tree = tree.groupBy("i", "j", "k", "i2", "j2", "k2").agg(*box)
+        tree = tree.groupBy("i", "j", "k", "i2", "j2", "k2").agg(*_box())
         met = front.join(tree, ["i", "j", "k"])
-        near, far = _bounds(F.col)
+        near, far = _bounds(_Columns(), _Columns())
         met = met.withColumns({"__n": near, "__f": far})
         met = met.withColumn("__b", F.min("__f").over(per_place))
-        front = met.filter(reachable(F.col("__n"), F.col("__b"))).select(
+        front = met.filter(_reachable(F.col("__n"), F.col("__b"))).select(
             "plat", "plon", "x", "y", "z", F.col("i2").alias("i"), F.col("j2").alias("j"),
             F.col("k2").alias("k"))
 

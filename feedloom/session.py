@@ -56,9 +56,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/feedloom/{name}-{uuid.uuid4().hex}"
 
 
+def count_up_to(df: DataFrame, rows: int) -> int:
+    """Number of rows, counting no further than ``rows + 1``."""
+    return df.select(F.lit(1)).limit(rows + 1).count()
+
+
 def has_at_most(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than needed to tell."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+    return count_up_to(df, rows) <= rows
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

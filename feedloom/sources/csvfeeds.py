@@ -12,6 +12,8 @@ from feedloom.schemas import TS
 
 # Headers a row index is written under.
 INDEX_COLUMNS = ("_c0", "Unnamed: 0")
+# Columns a file may hold beside those of its schema; every slot costs parsing time.
+SPARE_COLUMNS = 8
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *,
@@ -35,8 +37,7 @@ def _slots(max_columns: int) -> T.StructType:
                          for i in range(max_columns + 1)])
 
 
-def csv_cells(reader, path: str, *, glob: str | None = None,
-              max_columns: int = 64) -> DataFrame:
+def csv_cells(reader, path: str, max_columns: int, *, glob: str | None = None) -> DataFrame:
     """Rows as ``(file, cells)``, headers among them; for a batch or a stream reader."""
     slots = _slots(max_columns)
     if glob:
@@ -69,10 +70,11 @@ def bind_by_name(cells: DataFrame, schema: T.StructType, *, marker: str = TS) ->
 
 def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType, *,
                      marker: str = TS, glob: str | None = None,
-                     max_columns: int = 64) -> DataFrame:
-    """Files whose headers differ in order or number of columns."""
-    return bind_by_name(csv_cells(spark.read, path, glob=glob, max_columns=max_columns),
-                        schema, marker=marker)
+                     max_columns: int | None = None) -> DataFrame:
+    """Files whose headers differ in order or number of columns; a row wider than
+    ``max_columns`` fails the job."""
+    width = max_columns or len(schema.fields) + SPARE_COLUMNS
+    return bind_by_name(csv_cells(spark.read, path, width, glob=glob), schema, marker=marker)
 
 
 def read_snapshot(df: DataFrame, call_timestamp=None, ts: str = TS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from feedloom.schemas import TS
-from feedloom.sources.csvfeeds import bind_by_name, csv_cells, with_day
+from feedloom.sources.csvfeeds import SPARE_COLUMNS, bind_by_name, csv_cells, with_day
 
 
 def source_options(spark: SparkSession, *, max_files: int | None = None,
@@ -46,7 +46,7 @@ def land_csv(spark: SparkSession, landing: str, schema: T.StructType, out: str,
              max_files: int | None = None, archive: str | None = None) -> StreamingQuery:
     """CSV snapshots, bound by name within each batch."""
     cells = csv_cells(source_options(spark, max_files=max_files, archive=archive),
-                      landing, glob=glob)
+                      landing, len(schema.fields) + SPARE_COLUMNS, glob=glob)
     return start(cells, lambda df, i: write_batch(bind_by_name(df, schema), out, i),
                  checkpoint, every=every)
 

@@ -12,34 +12,49 @@ from feedloom.operators.reshape import group_reshape, ranked_pivot, rename
 from feedloom.schemas import TS
 
 
+def _landed(df: DataFrame, *columns) -> DataFrame:
+    """Columns of a feed, and the batch that landed them where a stream did."""
+    return df.select(*columns, *[c for c in ("batch",) if c in df.columns])
+
+
 def _once(df: DataFrame, keys: list[str], unique: bool) -> DataFrame:
-    """One row per key; re-landed snapshots would otherwise multiply the joins."""
-    if not unique:
-        return df
-    return keep_last(df, keys, [c for c in df.columns if c not in keys])
+    """Last landed row per key; re-landed snapshots would otherwise multiply the joins."""
+    if unique:
+        rest = [c for c in df.columns if c not in (*keys, "batch")]
+        order = [c for c in ("batch",) if c in df.columns] + rest
+        df = keep_last(df, keys, order)
+    return df.drop("batch")
+
+
+def _feed_columns(schema) -> list[str]:
+    return [f"`{c}`" for c in schema.fieldNames()]
 
 
 def rainfall(df: DataFrame, *, unique: bool = True) -> DataFrame:
-    out = df.select(TS, F.col("station_id").alias("rainfall_station_id"), "rainfall_realtime")
+    out = _landed(df, TS, F.col("station_id").alias("rainfall_station_id"), "rainfall_realtime")
     return _once(out, [TS, "rainfall_station_id"], unique)
 
 
 def non_rainfall(df: DataFrame, *, unique: bool = True) -> DataFrame:
-    out = rename(df, S.to_warehouse_name).select(
-        TS, F.col("station_id").alias("non_rainfall_station_id"), "wind_speed_realtime",
-        "wind_dir_realtime", "humidity_realtime", "air_temp_realtime")
+    out = _landed(rename(df, S.to_warehouse_name), TS,
+                  F.col("station_id").alias("non_rainfall_station_id"), "wind_speed_realtime",
+                  "wind_dir_realtime", "humidity_realtime", "air_temp_realtime")
     return _once(out, [TS, "non_rainfall_station_id"], unique)
 
 
 def forecast_2hr(df: DataFrame, *, unique: bool = True) -> DataFrame:
-    out = rename(df, S.to_warehouse_name).select(
-        TS, "two_hr_forecast_area", "two_hr_forecast_value")
+    out = _landed(rename(df, S.to_warehouse_name), TS, "two_hr_forecast_area",
+                  "two_hr_forecast_value")
     return _once(out, [TS, "two_hr_forecast_area"], unique)
 
 
-def forecast_4day(df: DataFrame) -> DataFrame:
-    """Days of the latest update of each snapshot side by side, four at most."""
-    rows = rename(df, S.to_warehouse_name)
+def forecast_4day(df: DataFrame, *, unique: bool = True) -> DataFrame:
+    """Days of the latest update of each snapshot side by side, four at most.
+
+    Copies of a row count once; they would take the places of later days.
+    """
+    rows = df.select(*_feed_columns(S.FORECAST_4DAY))
+    rows = rename(rows.distinct() if unique else rows, S.to_warehouse_name)
     rows = rows.withColumn("__day", timetext.day("four_day_date"))
     values = [c for c in rows.columns
               if c not in (TS, "four_day_date", "four_day_update_timestamp", "__day")]
@@ -49,7 +64,7 @@ def forecast_4day(df: DataFrame) -> DataFrame:
 
 def forecast_24hr(df: DataFrame, *, unique: bool = True) -> DataFrame:
     """One row per snapshot and compass region with that region's three periods."""
-    rows = _once(df, [TS], unique)
+    rows = _once(_landed(df, *_feed_columns(S.FORECAST_24HR)), [TS], unique)
     general = [c for c in S.FORECAST_24HR.fieldNames()
                if c.startswith(("24hr_start", "24hr_end", "24hr_general_"))
                or c.endswith(("_start", "_end"))]
@@ -61,8 +76,8 @@ def forecast_24hr(df: DataFrame, *, unique: bool = True) -> DataFrame:
 
 
 def congestion(df: DataFrame, *, unique: bool = True) -> DataFrame:
-    out = df.select(TS, F.col("camera_id").alias("cam_id"), "direction",
-                    F.col("trafficCongestion").alias(S.LABEL))
+    out = _landed(df, TS, F.col("camera_id").alias("cam_id"), "direction",
+                  F.col("trafficCongestion").alias(S.LABEL))
     return _once(out, [TS, "cam_id", "direction"], unique)
 
 

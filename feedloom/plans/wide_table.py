@@ -61,7 +61,7 @@ def build_wide_table(feeds: Feeds, mode: str = "all", as_of=None, *, unique: boo
 
     cams = N.camera_map(feeds.camera_map).join(N.route_keys(feeds.routes), "cam_id")
     base = N.congestion(feeds.congestion, unique=unique).join(cams, ["cam_id", "direction"])
-    days = N.forecast_4day(feeds.forecast_4day).join(snapshots, TS, "left_semi")
+    days = N.forecast_4day(feeds.forecast_4day, unique=unique).join(snapshots, TS, "left_semi")
     out = (
         base.join(N.rainfall(feeds.rainfall, unique=unique), [TS, "rainfall_station_id"], "left")
         .join(N.non_rainfall(feeds.non_rainfall, unique=unique),

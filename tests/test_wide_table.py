@@ -38,13 +38,20 @@ def test_rows_and_gaps(spark, rows):
     ]
 
 
-def test_relanded_snapshot_does_not_multiply(spark):
+def test_relanded_snapshot_does_not_multiply(spark, rows):
     f = X.feeds(spark)
     twice = f.map_facts(lambda df: df.unionAll(df))
-    assert build_wide_table(twice).count() == build_wide_table(f).count()
+    assert rows(build_wide_table(twice)) == rows(build_wide_table(f))
     assert build_wide_table(twice, unique=False).count() > build_wide_table(f).count()
 
 
+def test_last_landed_row_wins(spark):
+    feed = X.feeds(spark).rainfall.filter(f"call_timestamp = '{X.T1}' AND station_id = 'R1'")
+    landed = feed.withColumn("batch", F.lit(0)).unionAll(
+        feed.withColumn("rainfall_realtime", F.lit(0.25)).withColumn("batch", F.lit(1)))
+    assert [tuple(r) for r in N.rainfall(landed).collect()] == [(X.T1, "R1", 0.25)]
+
+
 @pytest.mark.parametrize("n, filled", [(3, 3), (4, 4), (6, 4)])
 def test_number_of_forecast_days(spark, n, filled):
     dates = [f"2024-03-{d:02d}T000000" for d in range(2, 2 + n)]

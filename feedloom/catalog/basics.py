@@ -223,7 +223,7 @@ def outer_merge(spark, sf):
 
 
 _ACC = ", ".join(
-    f"{t} AS (SELECT user_id, call_timestamp, sum(cents) AS {t}, min(event_id) AS "
+    f"{t} AS (SELECT user_id, call_timestamp, CAST(sum(cents) AS BIGINT) AS {t}, min(event_id) AS "
     f"{'first_id' if t == TYPES[0] else 'id_' + t} FROM ev WHERE event_type = '{t}' GROUP BY ALL)"
     for t in TYPES[:2])
 

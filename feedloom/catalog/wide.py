@@ -147,7 +147,8 @@ four1 AS (SELECT *, row_number() OVER (PARTITION BY call_timestamp
 four AS (SELECT call_timestamp, {_FOUR} FROM four1 GROUP BY call_timestamp),
 label AS (SELECT call_timestamp, 1000 + user_id % 20 AS cam_id, event_id % 3 + 1 AS direction,
   max({LABEL_SQL}) AS trafficcongestion FROM ev GROUP BY ALL),
-routes AS (SELECT DISTINCT 1000 + c_custkey % 25 AS cam_id, c_nationkey % 3 + 1 AS direction FROM customer),
+routes AS (SELECT DISTINCT 1000 + c_custkey % 25 AS cam_id,
+  CAST(c_nationkey % 3 + 1 AS BIGINT) AS direction FROM customer),
 cams AS (SELECT 1000 + s_suppkey AS cam_id, 'N' || (s_suppkey % 4) AS non_rainfall_station_id,
   'R' || (s_suppkey % 12) AS rainfall_station_id, 'A' || (s_suppkey % 6) AS two_hr_forecast_area,
   {_REGION_SQL}[CAST(s_nationkey % 5 + 1 AS INTEGER)] AS compass FROM supplier),

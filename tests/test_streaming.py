@@ -1,10 +1,12 @@
 """Streams end where the batch plans end."""
 
+import json
 import os
 
 from pyspark.sql import functions as F
 
 from feedloom import schemas as S
+from feedloom.plans import tabulate
 from feedloom.plans.wide_table import Feeds, build_wide_table
 from feedloom.session import scratch_dir
 from feedloom.sinks import compact, files
@@ -30,6 +32,21 @@ def test_csv_landing_picks_up_each_file_once(spark, rows, tmp_path):
     assert spark.read.parquet(merged).count() == 3
 
 
+def test_json_landing_tabulates_payloads(spark, rows, tmp_path):
+    src, out, ck = f"{tmp_path}/in", scratch_dir(spark, "s"), scratch_dir(spark, "s")
+    run = lambda: landing.land_json(spark, src, S.PAYLOAD_READINGS, tabulate.rainfall, out,
+                                    ck).awaitTermination()
+    for i, value in ((1, 0.5), (2, 1.5)):
+        doc = {"items": [{"timestamp": f"2024-03-0{i}T00:00:00+08:00",
+                          "readings": [{"station_id": "S1", "value": value}]}],
+               "metadata": {"stations": []}}
+        put(f"{src}/realtime-rainfall__2024-03-0{i}T000500.json", json.dumps(doc, indent=2))
+        run()
+    assert rows(spark.read.parquet(out), S.TS, "timestamp", "station_id", "rainfall_realtime") == [
+        ("2024-03-01T000500", "2024-03-01T000000", "S1", 0.5),
+        ("2024-03-02T000500", "2024-03-02T000000", "S1", 1.5)]
+
+
 def test_repeated_batch_replaces_itself(spark):
     out = scratch_dir(spark, "s")
     rain = X.feeds(spark).rainfall

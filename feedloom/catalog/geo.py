@@ -36,6 +36,11 @@ def _anchors(spark, sf, out="station", mult=6151):
     return site.select(out, *_spot("g", mult, 1.21, 0.0000537))
 
 
+def _tasks(spark) -> int:
+    """Customers lie in one small file here."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _fixed(spark, sf, name, key, out, mult):
     return table(spark, sf, name).select(
         F.col(key).cast("long").alias(out),
@@ -72,7 +77,7 @@ def _rounded(df):
 
 @query("nearest_anchor", _NEAREST)
 def nearest_anchor(spark, sf):
-    return _rounded(nearest(_points(spark, sf), _anchors(spark, sf)))
+    return _rounded(nearest(_points(spark, sf), _anchors(spark, sf), tasks=_tasks(spark)))
 
 
 @query("nearest_descent", _NEAREST)
@@ -91,7 +96,7 @@ def camera_mapping_query(spark, sf):
     return camera_mapping(
         _points(spark, sf), _anchors(spark, sf, "non_rain"), _anchors(spark, sf, "rain", 5167),
         _fixed(spark, sf, "nation", "n_nationkey", "area", 911),
-        _fixed(spark, sf, "region", "r_regionkey", "compass", 1847))
+        _fixed(spark, sf, "region", "r_regionkey", "compass", 1847), tasks=_tasks(spark))
 
 
 @query("point_parse", """SELECT o_orderkey, o_totalprice AS lat, CAST(o_custkey AS DOUBLE) AS lon FROM orders

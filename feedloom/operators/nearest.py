@@ -15,9 +15,15 @@ _DEEPEST = 30      # cell edge of about a centimetre
 
 
 def nearest(points: DataFrame, anchors: DataFrame, *, small_rows: int = SMALL_ROWS,
-            km: str = "km") -> DataFrame:
+            km: str = "km", tasks: int | None = None) -> DataFrame:
     """``points(.., lat, lon)`` and ``anchors(.., lat, lon)`` with further columns of their
-    own. Returns the columns of both but the coordinates, and the distance."""
+    own. Returns the columns of both but the coordinates, and the distance.
+
+    ``tasks`` deals the points over that many tasks first: the search is heavy per row, and
+    points that lie in few files would leave most cores idle.
+    """
+    if tasks:
+        points = points.repartition(tasks)
     n = count_up_to(anchors, small_rows)
     if n <= small_rows:
         return _nearest_listed(points, anchors, n, km)

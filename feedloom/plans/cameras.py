@@ -35,13 +35,13 @@ def located(df: DataFrame, name: str, location: str, out: str, *,
 
 def camera_mapping(cameras: DataFrame, non_rain: DataFrame, rain: DataFrame,
                    areas: DataFrame, compass: DataFrame, *,
-                   small_rows: int = SMALL_ROWS) -> DataFrame:
+                   small_rows: int = SMALL_ROWS, tasks: int | None = None) -> DataFrame:
     """Four independent searches over ``(cam_id, lat, lon)``, joined by camera.
 
     Ties stay, so a camera has a row for each combination of equally near anchors.
     """
     def find(anchors: DataFrame) -> DataFrame:
-        return nearest(cameras, anchors, small_rows=small_rows).drop("km")
+        return nearest(cameras, anchors, small_rows=small_rows, tasks=tasks).drop("km")
 
     return (find(non_rain).join(find(rain), "cam_id").join(find(areas), "cam_id")
             .join(find(compass), "cam_id").withColumn("cam_id", F.col("cam_id").cast("long")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from feedloom.functions.binding import let
 from feedloom.functions.points import great_circle_km, unit_vector
 from feedloom.session import SMALL_ROWS, count_up_to, cut_lineage
 
@@ -34,12 +35,6 @@ def _names(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("lat", "lon")]
 
 
-def let(value, body):
-    """``body`` of a value that is computed once per row: a lambda that names an outer
-    column would see its expression again for every element."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _reachable(near, best):
     """Whether a squared distance can still be the least one, with a margin for rounding."""
     return near <= best * (1 + 1e-9) + 1e-14

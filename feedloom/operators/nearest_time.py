@@ -28,18 +28,26 @@ def clamp_hour(hour) -> "F.Column":
     return F.when(hour == "00", "01").when(hour == "23", "22").otherwise(hour)
 
 
+def minute_lookup(snapshots: DataFrame, ts: str = TS, out: str = "nearest_ts") -> DataFrame:
+    """Per (date, hour, minute 0 to 59) the nearest snapshot of that hour."""
+    asked = minute_index(snapshots, ts).withColumn(
+        "__m", F.explode(F.sequence(F.lit(0), F.lit(59))))
+    best = F.array_min(F.transform("minutes", lambda x: F.struct(
+        F.abs(x["minute"] - F.col("__m")).alias("diff"), x["ts"].alias("ts"))))
+    return asked.select("date", "hour", "__m", best["ts"].alias(out))
+
+
 def nearest_snapshot(requests: DataFrame, snapshots: DataFrame, *, ts: str = TS,
                      clamp: bool = True, out: str = "nearest_ts") -> DataFrame:
     """Adds the snapshot with the least minute difference to each request.
 
     ``requests`` holds ``date`` (yyyy-MM-dd) and ``time`` (HHmm or HHmmss). The earliest
-    snapshot wins a tie; a request without a snapshot in its hour gets NULL.
+    snapshot wins a tie; a request without a snapshot in its hour gets NULL. Answers are
+    worked out once per minute of an hour, so a request costs one equality join.
     """
     hour = F.substring("time", 1, 2)
-    minute = F.substring("time", 3, 2).try_cast("int")
+    minute = F.least(F.substring("time", 3, 2).try_cast("int"), F.lit(59))
     asked = requests.withColumns({
         "hour": clamp_hour(hour) if clamp else hour, "__m": minute})
-    joined = asked.join(minute_index(snapshots, ts), ["date", "hour"], "left")
-    best = F.array_min(F.transform("minutes", lambda x: F.struct(
-        F.abs(x["minute"] - F.col("__m")).alias("diff"), x["ts"].alias("ts"))))
-    return joined.withColumn(out, best["ts"]).drop("minutes", "__m")
+    return asked.join(minute_lookup(snapshots, ts, out), ["date", "hour", "__m"],
+                      "left").drop("__m")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import quality
-from feedloom.session import tune
+from feedloom.llm import (
+    chat, decontaminate, mixing, quality, sharding, simhash, token_records, url_rules,
+    warc)
+from feedloom.session import cut_lineage, scratch_dir, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +64,106 @@ def op10_quality_rules(spark, sf_dir):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), "kept")
+
+
+@query("op7_chat_formatting")
+def op7_chat_formatting(spark, sf_dir):
+    hard = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(
+        [(-1, 0, "user", hard), (-1, 1, "assistant", hard)], rows.schema))
+    path = scratch_dir(spark, "chat")
+    chat.format_conversations(rows).write.parquet(path)
+    return chat.digests(chat.read_back(spark.read.parquet(path)))
+
+
+@query("op4_source_mixing")
+def op4_source_mixing(spark, sf_dir):
+    sizes = cut_lineage(mixing.with_sizes(table(spark, sf_dir, "documents"))
+                        .select("doc_id", "source", "size"))
+    cells, shards = mixing.quotas(sizes)
+    return mixing.mix(sizes, cells, shards).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op1_benchmark_decontamination", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+                                      lambda x: x <> '') AS w FROM documents),
+i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+                                  lambda x: x <> '') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS k FROM d)),
+s AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 4], ' ') AS s
+      FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - 4)) AS k FROM i)),
+n AS (SELECT item_id, count(*) AS n FROM s GROUP BY item_id)
+SELECT doc_id, item_id, CAST(count(*) AS INT) AS n_shared, CAST(any_value(n) AS INT) AS n_shingles
+FROM ds JOIN s USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id
+HAVING count(*) >= ceil(0.8 * any_value(n))""")
+def op1_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+
+
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+@query("op3_url_rules", r"""
+WITH u AS (SELECT page_id, lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)) AS host,
+                  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+           FROM pages),
+r(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+               ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block'))
+SELECT page_id, any_value(host) AS host, any_value(path) AS path,
+       arg_max(h || p, length(h || p)) AS rule,
+       coalesce(arg_max(v, length(h || p)), 'allow') AS verdict
+FROM u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+GROUP BY page_id""")
+def op3_url_rules(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op2_sharding")
+def op2_sharding(spark, sf_dir):
+    docs = sharding.write_shards(table(spark, sf_dir, "documents"), scratch_dir(spark, "shards"))
+    return docs.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                       "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op6_token_records")
+def op6_token_records(spark, sf_dir):
+    folder = scratch_dir(spark, "tokens")
+    manifest = token_records.write(table(spark, sf_dir, "documents"), folder, TOKENIZER)
+    return token_records.read(manifest, folder)
+
+
+@query("op9_warc", r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f""")
+def op9_warc(spark, sf_dir):
+    folder = scratch_dir(spark, "warc")
+    index = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(index, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_simhash")
+def op5_simhash(spark, sf_dir):
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        "component_id")

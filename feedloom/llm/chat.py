@@ -128,10 +128,10 @@ def read_back(samples: DataFrame) -> DataFrame:
     Turns come from the marks in the samples, each once; ``targets`` are the unescaped texts
     under the mask, in order.
     """
-    pieces = F.slice(F.split("sample", r"<\|im_start\|>"), 2, 2**31 - 1)
+    pieces = F.split("sample", r"<\|im_start\|>")  # the first is empty
     body_end = len(END) + 1
     parsed = F.transform(
-        F.filter(pieces, lambda p, i: i >= F.col("n_context")),
+        F.filter(pieces, lambda p, i: i > F.col("n_context")),
         lambda p: let(F.regexp_extract(p, r"^((?:[^\\\n]|\\[\s\S])*+)\n", 1), lambda h: F.struct(
             unescape(h).alias("role"),
             unescape(F.substring(p, F.length(h) + 2, F.length(p) - F.length(h) - 1 - body_end))

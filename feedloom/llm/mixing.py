@@ -17,8 +17,8 @@ from feedloom.llm.text import words
 from feedloom.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
-BLOCK = 256
-SHARDS = 64
+BLOCK = 64
+SHARDS = 16
 # A shard holds about so many words at most; larger corpora get more shards.
 SHARD_WORDS = 1 << 25
 SEED = 11

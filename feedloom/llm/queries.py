@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import (
-    chat, decontaminate, mixing, quality, sharding, simhash, token_records, url_rules,
-    warc)
+    chat, decontaminate, mixing, quality, sharding, simhash, substrings, token_records,
+    url_rules, warc)
 from feedloom.session import cut_lineage, scratch_dir, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,24 @@ def op5_simhash(spark, sf_dir):
     found = simhash.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         "component_id")
+
+
+@query("op8_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win
+      FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (
+        SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM g) WHERE k > 1),
+x AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (
+        SELECT doc_id, unnest(generate_series(i, i + 19)) AS p FROM r) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+         list_filter(w, lambda v, i: NOT list_contains(gone, i)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id)""")
+def op8_substring_dedup(spark, sf_dir):
+    found = substrings.dedupe(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s.length)
+    return found.select("doc_id", "n_words", gone.alias("n_removed"),
+                        F.sha2("kept", 256).alias("kept_sha256"))

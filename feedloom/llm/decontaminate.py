@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.text import gram_hashes, let, plain_words
+from feedloom.llm.text import gram_hashes, let, plain_words, spare
 from feedloom.session import cut_lineage
 
 WIDTH, SHARE = 5, 0.8
@@ -87,6 +87,7 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
 
 def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
     """``docs`` without the contaminated ones; rows without an id stay."""
+    name = spare(docs, "leak")
     leaks = contaminated(docs, items, doc_id, **how).select(
-        F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(cut_lineage(leaks), F.col(doc_id) == F.col("_leak"), "left_anti")
+        F.col("doc_id").alias(name)).distinct()
+    return docs.join(cut_lineage(leaks), F.col(doc_id) == F.col(name), "left_anti")

@@ -18,7 +18,7 @@ from feedloom.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
 BLOCK = 64
-SHARDS = 16
+SHARDS = 64
 # A shard holds about so many words at most; larger corpora get more shards.
 SHARD_WORDS = 1 << 25
 SEED = 11
@@ -127,9 +127,11 @@ def mix(docs: DataFrame, cells: DataFrame, shards: int, doc_id: str = "doc_id",
 
     Null sources are a source of their own, null ids share a shard, and a document without words
     takes none. Repeated rows are separate documents. Columns of ``docs`` that bear a name of
-    the result are replaced; an empty table gives an empty result.
+    the result, and ``_shard``, ``_at`` and ``_c_...``, are replaced; an empty table gives an
+    empty result.
     """
-    own = docs.drop("source_size", "target", "taken", "spans")
+    own = docs.drop("source_size", "target", "taken", "spans",
+                    *(f"_c_{c}" for c in cells.columns))
     plan = cells.select(*(F.col(c).alias(f"_c_{c}") for c in cells.columns))
     own = own.withColumn("_shard", _shard(doc_id, shards, seed))
     order = [F.xxhash64(F.lit(seed + 1), F.col(doc_id)), F.col(doc_id), F.col("size")]
@@ -165,7 +167,7 @@ def take(mixed: DataFrame, text: str = "text", copies: int = 2) -> DataFrame:
     """The mixed documents: a row per pass, whose text holds the words that pass takes.
 
     A document taken whole keeps its text; else the taken words keep the white space before
-    them. Rows without a taken word go.
+    them. Rows without a taken word go. Columns ``_pass``, ``_spans``, ``_pieces`` are replaced.
     """
     piece = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
     own = mixed.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.lit(copies))))

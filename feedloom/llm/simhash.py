@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.components import components
+from feedloom.llm.text import spare
 from feedloom.session import cut_lineage
 
 WIDTH, SEED, RADIUS = 3, 42, 3
@@ -120,5 +121,6 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     Rows that repeat the id stay together; rows without an id stay.
     """
     later = classes(docs, doc_id, text).filter("doc_id > component_id")
-    later = cut_lineage(later.select(F.col("doc_id").alias("_later")).distinct())
-    return docs.join(later, F.col(doc_id) == F.col("_later"), "left_anti")
+    name = spare(docs, "later")
+    later = cut_lineage(later.select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(later, F.col(doc_id) == F.col(name), "left_anti")

@@ -59,9 +59,6 @@ class WordEncoder(dict):
                 self[w] = np.array(e.ids, self.dtype).tobytes()
 
     def _prepare(self, wanted: set[bytes]) -> None:
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
         new, split = set(), []
         for w in wanted:
             if w in self.old:
@@ -93,12 +90,12 @@ class WordEncoder(dict):
         return out + self._look_up(held)
 
     def _look_up(self, held: list[list[bytes]]) -> list[bytes]:
-        wanted = set().union(*held) - self.keys() if held else set()
+        if len(self) > self.limit:  # begin a new generation
+            self.old = dict(self)
+            self.clear()
+        wanted = set().union(*held) - self.keys()
         if wanted:
             self._prepare(wanted)
-            wanted = set().union(*held) - self.keys()
-            if wanted:  # the cache began a new generation
-                self._prepare(wanted)
         return [b"".join(map(self.__getitem__, words)) for words in held]
 
 

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
 # Words each generation of a task's cache holds.
-CACHE_WORDS = 400_000
-_MARKS = re.compile(rb"[.,]+$")
+CACHE_WORDS = 700_000
 
 
 class WordEncoder(dict):
@@ -37,39 +35,36 @@ class WordEncoder(dict):
         self.old: dict[bytes, bytes] = {}
 
     def _learn(self, new: list[bytes]) -> None:
-        texts = [w.decode("utf-8") for w in new]
-        letters = [(w, t) for w, t in zip(new, texts) if t.isalpha()]
-        rest = [(w, t) for w, t in zip(new, texts) if not t.isalpha()]
+        # bytes.isalpha knows ASCII letters only, but it is the quick answer for most words.
+        letters, rest = [], []
+        for w in new:
+            (letters if w.isalpha() or w.decode("utf-8").isalpha() else rest).append(w)
         if letters:
             ids = np.array(self.tokenizer.encode_batch_fast(
-                [" ".join(t for _, t in letters)], add_special_tokens=False)[0].ids, self.dtype)
+                [b" ".join(letters).decode("utf-8")], add_special_tokens=False)[0].ids, self.dtype)
             cuts = np.flatnonzero(self.ends_word[ids]) + 1
             if len(cuts) == len(letters) and cuts[-1] == len(ids):
-                data, n = ids.tobytes(), self.dtype.itemsize
-                start = 0
-                for (w, _), cut in zip(letters, cuts.tolist()):
-                    self[w] = data[start * n:cut * n]
-                    start = cut
+                data = ids.tobytes()
+                ends = (cuts * self.dtype.itemsize).tolist()
+                self.update(zip(letters, map(data.__getitem__, map(slice, [0, *ends], ends))))
             else:
-                rest = letters + rest
+                rest += letters
         if rest:
-            found = self.tokenizer.encode_batch_fast([t for _, t in rest],
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in rest],
                                                      add_special_tokens=False)
-            for (w, _), e in zip(rest, found):
+            for w, e in zip(rest, found):
                 self[w] = np.array(e.ids, self.dtype).tobytes()
 
     def _prepare(self, wanted: set[bytes]) -> None:
-        new, split = set(), []
-        for w in wanted:
-            if w in self.old:
-                self[w] = self.old[w]
-                continue
-            core = _MARKS.sub(b"", w)
-            if core != w and core[-1:].isalpha():
-                split.append((w, core, w[len(core):]))
-                new.update(x for x in split[-1][1:] if x not in self)
-            else:
-                new.add(w)
+        again = wanted & self.old.keys()
+        self.update(zip(again, map(self.old.__getitem__, again)))
+        wanted -= again
+        cores = [(w, w.rstrip(b".,")) for w in wanted]
+        split = [(w, c, w[len(c):]) for w, c in cores if len(c) < len(w) and c[-1:].isalpha()]
+        new = wanted.difference(w for w, _, _ in split)
+        new.update(c for _, c, _ in split)
+        new.update(m for _, _, m in split)
+        new -= self.keys()
         if new:
             self._learn(list(new))
         for w, core, marks in split:
@@ -93,7 +88,8 @@ class WordEncoder(dict):
         if len(self) > self.limit:  # begin a new generation
             self.old = dict(self)
             self.clear()
-        wanted = set().union(*held) - self.keys()
+        wanted = set().union(*held)
+        wanted -= self.keys()
         if wanted:
             self._prepare(wanted)
         return [b"".join(map(self.__getitem__, words)) for words in held]

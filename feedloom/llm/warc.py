@@ -28,6 +28,8 @@ MIN_REVISIT = 100
 # Members further apart than this are read by separate ranges; a range ends at RANGE bytes.
 GAP, RANGE = 64 << 10, 4 << 20
 FILE_BYTES = 256 << 20
+# Bytes of archives one task reads.
+TASK_BYTES = 64 << 20
 DATE = "2024-01-01T00:00:00Z"
 INDEX = ("page_id long, url string, digest string, record_type string, refers_to long, "
          "file string, offset long, length long")
@@ -207,5 +209,9 @@ def read(selected: DataFrame, folder: str, with_payload: bool = False) -> DataFr
     """
     schema = ("page_id long, url string, payload_bytes long, payload_digest string, "
               "record_type string, refers_to long" + ", payload binary")
-    found = ranges(selected).mapInArrow(_reader(f"{folder}/data", with_payload), schema)
+    # Ranges are small rows that stand for much reading: deal them by the bytes they cover.
+    size = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = max(selected.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    found = ranges(selected).repartition(tasks).mapInArrow(
+        _reader(f"{folder}/data", with_payload), schema)
     return found if with_payload else found.drop("payload")

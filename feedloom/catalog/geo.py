@@ -36,11 +36,6 @@ def _anchors(spark, sf, out="station", mult=6151):
     return site.select(out, *_spot("g", mult, 1.21, 0.0000537))
 
 
-def _tasks(spark) -> int:
-    """Customers lie in one small file here."""
-    return spark.sparkContext.defaultParallelism
-
-
 def _fixed(spark, sf, name, key, out, mult):
     return table(spark, sf, name).select(
         F.col(key).cast("long").alias(out),
@@ -77,7 +72,35 @@ def _rounded(df):
 
 @query("nearest_anchor", _NEAREST)
 def nearest_anchor(spark, sf):
-    return _rounded(nearest(_points(spark, sf), _anchors(spark, sf), tasks=_tasks(spark)))
+    return _rounded(nearest(_points(spark, sf), _anchors(spark, sf)))
+
+
+_BAD = f"""WITH p AS (SELECT * FROM (SELECT c_custkey AS cam_id, {_spot_sql('c_custkey', 7919, 1.2, 0.00005)}
+  FROM customer) WHERE cam_id % 5 > 1), s AS (SELECT * FROM (SELECT s_suppkey AS station,
+  {_spot_sql('(s_suppkey // 2)', 6151, 1.21, 0.0000537)} FROM supplier) WHERE station % 3 > 0)
+SELECT cam_id, station, round(km, 4) AS km FROM ({_near_sql('s', 'station')})"""
+
+
+def _spoiled(df, key: str, every: int):
+    """Some coordinates of ``df`` become NaN, and for an ``every`` above 3 others null."""
+    k = F.col(key) % every
+    lat = F.when(k == 0, F.lit(float("nan"))).otherwise(F.col("lat"))
+    return df.withColumn("lat", F.when(k == 1, F.lit(None)).otherwise(lat) if every > 3 else lat)
+
+
+def _bad_points(spark, sf, rows: int):
+    return _rounded(nearest(_spoiled(_points(spark, sf), "cam_id", 5),
+                            _spoiled(_anchors(spark, sf), "station", 3), small_rows=rows))
+
+
+@query("nearest_bad_points", _BAD)
+def nearest_bad_points(spark, sf):
+    return _bad_points(spark, sf, 20_000)
+
+
+@query("nearest_bad_points_descent", _BAD)
+def nearest_bad_points_descent(spark, sf):
+    return _bad_points(spark, sf, 0)
 
 
 @query("nearest_descent", _NEAREST)
@@ -96,7 +119,7 @@ def camera_mapping_query(spark, sf):
     return camera_mapping(
         _points(spark, sf), _anchors(spark, sf, "non_rain"), _anchors(spark, sf, "rain", 5167),
         _fixed(spark, sf, "nation", "n_nationkey", "area", 911),
-        _fixed(spark, sf, "region", "r_regionkey", "compass", 1847), tasks=_tasks(spark))
+        _fixed(spark, sf, "region", "r_regionkey", "compass", 1847))
 
 
 @query("point_parse", """SELECT o_orderkey, o_totalprice AS lat, CAST(o_custkey AS DOUBLE) AS lon FROM orders

@@ -27,15 +27,18 @@ def accumulate(frames: list[DataFrame], keys: list[str]) -> DataFrame:
 
 
 def spread_join(big: DataFrame, side: DataFrame, on: list[str], how: str = "inner", *,
-                salts: int = 16) -> DataFrame:
+                salts: int = 16, by: list[str] | None = None) -> DataFrame:
     """Join with ``side`` copied to ``salts`` places and ``big`` dealt over them.
 
     For a known hot key where runtime splitting is off: no task holds more than about
-    ``1 / salts`` of it. ``how`` is inner, left, left_semi or left_anti.
+    ``1 / salts`` of it. Rows are dealt by the columns ``by``, which the scan then reads, or
+    at random from a seed, which spreads equal rows too. ``how`` is inner, left, left_semi or
+    left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
-    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts))
+    deal = (F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by]), F.lit(salts)) if by
+            else F.floor(F.rand(7) * salts).cast("long"))
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
     return (big.withColumn("__salt", deal)
             .join(side.withColumn("__salt", copies), [*on, "__salt"], how).drop("__salt"))

@@ -16,21 +16,24 @@ _DEEPEST = 30      # cell edge of about a centimetre
 
 
 def nearest(points: DataFrame, anchors: DataFrame, *, small_rows: int = SMALL_ROWS,
-            km: str = "km", tasks: int | None = None) -> DataFrame:
+            km: str = "km") -> DataFrame:
     """``points(.., lat, lon)`` and ``anchors(.., lat, lon)`` with further columns of their
     own. Returns the columns of both but the coordinates, and the distance.
 
-    ``tasks`` deals the points over that many tasks first: the search is heavy per row, and
-    points that lie in few files would leave most cores idle.
+    Points and anchors without a place, a coordinate being null or NaN, meet nothing.
     """
-    if tasks:
-        points = points.repartition(tasks)
+    points, anchors = placed(points), placed(anchors)
     n = count_up_to(anchors, small_rows)
     if n <= small_rows:
         return _nearest_listed(points, anchors, n, km)
     return nearest_descent(points, anchors, km=km)
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """Rows that have both coordinates; ``dropna`` takes NaN for absent as well."""
+    return df.dropna("any", subset=["lat", "lon"])
+
+
 def _names(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("lat", "lon")]
 
@@ -49,7 +52,7 @@ def _nearest_listed(points: DataFrame, anchors: DataFrame, n: int, km: str) -> D
     own = _names(anchors)
     side = max(1, round(n ** 0.25))
     x, y, z = unit_vector("lat", "lon")
-    spots = anchors.dropna("any", subset=["lat", "lon"])
+    spots = anchors
 
     def slot(c: str):
         low, high = (spots.agg(f(c).alias("v")).scalar() for f in (F.min, F.max))
@@ -138,9 +141,11 @@ def nearest_descent(points: DataFrame, anchors: DataFrame, *, km: str = "km",
     distance exceeds the greatest distance to some other cell, with a margin for rounding;
     the survivors' distances are then computed in full.
     """
+    points, anchors = placed(points), placed(anchors)
+
     def located(df, lat, lon):
         x, y, z = unit_vector("lat", "lon")
-        return (df.select("lat", "lon").dropna().distinct()
+        return (df.select("lat", "lon").distinct()
                 .select(F.col("lat").alias(lat), F.col("lon").alias(lon),
                         x.alias("x"), y.alias("y"), z.alias("z")))
 

@@ -6,6 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Columns that tell when a row landed, the strongest first.
+LANDING = ("batch", "landed_at", "landed_file")
+
+
+def landing_order(df: DataFrame, keys) -> list[str]:
+    """Columns to order by for the last landed row of a key; values break ties only."""
+    rest = [c for c in df.columns if c not in (*keys, *LANDING)]
+    return [c for c in LANDING if c in df.columns] + rest
+
+
+def with_landing(df: DataFrame) -> DataFrame:
+    """Adds time and path of the file each row was read from; ``df`` is a file scan."""
+    return df.withColumns({"landed_at": F.col("_metadata.file_modification_time"),
+                           "landed_file": F.col("_metadata.file_path")})
+
+
 def names(columns) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 

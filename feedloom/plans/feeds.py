@@ -7,23 +7,25 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas as S
 from feedloom.functions import timetext
-from feedloom.operators.dedupe import keep_last
+from feedloom.operators.dedupe import LANDING, keep_last, landing_order
 from feedloom.operators.reshape import group_reshape, ranked_pivot, rename
 from feedloom.schemas import TS
 
 
 def _landed(df: DataFrame, *columns) -> DataFrame:
-    """Columns of a feed, and the batch that landed them where a stream did."""
-    return df.select(*columns, *[c for c in ("batch",) if c in df.columns])
+    """Columns of a feed, and those that tell when its rows landed where it has them."""
+    return df.select(*columns, *[c for c in LANDING if c in df.columns])
 
 
 def _once(df: DataFrame, keys: list[str], unique: bool) -> DataFrame:
-    """Last landed row per key; re-landed snapshots would otherwise multiply the joins."""
+    """Last landed row per key; re-landed snapshots would otherwise multiply the joins.
+
+    Rows are ordered by the stream batch, else by the time and path of their file; values decide
+    only between rows of the same file.
+    """
     if unique:
-        rest = [c for c in df.columns if c not in (*keys, "batch")]
-        order = [c for c in ("batch",) if c in df.columns] + rest
-        df = keep_last(df, keys, order)
-    return df.drop("batch")
+        df = keep_last(df, keys, landing_order(df, keys))
+    return df.drop(*LANDING)
 
 
 def _feed_columns(schema) -> list[str]:
@@ -51,11 +53,12 @@ def forecast_2hr(df: DataFrame, *, unique: bool = True) -> DataFrame:
 def forecast_4day(df: DataFrame, *, unique: bool = True) -> DataFrame:
     """Days of the latest update of each snapshot side by side, four at most.
 
-    Copies of a row count once; they would take the places of later days.
+    Of a day that landed again the last landed row counts; a second one would take the place of
+    a later day.
     """
-    rows = df.select(*_feed_columns(S.FORECAST_4DAY))
-    rows = rename(rows.distinct() if unique else rows, S.to_warehouse_name)
+    rows = rename(_landed(df, *_feed_columns(S.FORECAST_4DAY)), S.to_warehouse_name)
     rows = rows.withColumn("__day", timetext.day("four_day_date"))
+    rows = _once(rows, [TS, "four_day_update_timestamp", "__day"], unique)
     values = [c for c in rows.columns
               if c not in (TS, "four_day_date", "four_day_update_timestamp", "__day")]
     return ranked_pivot(rows, [TS], ["__day", *values], values, len(S.DAYS),

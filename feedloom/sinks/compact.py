@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom import schemas as S
-from feedloom.operators.dedupe import keep_last
+from feedloom.operators.dedupe import LANDING, keep_last, landing_order
 from feedloom.sinks.files import write_table
 from feedloom.sources.csvfeeds import read_csv_by_name
 
@@ -37,16 +37,17 @@ def feed_glob(name: str) -> str:
 
 def merge_snapshots(df: DataFrame, keys=(), *, per_snapshot: bool = True,
                     order=()) -> DataFrame:
-    """Union of snapshots; with keys, the last reading of each.
+    """Union of snapshots; with keys, the last landed reading of each.
 
     ``per_snapshot`` keeps one reading per snapshot and key. Without it a reading that
-    several snapshots saw is kept in the latest of them only.
+    several snapshots saw is kept in the latest of them only. The columns that tell when a row
+    landed decide between readings of a snapshot, and are dropped.
     """
     if not keys:
-        return df
+        return df.drop(*LANDING)
     keys = [*([S.TS] if per_snapshot else []), *keys]
-    rest = [c for c in df.columns if c not in keys and c != S.TS]
-    return keep_last(df, keys, list(order) or [S.TS, *rest])
+    rest = [c for c in landing_order(df, keys) if c != S.TS]
+    return keep_last(df, keys, list(order) or [S.TS, *rest]).drop(*LANDING)
 
 
 def compact(spark: SparkSession, landing: str, out: str, feed: str, *,
@@ -56,7 +57,7 @@ def compact(spark: SparkSession, landing: str, out: str, feed: str, *,
     The landing files stay until the caller has switched to the new version.
     """
     spec = FEEDS[feed]
-    rows = read_csv_by_name(spark, landing, spec.schema, glob=feed_glob(feed))
+    rows = read_csv_by_name(spark, landing, spec.schema, glob=feed_glob(feed), landing=True)
     merged = merge_snapshots(rows, spec.keys if dedupe else (), per_snapshot=per_snapshot)
     write_table(merged, out, mode="errorifexists")
 
@@ -64,7 +65,7 @@ def compact(spark: SparkSession, landing: str, out: str, feed: str, *,
 def compact_landed(spark: SparkSession, table: str, out: str, feed: str, *,
                    dedupe: bool = False, per_snapshot: bool = True) -> None:
     """Rewrite a streamed table, whose batches left many small files."""
-    rows = spark.read.parquet(table).drop("dt", "batch")
+    rows = spark.read.parquet(table).drop("dt")
     keys = FEEDS[feed].keys if dedupe else ()
     write_table(merge_snapshots(rows, keys, per_snapshot=per_snapshot), out,
                 mode="errorifexists")

@@ -2,34 +2,50 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions import timetext
 from feedloom.functions.nulls import cast_clean
+from feedloom.operators.dedupe import LANDING, with_landing
 from feedloom.schemas import TS
 
 # Headers a row index is written under.
 INDEX_COLUMNS = ("_c0", "Unnamed: 0")
-# Columns a file may hold beside those of its schema; every slot costs parsing time.
-SPARE_COLUMNS = 8
+# Columns a streamed file may hold beside those of its schema; a wider row fails the batch.
+SPARE_COLUMNS = 64
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *,
              glob: str | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """Files that share one header. Read as text, then cast by name: a user schema on
-    the reader itself would bind by position."""
-    reader = spark.read.option("header", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    raw = reader.csv(path).drop(*INDEX_COLUMNS, *drop)
+    the reader itself would bind by position. A file whose header differs fails the job."""
+    def reader():
+        own = spark.read.option("header", True)
+        return own.option("pathGlobFilter", glob).option(
+            "recursiveFileLookup", True) if glob else own
+
+    texts = _texts(reader().csv(path).columns)
+    raw = reader().option("enforceSchema", False).schema(texts).csv(path)
+    return _typed(raw.drop(*INDEX_COLUMNS, *drop), schema, drop)
+
+
+def _texts(names) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def _typed(raw: DataFrame, schema: T.StructType, drop=(), keep=()) -> DataFrame:
+    """Columns of the schema by name, an absent one as NULL."""
     have = set(raw.columns)
     return raw.select(*[
         (cast_clean(F.col(f"`{f.name}`"), f.dataType) if f.name in have
          else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields if f.name not in drop
-    ])
+    ], *keep)
 
 
 def _slots(max_columns: int) -> T.StructType:
@@ -50,15 +66,19 @@ def csv_cells(reader, path: str, max_columns: int, *, glob: str | None = None) -
 
 
 def bind_by_name(cells: DataFrame, schema: T.StructType, *, marker: str = TS) -> DataFrame:
-    """Typed columns of ``(file, cells)`` rows.
+    """Typed columns of ``(file, cells)`` rows of a stream's batch.
 
     Every file's header is the row that holds ``marker`` as a value. Rows meet the header
-    of their own file, and each column is picked at the position that header names.
+    of their own file, and each column is picked at the position that header names. Rows of a
+    file without a header fail the batch.
     """
     is_header = F.coalesce(F.array_contains("cells", marker), F.lit(False))
     headers = (cells.filter(is_header).select("file", F.col("cells").alias("names"))
                .dropDuplicates(["file"]))
-    rows = cells.filter(~is_header).join(headers, "file")
+    rows = cells.filter(~is_header).join(headers, "file", "left")
+    named = F.assert_true(F.col("names").isNotNull(), F.concat(
+        F.lit(f"no header with {marker} in "), F.col("file")))
+    rows = rows.filter(named.isNull())
 
     def pick(field: T.StructField):
         at = F.nullif(F.array_position("names", F.lit(field.name)), F.lit(0))
@@ -70,11 +90,39 @@ def bind_by_name(cells: DataFrame, schema: T.StructType, *, marker: str = TS) ->
 
 def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType, *,
                      marker: str = TS, glob: str | None = None,
-                     max_columns: int | None = None) -> DataFrame:
-    """Files whose headers differ in order or number of columns; a row wider than
-    ``max_columns`` fails the job."""
-    width = max_columns or len(schema.fields) + SPARE_COLUMNS
-    return bind_by_name(csv_cells(spark.read, path, width, glob=glob), schema, marker=marker)
+                     landing: bool = False) -> DataFrame:
+    """Files whose headers differ in order or number of columns.
+
+    One pass finds each file's header, the line that has ``marker`` among its cells. Files are
+    then read by Spark's own reader, a group per distinct header, and unioned by name: rows do
+    not meet headers in a join. The driver holds a path and a header per file, as it does to
+    list them. A file with lines but no such header fails. ``landing`` adds the columns that
+    tell when a row landed.
+    """
+    reader = spark.read
+    if glob:
+        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    cells = F.split(F.replace(F.col("value"), F.lit('"'), F.lit("")), ",")
+    heads = reader.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(F.when(F.array_contains(cells, marker), F.col("value"))).alias("head")).collect()
+    bare = sorted(r["file"] for r in heads if r["head"] is None)
+    if bare:
+        raise ValueError(f"no header with {marker!r} in {bare[0]}" + (
+            f" and {len(bare) - 1} more files" if bare[1:] else ""))
+    groups: dict[str, list[str]] = {}
+    for r in heads:
+        groups.setdefault(r["head"], []).append(r["file"])
+
+    def read(head: str, files: list[str]) -> DataFrame:
+        names = next(csv.reader([head]))
+        seen = [n if n and n not in names[:i] else f"_c{i}" for i, n in enumerate(names)]
+        raw = spark.read.option("header", True).schema(_texts(seen)).csv(sorted(files))
+        return _typed(with_landing(raw) if landing else raw, schema,
+                      keep=LANDING[1:] if landing else ())
+
+    parts = [read(*g) for g in sorted(groups.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame(
+        [], schema)
 
 
 def read_snapshot(df: DataFrame, call_timestamp=None, ts: str = TS) -> DataFrame:

@@ -52,6 +52,22 @@ def slice_snapshots(df: DataFrame, mode: str = "today", as_of=None, ts: str = TS
     return slice_latest(df, ts) if mode == "latest" else slice_day(df, mode, as_of, ts)
 
 
+def missing_members(held: DataFrame, members: DataFrame, snapshots: DataFrame,
+                    key: str = TS) -> DataFrame:
+    """Members that a snapshot lacks; only missing rows come into being.
+
+    ``held`` holds (key, members' columns), ``members`` is a dimension such as the cameras and
+    their directions. The members a snapshot holds are one set per snapshot.
+    """
+    names = members.columns
+    one = F.struct(*names)
+    every = members.distinct().agg(F.collect_list(one)).scalar()
+    have = held.groupBy(key).agg(F.collect_set(one).alias("__have"))
+    asked = snapshots.select(key).distinct().join(have, key, "left")
+    lacks = F.array_except(every, F.coalesce("__have", F.array_except(every, every)))
+    return asked.select(key, F.inline(lacks))
+
+
 def expected_grid(snapshots: DataFrame, members: DataFrame, *, buckets: int = 64,
                   small_rows: int = SMALL_ROWS) -> DataFrame:
     """Every snapshot with every member, the rows a complete table would hold.

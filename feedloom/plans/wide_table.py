@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedloom.operators.align import common_keys, slice_day, slice_latest
 from feedloom.plans import feeds as N
 from feedloom.schemas import TS, WAREHOUSE
+from feedloom.session import has_at_most
 from feedloom.sinks.files import conform
 
 
@@ -42,16 +44,25 @@ def complete_snapshots(feeds: Feeds) -> DataFrame:
     return common_keys(feeds.facts(), TS)
 
 
+def small_or_spread(cams: DataFrame) -> DataFrame:
+    """The camera map with a broadcast hint if it is a few hundred cameras, as it should be."""
+    return F.broadcast(cams) if has_at_most(cams) else cams
+
+
 def build_wide_table(feeds: Feeds, mode: str = "all", as_of=None, *, unique: bool = True,
                      snapshots: DataFrame | None = None) -> DataFrame:
     """The 65-column table.
 
     The congestion feed leads: the table has no row without one, so the grid of snapshots
     and cameras never needs to exist. The day slice is applied to every feed, which prunes
-    their folders. Narrow readings join before the wide forecasts. The complete snapshots
-    restrict the four-day forecast, one row per snapshot, whose inner join restricts the
-    rest: the large side is not shuffled for them.
+    their folders. Each feed is dealt by snapshot once, and deduped and joined in that
+    dealing: all keys hold the snapshot, so no side moves again. Narrow readings join before
+    the wide forecasts. The complete snapshots restrict the four-day forecast, one row per
+    snapshot, whose inner join restricts the rest.
     """
+    spark = feeds.congestion.sparkSession
+    # Lets joins on (snapshot, station) use sides that are both dealt by snapshot.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     feeds = feeds.map_facts(lambda df: slice_day(df, mode, as_of))
     if snapshots is None:
         snapshots = complete_snapshots(feeds)
@@ -60,6 +71,8 @@ def build_wide_table(feeds: Feeds, mode: str = "all", as_of=None, *, unique: boo
         feeds = feeds.map_facts(lambda df: df.join(snapshots, TS, "left_semi"))
 
     cams = N.camera_map(feeds.camera_map).join(N.route_keys(feeds.routes), "cam_id")
+    cams = small_or_spread(cams)
+    feeds = feeds.map_facts(lambda df: df.repartition(TS))
     base = N.congestion(feeds.congestion, unique=unique).join(cams, ["cam_id", "direction"])
     days = N.forecast_4day(feeds.forecast_4day, unique=unique).join(snapshots, TS, "left_semi")
     out = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,14 +41,18 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+
+    Only where the setting is missing and all tasks run in this process is one made up.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     root = os.path.join(tempfile.gettempdir(), "feedloom-shared")
     spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 

@@ -10,25 +10,25 @@ from pyspark.sql.streaming.query import StreamingQuery
 from feedloom.plans.wide_table import Feeds, build_wide_table, complete_snapshots
 from feedloom.schemas import TS
 from feedloom.session import cut_lineage
-from feedloom.sinks.append import append_new
-from feedloom.sources.csvfeeds import with_day
+from feedloom.sinks.append import append_new, on_days, touched_days
 from feedloom.streaming.landing import start
 
 
-def touched_feeds(feeds: Feeds, touched: DataFrame) -> Feeds:
-    """Rows of the touched snapshots; the day column lets Spark prune folders."""
-    stamps = with_day(touched.select(TS).distinct())
+def touched_feeds(feeds: Feeds, touched: DataFrame, days: list | None = None) -> Feeds:
+    """Rows of the touched snapshots; of tables by day only the touched folders are read."""
+    stamps = touched.select(TS).distinct()
+    days = touched_days(stamps) if days is None else days
 
     def narrow(df: DataFrame) -> DataFrame:
-        on = ["dt", TS] if "dt" in df.columns else [TS]
-        return df.join(stamps.select(*on), on, "left_semi")
+        part = on_days(df, days) if "dt" in df.columns else df
+        return part.join(stamps, TS, "left_semi")
 
     return feeds.map_facts(narrow)
 
 
-def fuse_touched(feeds: Feeds, touched: DataFrame) -> DataFrame:
+def fuse_touched(feeds: Feeds, touched: DataFrame, days: list | None = None) -> DataFrame:
     """Wide rows of those touched snapshots that every feed holds by now."""
-    part = touched_feeds(feeds, touched)
+    part = touched_feeds(feeds, touched, days)
     return build_wide_table(part, snapshots=complete_snapshots(part))
 
 
@@ -52,7 +52,7 @@ def fuse_stream(spark: SparkSession, tables: dict[str, str], routes: DataFrame,
         feeds = Feeds(**{n: session.read.parquet(tables[n]) for n in Feeds.FACTS},
                       routes=routes, camera_map=camera_map)
         touched = cut_lineage(batch.select(TS).distinct())
-        days = with_day(touched).select("dt").distinct()
-        append_new(fuse_touched(feeds, touched), target, days=days)
+        days = touched_days(touched)
+        append_new(fuse_touched(feeds, touched, days), target, days=days)
 
     return start(arrivals, each, checkpoint, every=every)

@@ -169,7 +169,8 @@ _SERIES = f"""WITH {LIGHT_WIDE}, series AS (
 
 
 def _series(spark, sf):
-    return reports.congestion_series(light_wide(spark, sf), "2024-01-05", "", 6, 24, camera=None)
+    return reports.congestion_series(light_wide(spark, sf), "2024-01-05", "", 6, 24,
+                                     camera=reports.ALL_CAMERAS)
 
 
 @query("congestion_series", _SERIES + " SELECT * FROM series ORDER BY date, time, direction")
@@ -244,7 +245,8 @@ def spread_join(spark, sf):
     items = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("s_suppkey"))
     side = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return joins.spread_join(items, side, ["s_suppkey"], "left").drop("s_suppkey")
+    return joins.spread_join(items, side, ["s_suppkey"], "left",
+                             by=["l_orderkey", "l_linenumber"]).drop("s_suppkey")
 
 
 @query("idempotent_append", """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders

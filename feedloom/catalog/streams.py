@@ -16,8 +16,8 @@ from feedloom.streaming import fusing, landing
 
 def _stream(spark, sf):
     schema = table(spark, sf, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .parquet(sf))
+    # A stream lists folders; a pattern names the table itself, one file or a folder of them.
+    return spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
 
 
 def _canon(df):

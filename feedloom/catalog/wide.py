@@ -113,6 +113,8 @@ _FOUR = ", ".join(
     + [f"max(CASE WHEN rn = {d} THEN 'W' || event_id END) AS four_day_forecast_{d}, "
        f"max(CASE WHEN rn = {d} THEN 'D' || (k % 8) END) AS four_day_wind_direction_{d}"
        for d in S.DAYS])
+# Of a day that landed again the last row counts; without a landing order values decide.
+_FOUR_LAST = "'W' || event_id DESC"
 _REGION_SQL = "['west', 'east', 'central', 'south', 'north']"
 
 WIDE_CTES = f"""{READINGS},
@@ -140,7 +142,8 @@ day AS (SELECT * EXCLUDE (k), {", ".join(
     f"compass || '{p}-' || k AS twenty_four_hr_period_{p}" for p in S.PERIODS)}
   FROM day1, (SELECT unnest({_REGION_SQL}) AS compass)),
 four0 AS (SELECT *, CAST(canon[1:10] AS DATE) + CAST(k % 9 AS INTEGER) AS d, k % 2 AS upd
-  FROM ev WHERE event_type = 'purchase'),
+  FROM ev WHERE event_type = 'purchase'
+  QUALIFY row_number() OVER (PARTITION BY call_timestamp, upd, d ORDER BY {_FOUR_LAST}) = 1),
 four1 AS (SELECT *, row_number() OVER (PARTITION BY call_timestamp
     ORDER BY d, 'W' || event_id) AS rn FROM (
   SELECT *, max(upd) OVER (PARTITION BY call_timestamp) AS last FROM four0) WHERE upd = last),
@@ -198,9 +201,8 @@ def missing_rows(spark, sf):
     """Cameras and directions without a congestion record in a complete snapshot."""
     f = feeds(spark, sf)
     members = f.camera_map.select("cam_id").join(N.route_keys(f.routes), "cam_id")
-    grid = align.expected_grid(complete_snapshots(f), members)
-    have = N.congestion(f.congestion).select(S.TS, "cam_id", "direction")
-    return grid.join(have, [S.TS, "cam_id", "direction"], "left_anti")
+    have = N.congestion(f.congestion, unique=False).select(S.TS, "cam_id", "direction")
+    return align.missing_members(have, members, complete_snapshots(f))
 
 
 def _feed_query(name: str, cte: str, how):
@@ -226,17 +228,67 @@ _feed_query("feed_forecast_4day", "four", lambda ev: _as_int(
 _feed_query("feed_congestion", "label", lambda ev: N.congestion(congestion_feed(ev)))
 
 
+def _landed_twice(feed, value: str, corrected):
+    """A feed whose rows of every third day landed again in a later batch with another value."""
+    again = feed.filter(F.substring(S.TS, 10, 1).cast("int") % 3 == 0)
+    again = again.withColumn(value, corrected)
+    return feed.withColumn("batch", F.lit(0)).unionByName(again.withColumn("batch", F.lit(1)))
+
+
+@query("keep_last_landed", f"""WITH {READINGS}, r AS (SELECT call_timestamp,
+  1000 + user_id % 20 AS cam_id, event_id % 3 + 1 AS direction,
+  CASE WHEN CAST(call_timestamp[10:10] AS INTEGER) % 3 = 0 THEN 'Heavy' ELSE {LABEL_SQL} END
+    AS label FROM ev)
+SELECT call_timestamp, cam_id, direction, max(label) AS trafficcongestion FROM r GROUP BY ALL""")
+def keep_last_landed(spark, sf):
+    """The last landed row counts, though its value sorts before the first one."""
+    feed = congestion_feed(readings(spark, sf))
+    return N.congestion(_landed_twice(feed, "trafficCongestion", F.lit("Heavy")))
+
+
+@query("forecast_4day_landed", f"""WITH {WIDE_CTES}, c AS (SELECT * FROM four)
+SELECT call_timestamp, four_day_forecast_1 IS NOT NULL AS d1, four_day_forecast_2 IS NOT NULL AS d2,
+  four_day_forecast_3 IS NOT NULL AS d3, four_day_forecast_4 IS NOT NULL AS d4,
+  CASE WHEN CAST(call_timestamp[10:10] AS INTEGER) % 3 = 0 THEN 'A corrected'
+       ELSE four_day_forecast_1 END AS first FROM c""")
+def forecast_4day_landed(spark, sf):
+    """Days that landed again take no second slot."""
+    feed = forecast_4day_feed(readings(spark, sf))
+    wide = N.forecast_4day(_landed_twice(feed, "4day_forecast", F.lit("A corrected")))
+    return wide.select(S.TS, *[F.col(f"four_day_forecast_{d}").isNotNull().alias(f"d{d}")
+                               for d in S.DAYS], F.col("four_day_forecast_1").alias("first"))
+
+
 _REPORT = ", ".join(f'{n} AS "{S.to_feed_name(n)}"' for n in S.REPORT_ORDER)
 
 
-@query("range_report", f"""WITH {WIDE_CTES}, part AS (SELECT * FROM wide
-  WHERE call_timestamp >= '2024-01-03T000000' AND call_timestamp <= '2024-01-28T120000'
-  ORDER BY call_timestamp, cam_id, direction LIMIT 1000) SELECT {_REPORT} FROM part""")
+_PART = f"""WITH {WIDE_CTES}, part AS (SELECT * FROM wide
+  WHERE call_timestamp >= '2024-01-03T000000' AND call_timestamp <= '2024-01-28T120000')"""
+
+
+@query("range_report", f"{_PART} SELECT {_REPORT} FROM part")
 def range_report(spark, sf):
     return reports.range_report(build_wide_table(feeds(spark, sf)), "2024-01-03", "2024-01-28",
                                 0, 12)
 
 
+@query("range_first", f"""{_PART} SELECT {_REPORT} FROM (
+  SELECT * FROM part ORDER BY call_timestamp, cam_id, direction LIMIT 1000)""")
+def range_first(spark, sf):
+    return reports.range_first(build_wide_table(feeds(spark, sf)), 1000, "2024-01-03",
+                               "2024-01-28", 0, 12)
+
+
+@query("range_blank", f"""WITH {WIDE_CTES}, part AS (SELECT * FROM wide WHERE call_timestamp <=
+  (SELECT substr(max(call_timestamp), 1, 10) || 'T120000' FROM complete))
+SELECT {_REPORT} FROM part""")
+def range_blank(spark, sf):
+    """Blank dates are looked up among the snapshots, not by a second run of the wide table."""
+    f = feeds(spark, sf)
+    return reports.range_report(build_wide_table(f), "", "", 0, 12,
+                                snapshots=complete_snapshots(f))
+
+
 @query("wide_profile", f"""WITH {WIDE_CTES} SELECT cam_id, direction,
   substr(call_timestamp, 12, 2) AS time_hr, """ + ", ".join(
     f"avg(coalesce({m}, 0)) AS {m}" for m in S.MEASURES) + " FROM wide GROUP BY ALL")

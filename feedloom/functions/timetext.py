@@ -7,6 +7,9 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: zone whose wall-clock time the feeds carry.
+FEED_ZONE = "Asia/Singapore"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -62,14 +65,14 @@ def bound_col(date, hour) -> Column:
     return F.format_string("%sT%02d0000", _col(date), _col(hour))
 
 
-def local_now(zone: str = "Asia/Singapore") -> Column:
+def local_now(zone: str = FEED_ZONE) -> Column:
     """Canonical text of the current wall-clock time in ``zone``."""
     return canonical(F.convert_timezone(
         F.current_timezone(), F.lit(zone), F.current_timestamp().cast("timestamp_ntz")))
 
 
-def as_date(value: dt.date | str | None) -> Column:
-    """``as_of`` argument: a date, its text, or today."""
+def as_date(value: dt.date | str | None, zone: str = FEED_ZONE) -> Column:
+    """``as_of`` argument: a date, its text, or today in the feeds' zone."""
     if value is None:
-        return F.current_date()
+        return day(local_now(zone))
     return F.lit(str(value)).cast("date")

@@ -27,7 +27,7 @@ def forest(features, *, trees: int = TREES, depth: int = DEPTH, seed: int = 42,
     """Assembler and classifier. Node ids are cached and cut at intervals, so deep trees
     neither ship themselves to every task nor grow an endless lineage."""
     model = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees,
-                                   maxDepth=depth, seed=seed, cacheNodeIds=depth > 10,
+                                   maxDepth=depth, seed=seed, cacheNodeIds=True,
                                    checkpointInterval=10)
     return Pipeline(stages=[assembler(features), model])
 

@@ -42,9 +42,16 @@ def nearest_snapshot(requests: DataFrame, snapshots: DataFrame, *, ts: str = TS,
     """Adds the snapshot with the least minute difference to each request.
 
     ``requests`` holds ``date`` (yyyy-MM-dd) and ``time`` (HHmm or HHmmss). The earliest
-    snapshot wins a tie; a request without a snapshot in its hour gets NULL. Answers are
-    worked out once per minute of an hour, so a request costs one equality join.
+    snapshot wins a tie; a request without a snapshot in its hour gets NULL. Where date or time
+    is blank, both are those of the first snapshot held. Answers are worked out once per minute
+    of an hour, so a request costs one equality join.
     """
+    blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
+    first = snapshots.agg(F.min(ts)).scalar()
+    unsaid = blank("date") | blank("time")
+    requests = requests.withColumns({
+        "date": F.when(unsaid, timetext.date_part(first)).otherwise(F.col("date")),
+        "time": F.when(unsaid, timetext.hhmm_part(first)).otherwise(F.col("time"))})
     hour = F.substring("time", 1, 2)
     minute = F.least(F.substring("time", 3, 2).try_cast("int"), F.lit(59))
     asked = requests.withColumns({

@@ -12,7 +12,9 @@ from feedloom.operators.nearest_time import clamp_hour
 from feedloom.operators.reshape import rename
 from feedloom.schemas import TS
 
-REPORT_ROWS = 1000
+# Fixed value: camera a blank entry stands for.
+DEFAULT_CAMERA = 1001
+ALL_CAMERAS = "all"
 
 
 def hourly_profile(wide: DataFrame, measures=S.MEASURES) -> DataFrame:
@@ -37,28 +39,39 @@ def snapshot_times(wide: DataFrame) -> DataFrame:
 
 def in_range(wide: DataFrame, start_date: str = "", end_date: str = "",
              start_hour: int = 0, end_hour: int = 24, *, camera=None,
-             ts: str = TS, camera_column: str = "cam_id") -> DataFrame:
-    """Rows between two inclusive bounds; a blank date means the first or last one held."""
-    if start_date and end_date and (
-            timetext.bound(end_date, end_hour) < timetext.bound(start_date, start_hour)):
-        raise ValueError("the end of the period lies before its start")
+             ts: str = TS, camera_column: str = "cam_id",
+             snapshots: DataFrame | None = None) -> DataFrame:
+    """Rows between two inclusive bounds; a blank date means the first or last one held.
+
+    ``snapshots`` lists the timestamps of ``wide`` where the caller has them more cheaply; blank
+    dates are looked up there. An end before the start fails, with blank dates once the job runs.
+    """
+    stamps = wide if snapshots is None else snapshots
 
     def bound(date, hour, pick):
         timetext.bound(date or "0", hour)
         if date:
             return F.lit(timetext.bound(date, hour))
-        held = wide.agg(pick(ts).alias("b")).select(
+        held = stamps.agg(pick(ts).alias("b")).select(
             timetext.bound_col(timetext.date_part("b"), F.lit(hour)))
         return held.scalar()
 
+    low, high = bound(start_date, start_hour, F.min), bound(end_date, end_hour, F.max)
+    if start_date and end_date:
+        if timetext.bound(end_date, end_hour) < timetext.bound(start_date, start_hour):
+            raise ValueError("the end of the period lies before its start")
+        forward = F.lit(True)
+    else:
+        forward = F.assert_true(F.coalesce(low <= high, F.lit(True)), F.lit(
+            "the end of the period lies before its start")).isNull()
+
     out = wide
     if "dt" in wide.columns:
         if start_date:
             out = out.filter(F.col("dt") >= F.lit(start_date).cast("date"))
         if end_date:
             out = out.filter(F.col("dt") <= F.lit(end_date).cast("date"))
-    out = out.filter(F.col(ts).between(bound(start_date, start_hour, F.min),
-                                       bound(end_date, end_hour, F.max)))
+    out = out.filter(forward & F.col(ts).between(low, high))
     if camera not in (None, ""):
         out = out.filter(F.col(camera_column) == int(camera))
     return out
@@ -66,16 +79,31 @@ def in_range(wide: DataFrame, start_date: str = "", end_date: str = "",
 
 def range_report(wide: DataFrame, start_date: str = "", end_date: str = "",
                  start_hour: int = 0, end_hour: int = 24, *, camera=None,
-                 rows: int = REPORT_ROWS) -> DataFrame:
-    """First rows of a period in time order, under feed names in display order."""
-    part = in_range(wide, start_date, end_date, start_hour, end_hour, camera=camera)
-    top = part.orderBy(TS, "cam_id", "direction").limit(rows)
-    return rename(top.select(*S.REPORT_ORDER), S.to_feed_name)
+                 snapshots: DataFrame | None = None) -> DataFrame:
+    """All rows of a period in time order, under feed names in display order."""
+    part = in_range(wide, start_date, end_date, start_hour, end_hour, camera=camera,
+                    snapshots=snapshots)
+    return rename(by_snapshot(part).select(*S.REPORT_ORDER), S.to_feed_name)
+
+
+def range_first(wide: DataFrame, n: int, *bounds, **how) -> DataFrame:
+    """The first ``n`` rows of a report."""
+    return range_report(wide, *bounds, **how).limit(n)
+
+
+def by_snapshot(wide: DataFrame) -> DataFrame:
+    """The table read in the order of snapshot, camera and direction."""
+    return wide.orderBy(TS, "cam_id", "direction")
 
 
 def congestion_series(wide: DataFrame, start_date: str = "", end_date: str = "",
-                      start_hour: int = 0, end_hour: int = 24, *, camera=1001) -> DataFrame:
-    """Level per snapshot and direction of a camera, in time order."""
+                      start_hour: int = 0, end_hour: int = 24, *,
+                      camera=DEFAULT_CAMERA) -> DataFrame:
+    """Level per snapshot and direction of a camera, in time order.
+
+    A blank camera means 1001; ``ALL_CAMERAS`` asks for every one.
+    """
+    camera = None if camera == ALL_CAMERAS else DEFAULT_CAMERA if camera in (None, "") else camera
     part = in_range(wide, start_date, end_date, start_hour, end_hour, camera=camera)
     return part.select(
         TS, "direction", timetext.date_part(TS).alias("date"),
@@ -102,7 +130,9 @@ def profile_lookup(profile: DataFrame, requests: DataFrame) -> DataFrame:
     """Profile rows for requests ``(cam_id, time)``; blanks mean camera 1001, hour 01."""
     hour = F.substring("time", 1, 2)
     hour = F.when(F.coalesce(hour, F.lit("")) == "", "01").otherwise(clamp_hour(hour))
+    text = F.trim(F.coalesce(F.col("cam_id").cast("string"), F.lit("")))
     asked = requests.select(
-        F.coalesce(F.col("cam_id").cast("long"), F.lit(1001)).alias("cam_id"),
+        F.when(text == "", F.lit(DEFAULT_CAMERA)).otherwise(text.try_cast("long"))
+        .cast("long").alias("cam_id"),
         hour.alias("time_hr")).distinct()
     return profile.join(asked, ["cam_id", "time_hr"])

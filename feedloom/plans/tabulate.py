@@ -13,8 +13,11 @@ from feedloom.operators.reshape import paired_unpivot, prefix
 from feedloom.schemas import TS
 from feedloom.sources.payloads import flatten
 
-def _item():
-    return F.try_element_at(F.col("payload.items"), F.lit(1))
+
+def _items(payloads: DataFrame, *more) -> DataFrame:
+    """A row per item of a payload; a payload over a period holds several. One without an item
+    keeps a row, its metadata may still tell of stations."""
+    return payloads.select(TS, *more, F.explode_outer("payload.items").alias("item"))
 
 
 def _loc(c):
@@ -37,7 +40,7 @@ def readings(payloads: DataFrame, kind: str) -> DataFrame:
 
     Both sides sit in the same document, so the outer join stays inside the row.
     """
-    item = payloads.select(TS, _item().alias("item"), "payload.metadata.stations")
+    item = _items(payloads, F.col("payload.metadata.stations").alias("stations"))
     both = item.select(
         TS, canonical(F.col("item.timestamp")).alias("timestamp"),
         F.coalesce("item.readings", F.array()).alias("readings"),
@@ -68,8 +71,7 @@ def non_rainfall(by_kind: dict[str, DataFrame]) -> DataFrame:
 
 def forecast_2hr(payloads: DataFrame) -> DataFrame:
     """Forecast per area; an area needs both a forecast and a location."""
-    base = payloads.select(
-        TS, _item().alias("item"), "payload.area_metadata").select(
+    base = _items(payloads, F.col("payload.area_metadata").alias("area_metadata")).select(
         TS, canonical(F.col("item.valid_period.start")).alias("2hr_start"),
         canonical(F.col("item.valid_period.end")).alias("2hr_end"),
         F.explode("item.forecasts").alias("f"), "area_metadata")
@@ -92,8 +94,8 @@ def _general(item) -> list:
 
 
 def forecast_24hr(payloads: DataFrame) -> DataFrame:
-    """One row per payload: the general block and three periods with five regions."""
-    item = payloads.select(TS, _item().alias("item"))
+    """One row per item: the general block and three periods with five regions."""
+    item = _items(payloads)
     general = [c.alias(n) for c, n in zip(
         _general(F.col("item.general")),
         [n for n in S.FORECAST_24HR.fieldNames() if n.startswith("24hr_general_")])]
@@ -111,18 +113,20 @@ def forecast_24hr(payloads: DataFrame) -> DataFrame:
 
 def periods_long(payloads: DataFrame) -> DataFrame:
     """Every period and region of a 24-hour payload as a row, however many there are."""
-    item = payloads.select(TS, F.posexplode(_item()["periods"]).alias("pos", "p"))
-    return item.select(
+    period = _items(payloads).select(TS, F.posexplode("item.periods").alias("pos", "p"))
+    # Times are worked out once per period, before its regions become rows.
+    timed = period.select(
         TS, (F.col("pos") + 1).alias("period"), canonical(F.col("p.time.start")).alias("start"),
-        canonical(F.col("p.time.end")).alias("end"),
-        F.explode("p.regions").alias("region", "forecast"))
+        canonical(F.col("p.time.end")).alias("end"), F.col("p.regions").alias("regions"))
+    return timed.select(TS, "period", "start", "end",
+                        F.explode("regions").alias("region", "forecast"))
 
 
 def forecast_4day(payloads: DataFrame) -> DataFrame:
     """One row per forecast day; nested fields flattened, the day's own stamp dropped."""
-    day = payloads.select(
-        TS, canonical(_item()["update_timestamp"]).alias("4day_update_timestamp"),
-        F.explode(_item()["forecasts"]).alias("f"))
+    day = _items(payloads).select(
+        TS, canonical(F.col("item.update_timestamp")).alias("4day_update_timestamp"),
+        F.explode("item.forecasts").alias("f"))
     flat = prefix(flatten(day, "f"), "4day_", keep=(TS, "4day_update_timestamp"))
     return (flat.withColumn("4day_date", canonical("4day_date"))
             .select(*S.FORECAST_4DAY.fieldNames()))
@@ -148,7 +152,7 @@ def congestion(payloads: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def cameras(payloads: DataFrame) -> DataFrame:
-    cam = payloads.select(F.explode(_item()["cameras"]).alias("c"))
+    cam = _items(payloads).select(F.explode("item.cameras").alias("c"))
     return cam.select(F.col("c.camera_id").cast("long").alias("cam_id"),
                       F.col("c.location.latitude").alias("lat"),
                       F.col("c.location.longitude").alias("lon"))

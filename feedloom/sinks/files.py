@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.schemas import TS, WAREHOUSE
-from feedloom.session import has_at_most
 from feedloom.sources.csvfeeds import with_day
 
 
@@ -28,11 +27,9 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, *, mode: str = "append",
-                     max_rows: int = 1_000_000) -> None:
-    """One file with header; larger results belong in :func:`write_csv`."""
-    if not has_at_most(df, max_rows):
-        raise ValueError(f"more than {max_rows} rows; use write_csv")
+def write_single_csv(df: DataFrame, path: str, *, mode: str = "append") -> None:
+    """One file with header, written by one task: an export of a small result. Larger ones
+    belong in :func:`write_csv`."""
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 

@@ -7,10 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from feedloom.catalog import ORACLE, QUERIES
 from tools.check_queries import canonical
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 # Their small forests need more rows than the smallest tables hold.
 NEEDS_ROWS = {"profile_prediction": "/root/testdata/sf0.01"}
 
@@ -41,6 +41,11 @@ def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def test_entry_registers_the_catalog():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_has_rows(spark):
     df = entry.entry(spark)
     assert len(df.columns) == 65

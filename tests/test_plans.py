@@ -4,15 +4,15 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
-from feedloom.operators import align, dedupe, reshape
+from feedloom.catalog import QUERIES
+from feedloom.operators import align, dedupe, joins, reshape
 from feedloom.plans.wide_table import Feeds, build_wide_table
 from feedloom.session import scratch_dir
-from feedloom.sinks import files
+from feedloom.sinks import append, files
+from feedloom.streaming import fusing
 from tests import fixtures as X
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
 # Iterating fits and streams have no single plan worth reading.
 SKIP = {n for n in QUERIES if n.startswith(("forest_", "stream_", "profile_prediction", "one_hot"))}
 
@@ -62,17 +62,57 @@ def test_reshapes_do_not_shuffle(spark):
         assert "Exchange" not in plan(QUERIES[name](spark, SF)), name
 
 
-def test_top_rows_are_taken_without_a_global_sort(spark):
-    assert "TakeOrderedAndProject(limit=1000" in plan(QUERIES["range_report"](spark, SF))
+def test_first_rows_are_taken_without_a_global_sort(spark):
+    assert "TakeOrderedAndProject(limit=1000" in plan(QUERIES["range_first"](spark, SF))
+    assert "TakeOrdered" not in plan(QUERIES["range_report"](spark, SF))
 
 
-def test_day_slice_prunes_folders_of_every_feed(spark):
+def landed_feeds(spark):
     base, feeds = scratch_dir(spark, "p"), X.feeds(spark)
     for n in Feeds.FACTS:
         files.write_table(getattr(feeds, n), f"{base}/{n}")
-    landed = Feeds(**{n: spark.read.parquet(f"{base}/{n}") for n in Feeds.FACTS},
-                   routes=feeds.routes, camera_map=feeds.camera_map)
-    text = plan(build_wide_table(landed, "today", "2024-03-01"))
+    return Feeds(**{n: spark.read.parquet(f"{base}/{n}") for n in Feeds.FACTS},
+                 routes=feeds.routes, camera_map=feeds.camera_map)
+
+
+def test_wide_table_exchanges_each_feed_once(spark):
+    """With broadcasts off; the list of complete snapshots has one exchange of its own."""
+    feeds = landed_feeds(spark)
+    snapshots = spark.createDataFrame([("2024-03-01T000500",)], "call_timestamp string")
+    cost = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(build_wide_table(feeds, snapshots=snapshots))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", cost)
+    by_snapshot = re.findall(r"Exchange hashpartitioning\(call_timestamp#\d+, \d+\)", text)
+    assert len(by_snapshot) == 7  # six feeds and the snapshots
+    facts = [x for x in re.findall(r"Exchange hashpartitioning\([^)]*\)", text)
+             if "call_timestamp" in x]
+    assert len(facts) == 7
+
+
+def test_fusing_reads_only_touched_days(spark):
+    feeds = landed_feeds(spark)
+    touched = spark.createDataFrame([("2024-03-01T000500",)], "call_timestamp string")
+    days = append.touched_days(touched)
+    part = fusing.touched_feeds(feeds, touched, days)
+    scans = [x for df in part.facts() for x in plan(df).split("\n") if "FileScan" in x]
+    assert len(scans) == 6
+    assert all(re.search(r"PartitionFilters: \[[^]]*2024-03-01", x) for x in scans)
+    assert re.search(r"PartitionFilters: \[[^]]*2024-03-01",
+                     plan(append.on_days(feeds.rainfall, days)))
+
+
+def test_spread_join_reads_only_its_columns(spark):
+    big = spark.read.parquet(f"{SF}/lineitem.parquet")
+    side = spark.read.parquet(f"{SF}/supplier.parquet").withColumnRenamed("s_suppkey", "l_suppkey")
+    text = plan(joins.spread_join(big, side, ["l_suppkey"]).select("l_orderkey", "s_name"))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>" in text
+
+
+def test_day_slice_prunes_folders_of_every_feed(spark):
+    text = plan(build_wide_table(landed_feeds(spark), "today", "2024-03-01"))
     scans = [line for line in text.split("\n") if "FileScan" in line]
     assert len(scans) == 12
     assert all(re.search(r"PartitionFilters: \[[^]]*2024-03-01", s) for s in scans)

@@ -50,10 +50,33 @@ def test_csv_one_header_drops_index_and_casts(spark, rows, tmp_path):
         (1001, "S1", "Kallang"), (None, "S2", "Bedok")]
 
 
-def test_too_many_columns_fail(spark, tmp_path):
-    put(f"{tmp_path}/x.csv", RAIN_A)
-    with pytest.raises(Exception, match="more than 3 columns"):
-        csvfeeds.read_csv_by_name(spark, str(tmp_path), S.RAINFALL, max_columns=3).collect()
+def test_wide_files_are_read_and_bare_ones_fail(spark, tmp_path):
+    more = ",".join(f"x{i}" for i in range(90))
+    lines = RAIN_A.strip().split("\n")
+    put(f"{tmp_path}/a.csv", RAIN_A)
+    put(f"{tmp_path}/wide.csv", f"{more},{lines[0]}\n" + "".join(
+        f"{',' * 89},{x}\n" for x in lines[1:]))
+    df = csvfeeds.read_csv_by_name(spark, str(tmp_path), S.RAINFALL)
+    assert df.count() == 2 * df.distinct().count()
+    put(f"{tmp_path}/bare.csv", "1,2,3\n")
+    with pytest.raises(ValueError, match="bare.csv"):
+        csvfeeds.read_csv_by_name(spark, str(tmp_path), S.RAINFALL)
+
+
+def test_one_header_reader_refuses_another_header(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", "station_id,call_timestamp\nS1,2024-03-01T000500\n")
+    put(f"{tmp_path}/b.csv", "call_timestamp,station_id\n2024-03-01T000500,S1\n")
+    with pytest.raises(Exception, match="header"):
+        csvfeeds.read_csv(spark, str(tmp_path), S.RAINFALL).collect()
+
+
+def test_mixed_headers_are_read_without_a_join(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", RAIN_A)
+    put(f"{tmp_path}/b.csv", "call_timestamp,rainfall_realtime\n2024-03-01T000500,1\n")
+    df = csvfeeds.read_csv_by_name(spark, str(tmp_path), S.RAINFALL, landing=True)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text
+    assert df.select("landed_file").distinct().count() == 2
 
 
 def test_route_table_from_seed(spark, rows, tmp_path):
@@ -164,12 +187,11 @@ def test_bulk_copy_text(spark):
     assert lines[1].endswith(",")       # the unknown label
 
 
-def test_single_csv_refuses_large_results(spark):
+def test_single_csv_is_one_file(spark):
     path = scratch_dir(spark, "t")
-    files.write_single_csv(spark.range(10), path, max_rows=10)
+    files.write_single_csv(spark.range(1000).repartition(4), path)
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
-    with pytest.raises(ValueError):
-        files.write_single_csv(spark.range(11), path, max_rows=10)
+    assert spark.read.option("header", True).csv(path).count() == 1000
 
 
 def test_compaction(spark, rows, tmp_path):

@@ -14,6 +14,7 @@ from feedloom.operators.nearest_time import nearest_snapshot
 from feedloom.plans import reports
 from feedloom.sinks.append import union_new
 from feedloom.sinks.files import key_violations
+from feedloom.sources.images import image_name, parse_names
 
 AS_OF = "2024-01-15"
 
@@ -285,6 +286,48 @@ def nearest_snapshot_query(spark, sf):
     return nearest_snapshot(requests, readings(spark, sf), ts="canon")
 
 
+@query("image_lookup", f"""WITH {READINGS},
+r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE
+        '2024-01-' || lpad(CAST(1 + o_orderkey % 31 AS VARCHAR), 2, '0') END AS date,
+        CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE
+        lpad(CAST((o_orderkey * 7) % 24 AS VARCHAR), 2, '0')
+          || lpad(CAST((o_orderkey * 13) % 60 AS VARCHAR), 2, '0') END AS time,
+        CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE CAST(o_custkey % 100 AS VARCHAR) END AS cam_id
+      FROM orders),
+f AS (SELECT min(canon) AS c FROM ev),
+b AS (SELECT o_orderkey, CASE WHEN date = '' OR time = '' THEN c[1:10] ELSE date END AS date,
+        CASE WHEN date = '' OR time = '' THEN c[12:15] ELSE time END AS time,
+        CASE WHEN cam_id = '' THEN '1001' ELSE cam_id END AS cam_id FROM r, f),
+c AS (SELECT *, CASE substr(time, 1, 2) WHEN '00' THEN '01' WHEN '23' THEN '22'
+                ELSE substr(time, 1, 2) END AS hour FROM b),
+s AS (SELECT DISTINCT canon FROM ev),
+n AS (SELECT o_orderkey, cam_id, canon FROM c LEFT JOIN s
+        ON substr(canon, 1, 10) = date AND substr(canon, 12, 2) = hour
+      QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY
+        abs(CAST(substr(canon, 14, 2) AS INTEGER) - CAST(substr(time, 3, 2) AS INTEGER)), canon) = 1),
+i AS (SELECT DISTINCT canon || '_' || (user_id % 100) || '.jpg' AS file_name, canon || '.zip' AS archive_name
+      FROM ev)
+SELECT o_orderkey, cam_id, canon AS nearest_ts, canon || '_' || cam_id || '.jpg' AS file_name, archive_name
+FROM n LEFT JOIN i ON i.file_name = canon || '_' || cam_id || '.jpg'""")
+def image_lookup(spark, sf):
+    """From a request, blanks among them, to the row of the image catalog."""
+    key = F.col("o_orderkey")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    requests = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(key % 11 == 0, "").otherwise(F.concat(F.lit("2024-01-"), two(1 + key % 31)))
+        .alias("date"),
+        F.when(key % 13 == 0, "").otherwise(F.concat(two((key * 7) % 24), two((key * 13) % 60)))
+        .alias("time"),
+        F.when(key % 5 == 0, "").otherwise((F.col("o_custkey") % 100).cast("string"))
+        .alias("cam_id"))
+    ev = readings(spark, sf)
+    images = parse_names(ev.select(F.concat(F.lit("/landing/"), image_name(
+        "canon", F.col("user_id") % 100)).alias("path"))).drop("path")
+    return reports.image_lookup(requests, ev, images, ts="canon").select(
+        "o_orderkey", "cam_id", "nearest_ts", "file_name", "archive_name")
+
+
 @query("label_codes", f"""WITH {READINGS}, l AS (SELECT event_id, {LABEL_SQL} AS label FROM ev)
 SELECT event_id, coalesce(label, 'NaN') AS shown,
   CASE label WHEN 'None' THEN 0 WHEN 'Mild' THEN 1 WHEN 'Medium' THEN 2 WHEN 'Heavy' THEN 3 END AS code,

@@ -89,8 +89,5 @@ def compact_feed(spark, sf):
     files.write_csv(rain, f"{landing}/late")
     files.write_csv(rain.filter("rainfall_realtime > 100").select(
         S.TS, "rainfall_realtime", "station_id", "timestamp"), f"{landing}/merged")
-    cells = csvfeeds.read_csv_by_name(spark, landing, S.RAINFALL, glob="*.csv")
-    merged = compact.merge_snapshots(cells, ("timestamp", "station_id"),
-                                     order=("rainfall_realtime", "station_loc"))
-    files.write_table(merged, out, mode="errorifexists")
+    compact.compact(spark, landing, out, "rainfall-realtime", dedupe=True, glob="*.csv")
     return spark.read.parquet(out).select("timestamp", "station_id", "rainfall_realtime", S.TS)

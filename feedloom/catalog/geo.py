@@ -8,7 +8,9 @@ from feedloom.catalog.base import query, table
 from feedloom.functions import points as P
 from feedloom.operators.boxes import points_in_boxes
 from feedloom.operators.nearest import nearest, nearest_descent
-from feedloom.plans.cameras import camera_mapping
+from feedloom.plans.cameras import COMPASS, camera_mapping, mapping_job
+from feedloom.schemas import PAYLOAD_CAMERAS, TS
+from feedloom.sources.payloads import parse_payloads
 
 
 def _spot(key: str, mult: int, lat0: float, step: float):
@@ -122,6 +124,46 @@ def camera_mapping_query(spark, sf):
         _fixed(spark, sf, "region", "r_regionkey", "compass", 1847))
 
 
+_ONLY = ("S2", "S5")
+
+
+@query("camera_mapping_job", f"""WITH p AS (SELECT c_custkey AS cam_id,
+  {_spot_sql('c_custkey', 7919, 1.2, 0.00005)} FROM customer),
+s2 AS (SELECT DISTINCT 'R' || (s_suppkey % 40) AS rain, {_spot_sql('(s_suppkey % 40)', 5167, 1.21, 0.0000537)}
+  FROM supplier),
+s1 AS (SELECT DISTINCT 'S' || (s_suppkey % 9) AS non_rain, {_spot_sql('(s_suppkey % 9)', 6151, 1.21, 0.0000537)}
+  FROM supplier WHERE 'S' || (s_suppkey % 9) IN {_ONLY}),
+s3 AS (SELECT n_name AS area, {_spot_sql('n_nationkey', 911, 1.22, 0.0000471)} FROM nation),
+s4(compass, lat, lon) AS (VALUES {", ".join(f"('{n}', {a}::DOUBLE, {o}::DOUBLE)" for n, a, o in COMPASS)})
+SELECT cam_id, non_rain AS non_rainfall_station_id, rain AS rainfall_station_id,
+  area AS "2hr_forecast_area", compass FROM ({_near_sql('s1', 'non_rain')}) x1
+JOIN ({_near_sql('s2', 'rain')}) x2 USING (cam_id) JOIN ({_near_sql('s3', 'area')}) x3 USING (cam_id)
+JOIN ({_near_sql('s4', 'compass')}) x4 USING (cam_id)""")
+def camera_mapping_job(spark, sf):
+    """From camera payloads, two feeds of repeated readings and the area seed."""
+    text = lambda a, b, *pad: F.concat(*pad[:1], F.col(a).cast("string"), F.lit(", "),
+                                       F.col(b).cast("string"), *pad[1:])
+    brackets = (F.lit("("), F.lit(")"))
+
+    def feed(head: str, n: int, mult: int):
+        key = table(spark, sf, "supplier").withColumn("g", F.col("s_suppkey") % n)
+        return key.select(F.concat(F.lit(head), F.col("g").cast("string")).alias("station_id"),
+                          *_spot("g", mult, 1.21, 0.0000537)).select(
+            "station_id", text("lat", "lon", *brackets).alias("station_loc"))
+
+    cams = _points(spark, sf)
+    camera = F.struct(F.col("cam_id").cast("string").alias("camera_id"),
+                      F.struct(F.col("lat").alias("latitude"), F.col("lon").alias("longitude"))
+                      .alias("location"))
+    docs = cams.select(F.lit("2024-01-01T000000").alias(TS), F.to_json(F.struct(
+        F.array(F.struct(F.array(camera, camera).alias("cameras"))).alias("items"))).alias("text"))
+    areas = table(spark, sf, "nation").select(
+        F.col("n_name").alias("region"), *_spot("n_nationkey", 911, 1.22, 0.0000471))
+    return mapping_job(parse_payloads(docs, "text", PAYLOAD_CAMERAS), feed("S", 9, 6151),
+                       feed("R", 40, 5167), areas.select("region", text("lat", "lon").alias("coord")),
+                       only=list(_ONLY))
+
+
 @query("point_parse", """SELECT o_orderkey, o_totalprice AS lat, CAST(o_custkey AS DOUBLE) AS lon FROM orders
 WHERE o_orderkey % 4 <> 3 UNION ALL
 SELECT o_orderkey, NULL, NULL FROM orders WHERE o_orderkey % 4 = 3""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.points import parse_point
 from feedloom.operators.nearest import nearest
+from feedloom.plans import tabulate
 from feedloom.session import SMALL_ROWS
 
 # Anchor point of each compass region (name, latitude, longitude).
@@ -47,6 +48,25 @@ def camera_mapping(cameras: DataFrame, non_rain: DataFrame, rain: DataFrame,
             .join(find(compass), "cam_id").withColumn("cam_id", F.col("cam_id").cast("long")))
 
 
+def mapping_job(cameras: DataFrame, non_rain: DataFrame, rain: DataFrame, areas: DataFrame, *,
+                only: list[str] | None = None, expected: int | None = None) -> DataFrame:
+    """The camera map from the feeds themselves, in camera order.
+
+    ``cameras`` are camera payloads, ``non_rain`` and ``rain`` landed feeds whose stations count
+    once however often they report, ``areas`` the seed ``(region, coord)``. ``only`` lists the
+    stations with full readings; ``expected`` fails the job on another number of cameras.
+    """
+    spots = tabulate.cameras(cameras).distinct()
+    if expected is not None:
+        spots = check_count(spots, expected)
+    found = camera_mapping(
+        spots, located(non_rain, "station_id", "station_loc", "non_rainfall_station_id", only=only),
+        located(rain, "station_id", "station_loc", "rainfall_station_id"),
+        located(areas, "region", "coord", "2hr_forecast_area"),
+        compass_anchors(cameras.sparkSession))
+    return found.orderBy("cam_id")
+
+
 def check_count(cameras: DataFrame, expected: int) -> DataFrame:
     """Camera rows, failing the job if their number is not the expected one."""
     n = cameras.agg(F.count(F.lit(1))).scalar()

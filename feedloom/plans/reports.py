@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from feedloom import schemas as S
 from feedloom.functions import labels, timetext
 from feedloom.operators.aggregates import mean_profile
-from feedloom.operators.nearest_time import clamp_hour
+from feedloom.operators.nearest_time import clamp_hour, nearest_snapshot
 from feedloom.operators.reshape import rename
 from feedloom.schemas import TS
+from feedloom.sources.images import image_name
 
 # Fixed value: camera a blank entry stands for.
 DEFAULT_CAMERA = 1001
@@ -126,6 +127,21 @@ def series_by_direction(series: DataFrame) -> DataFrame:
         F.min(TS).alias("first_call"), F.max(TS).alias("last_call"))
 
 
+def image_lookup(requests: DataFrame, snapshots: DataFrame, images: DataFrame,
+                 ts: str = TS) -> DataFrame:
+    """Catalog rows ``images`` for requests ``(date, time, cam_id)``.
+
+    A request is answered by the image of its camera at the nearest snapshot of its hour; blanks
+    mean camera 1001 and the first snapshot. Without such an image the catalog columns are NULL.
+    """
+    near = nearest_snapshot(requests, snapshots, ts=ts)
+    text = F.trim(F.coalesce(F.col("cam_id").cast("string"), F.lit("")))
+    near = near.withColumn("cam_id", F.when(text == "", str(DEFAULT_CAMERA)).otherwise(text))
+    near = near.withColumn("file_name", image_name("nearest_ts", "cam_id"))
+    rest = [c for c in images.columns if c not in (TS, "cam_id")]
+    return near.join(images.select(*rest).distinct(), "file_name", "left")
+
+
 def profile_lookup(profile: DataFrame, requests: DataFrame) -> DataFrame:
     """Profile rows for requests ``(cam_id, time)``; blanks mean camera 1001, hour 01."""
     hour = F.substring("time", 1, 2)

@@ -99,7 +99,8 @@ def forest_confusion(spark, sf):
 @query("forest_sweep")
 def forest_sweep(spark, sf):
     train, valid, _ = _parts(spark, sf)
-    return R.sweep(train, valid, _ITEM, [(4, 3), (8, 3), (8, 5)]).drop("seconds")
+    return R.sweep(train, valid, _ITEM, [(4, 3), (8, 3), (8, 5)]).drop(
+        "seconds", "predict_seconds")
 
 
 @query("profile_prediction")

@@ -64,7 +64,8 @@ def test_forest_learns(spark, learnable):
     assert [(r.num_trees, r.max_depth) for r in grid] == [(2, 1), (5, 6)]
     assert grid[1].accuracy > grid[0].accuracy
     times = R.fit_times(train, ["x"], trees=[2, 3], depth=2)
-    assert times.columns == ["cores", "num_trees", "seconds"] and times.count() == 2
+    assert times.columns == ["cores", "num_trees", "seconds", "predict_seconds"]
+    assert times.count() == 2
 
 
 def test_deep_forest_with_cached_node_ids(spark, learnable):

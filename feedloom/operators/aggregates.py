@@ -28,8 +28,14 @@ def crosstab_long(df: DataFrame, row: str, column: str) -> DataFrame:
 
 
 def crosstab_wide(df: DataFrame, row: str, column: str, classes: list) -> DataFrame:
-    """Confusion matrix: one row per ``row`` value, one column per class, totals last."""
+    """Confusion matrix: one row per ``row`` value, one column per class, totals last.
+
+    A value outside ``classes`` has no column; it fails the job, as the totals would not add up.
+    """
     pairs = df.dropna("any", subset=[row, column])
+    listed = F.assert_true(F.col(column).isin(list(classes)), F.concat(
+        F.lit(f"{column} holds a value outside the classes: "), F.col(column).cast("string")))
+    pairs = pairs.filter(listed.isNull())
     counts = [F.count_if(F.col(column) == F.lit(c)).alias(str(c)) for c in classes]
     out = pairs.rollup(row).agg(*counts, F.count(F.lit(1)).alias(TOTAL),
                                 F.grouping(row).alias("__r"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas as S
 from feedloom.operators import align, joins
+from feedloom.operators.aggregates import crosstab_wide
 from feedloom.operators.nearest import nearest
 from feedloom.operators.nearest_time import nearest_snapshot
 from feedloom.plans import feeds as N
@@ -107,6 +108,13 @@ def test_equal_rows_are_spread_over_the_salts(spark):
     assert "rand(7)" in text
 
 
+def test_a_class_without_a_column_fails(spark, rows):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", None)], "r string, c string")
+    assert rows(crosstab_wide(df, "r", "c", ["x", "y"])) == [("Total", 1, 1, 2), ("a", 1, 1, 2)]
+    with pytest.raises(Exception, match="outside the classes: y"):
+        crosstab_wide(df, "r", "c", ["x"]).collect()
+
+
 def test_missing_members_of_a_snapshot(spark, rows):
     held = spark.createDataFrame([("t1", 1, 1), ("t1", 1, 1), ("t2", 1, 2), ("t3", 9, 9)],
                                  "call_timestamp string, cam_id long, direction long")

@@ -35,15 +35,16 @@ from feedloom.llm.files import read_folder
 from feedloom.session import cut_lineage, scratch_dir
 
 WIDTH, ANCHOR = 20, 8
-BLOCK_ROWS_LOG2 = 14
+# Rows of a file that form a block, as a power of two.
+BLOCK_ROWS = 14
 # First places are grouped by so many words; a passage is what one group holds.
 GROUP = 256
 # Words of the passages in one automaton, about 400 bytes each.
 SHARD_WORDS = 100_000
 PIECE_WORDS = 1 << 16
 # Words of the documents that wait for an automaton.
-HELD_WORDS = 500_000
-FLUSH = 1 << 21
+HELD_WORDS = 250_000
+FLUSH = 1 << 19
 NO_ID = -(1 << 63)
 
 _BASE = 0x9E3779B97F4A7C15
@@ -358,11 +359,11 @@ def _result(ids: list, docs: list[list[bytes]], spans: list) -> pa.RecordBatch:
         pa.array(kept, pa.string())], names=["doc_id", "n_words", "removed", "kept"])
 
 
-def _blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``blk, doc_id, text, hash``; a block is some thousand rows of a file."""
+def _blocks(docs: DataFrame, doc_id: str, text: str, rows: int) -> DataFrame:
+    """``blk, doc_id, text, hash``; a block is 2 ** ``rows`` rows of a file."""
     def own(df: DataFrame, id_c: str, text_c: str) -> DataFrame:
         blk = F.xxhash64(F.col("_metadata.file_path"), F.shiftright(
-            F.col("_metadata.row_index"), BLOCK_ROWS_LOG2))
+            F.col("_metadata.row_index"), rows))
         return df.select(blk.alias("blk"), F.col(id_c).cast("long").alias("doc_id"),
                          F.col(text_c).alias("text"), F.md5(F.col(text_c)).alias("hash"))
     try:
@@ -373,7 +374,7 @@ def _blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def dedupe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
-           anchor: int = ANCHOR) -> DataFrame:
+           anchor: int = ANCHOR, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``doc_id, n_words, removed, kept`` for every row of ``docs``.
 
     A word goes if it lies in a window of ``width`` words that also starts earlier: in a document
@@ -382,8 +383,11 @@ def dedupe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     Null and empty texts have no words; null ids count as the smallest. Rows that repeat an id are
     versions of one document: none is earlier than another at the same start. Other columns are
     ignored; an empty table gives no rows.
+
+    A task holds what one block of 2 ** ``block_rows`` rows needs, about 100 bytes for each of its
+    repeated words; each block has a folder per step. Large executors take larger blocks.
     """
-    blocks = _blocks(docs, doc_id, text)
+    blocks = _blocks(docs, doc_id, text, block_rows)
     ids = F.coalesce("doc_id", F.lit(NO_ID)).alias("id")
     hashes = cut_lineage(blocks.select("blk", ids, "hash"))
     first = hashes.groupBy("hash").agg(F.min("id").alias("first"), F.count("*").alias("n"))

@@ -13,6 +13,7 @@ from feedloom.plans.wide_table import build_wide_table
 from feedloom.session import scratch_dir
 from feedloom.sinks import append, compact, files
 from feedloom.sources import csvfeeds
+from feedloom.streaming import landing
 
 _ORDERS = T.StructType([
     T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
@@ -84,10 +85,30 @@ def append_twice(spark, sf):
   rainfall_station_id AS station_id, rainfall_realtime, call_timestamp FROM rain""")
 def compact_feed(spark, sf):
     """Snapshot files and an older merged file to one table without repeated readings."""
-    landing, out = scratch_dir(spark, "landing"), scratch_dir(spark, "merged")
+    base, out = scratch_dir(spark, "landing"), scratch_dir(spark, "merged")
     rain = W.rainfall_feed(readings(spark, sf)).withColumn("timestamp", F.col(S.TS))
-    files.write_csv(rain, f"{landing}/late")
+    files.write_csv(rain, f"{base}/late")
     files.write_csv(rain.filter("rainfall_realtime > 100").select(
-        S.TS, "rainfall_realtime", "station_id", "timestamp"), f"{landing}/merged")
-    compact.compact(spark, landing, out, "rainfall-realtime", dedupe=True, glob="*.csv")
+        S.TS, "rainfall_realtime", "station_id", "timestamp"), f"{base}/merged")
+    compact.compact(spark, base, out, "rainfall-realtime", dedupe=True, glob="*.csv")
     return spark.read.parquet(out).select("timestamp", "station_id", "rainfall_realtime", S.TS)
+
+
+@query("roll_closed_days", f"""WITH {READINGS}, r AS (SELECT call_timestamp, 'R' || (user_id % 10) AS station_id,
+  CAST(cents AS DOUBLE) AS v FROM ev WHERE event_type = 'view'),
+l AS (SELECT *, 0 AS batch FROM r UNION ALL SELECT call_timestamp, station_id, -1, 1 FROM r
+      WHERE station_id = 'R3')
+SELECT call_timestamp, station_id, arg_max(v, batch * 1e9 + v) AS rainfall_realtime FROM l
+WHERE call_timestamp < '2024-01-16' GROUP BY ALL
+UNION ALL SELECT call_timestamp, station_id, v FROM l WHERE call_timestamp >= '2024-01-16'""")
+def roll_closed_days(spark, sf):
+    """Two batches land, closed days are rolled in two calls; the last landed reading counts."""
+    landed, rolled = scratch_dir(spark, "landed"), scratch_dir(spark, "rolled")
+    rain = W.rainfall_feed(readings(spark, sf)).withColumn("timestamp", F.col(S.TS))
+    landing.write_batch(rain, landed, 0)
+    landing.write_batch(rain.filter("station_id = 'R3'").withColumn(
+        "rainfall_realtime", F.lit(-1.0)), landed, 1)
+    for before in ("2024-01-10", "2024-01-16"):
+        compact.roll_closed_days(spark, landed, rolled, "rainfall-realtime", before)
+    return compact.read_rolled(spark, landed, rolled).select(
+        S.TS, "station_id", "rainfall_realtime")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedloom import schemas as S
 from feedloom.operators.dedupe import LANDING, keep_last, landing_order
+from feedloom.sinks.append import on_days, read_if_present
 from feedloom.sinks.files import write_table
 from feedloom.sources.csvfeeds import read_csv_by_name
 
@@ -64,6 +66,42 @@ def compact(spark: SparkSession, landing: str, out: str, feed: str, *,
     write_table(merged, out, mode="errorifexists")
 
 
+def roll_closed_days(spark: SparkSession, landed: str, rolled: str, feed: str, before, *,
+                     dedupe: bool = True, per_snapshot: bool = True) -> list:
+    """Move on the days of a streamed table that closed since the last call.
+
+    Days before ``before`` that ``rolled`` lacks are read, merged and appended there by day;
+    nothing else is read or rewritten. The job commits as a whole, so a call that died is simply
+    repeated. Returns the days. The landed folders of rolled days are the archive: readers skip
+    them and the owner may drop them.
+    """
+    have = read_if_present(spark, rolled)
+    done = set() if have is None else set(days_of(have))
+    rows = spark.read.parquet(landed)
+    days = sorted(d for d in days_of(rows.filter(F.col("dt") < F.lit(str(before)).cast("date")))
+                  if d not in done)
+    if days:
+        keys = FEEDS[feed].keys if dedupe else ()
+        part = on_days(rows, days).drop("dt")
+        write_table(merge_snapshots(part, keys, per_snapshot=per_snapshot), rolled)
+    return days
+
+
+def read_rolled(spark: SparkSession, landed: str, rolled: str) -> DataFrame:
+    """The feed: rolled days from the one table, the others as they landed."""
+    rows, have = spark.read.parquet(landed), read_if_present(spark, rolled)
+    if have is None:
+        return rows.drop(*LANDING)
+    done = days_of(have)
+    fresh = rows.filter(~F.col("dt").isin(done) | F.col("dt").isNull()) if done else rows
+    return have.unionByName(fresh.drop(*LANDING))
+
+
+def days_of(table: DataFrame) -> list:
+    """Days of a table by day; Spark answers from its folders."""
+    return [r[0] for r in table.select("dt").distinct().collect()]
+
+
 def compact_landed(spark: SparkSession, table: str, out: str, feed: str, *,
                    dedupe: bool = False, per_snapshot: bool = True) -> None:
     """Rewrite a streamed table, whose batches left many small files."""

@@ -99,7 +99,7 @@ def expected_grid(spark, sf):
 
 @query("expected_grid_spread", _GRID)
 def expected_grid_spread(spark, sf):
-    return _grid(spark, sf, small_rows=0, buckets=16)
+    return _grid(spark, sf, buckets=16)
 
 
 @query("crosstab_wide", """SELECT coalesce(l_returnflag, 'Total') AS l_returnflag,

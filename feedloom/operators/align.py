@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import timetext
 from feedloom.schemas import TS
-from feedloom.session import SMALL_ROWS, has_at_most
 
 MODES = ("today", "yesterday", "before_today", "latest", "all")
 
@@ -68,17 +67,15 @@ def missing_members(held: DataFrame, members: DataFrame, snapshots: DataFrame,
     return asked.select(key, F.inline(lacks))
 
 
-def expected_grid(snapshots: DataFrame, members: DataFrame, *, buckets: int = 64,
-                  small_rows: int = SMALL_ROWS) -> DataFrame:
+def expected_grid(snapshots: DataFrame, members: DataFrame, *,
+                  buckets: int | None = None) -> DataFrame:
     """Every snapshot with every member, the rows a complete table would hold.
 
-    Few members ride along as one literal array. More are spread over ``buckets`` and
-    meet each snapshot through an equality join on the bucket. Reports of missing rows
-    need the grid; the wide table itself does not build it.
+    Members are spread over ``buckets``, as many as there are shuffle partitions, and meet each
+    snapshot through an equality join on the bucket. All pairs are the feature here; the wide
+    table and the report of missing rows do not build them.
     """
-    if has_at_most(members, small_rows):
-        listed = members.agg(F.collect_list(F.struct(*members.columns)).alias("m")).scalar()
-        return snapshots.select("*", F.inline(listed))
+    buckets = buckets or int(snapshots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = members.withColumn("__b", F.pmod(F.xxhash64(*members.columns), F.lit(buckets)))
     fanned = snapshots.withColumn(
         "__b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))

@@ -106,7 +106,7 @@ def test_both_alignments_agree(spark, rows):
 def test_both_grids_agree(spark, rows):
     stamps = spark.createDataFrame([(X.T1,), (X.T2,)], "call_timestamp string")
     members = spark.range(50).withColumnRenamed("id", "cam_id")
-    few, many = (align.expected_grid(stamps, members, small_rows=n) for n in (100, 10))
+    few, many = (align.expected_grid(stamps, members, buckets=n) for n in (None, 3))
     assert rows(few) == rows(many)
     assert few.count() == 100
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas as S
 from feedloom.operators import align, joins
 from feedloom.operators.aggregates import crosstab_wide
+from feedloom.operators.boxes import points_in_boxes
 from feedloom.operators.nearest import nearest
 from feedloom.operators.nearest_time import nearest_snapshot
 from feedloom.plans import feeds as N
@@ -115,6 +116,15 @@ def test_a_class_without_a_column_fails(spark, rows):
         crosstab_wide(df, "r", "c", ["x"]).collect()
 
 
+def test_points_of_a_hot_cell_are_dealt(spark):
+    points = spark.range(3000).selectExpr("id", "1.0D + id / 1e5 AS lat", "103.0D AS lon")
+    boxes = spark.createDataFrame([(1, -90.0, -180.0, 90.0, 180.0), (2, 1.0, 102.9, 1.01, 103.1)],
+                                  "b long, south double, west double, north double, east double")
+    found = points_in_boxes(points, boxes)
+    assert {r["b"]: r["count"] for r in found.groupBy("b").count().collect()} == {1: 3000, 2: 1001}
+    assert "__salt" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_missing_members_of_a_snapshot(spark, rows):
     held = spark.createDataFrame([("t1", 1, 1), ("t1", 1, 1), ("t2", 1, 2), ("t3", 9, 9)],
                                  "call_timestamp string, cam_id long, direction long")

@@ -109,11 +109,10 @@ def format_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "tu
     close = END + "\n"
     ends = _prefix_sums(F.transform("shown", lambda t: (
         F.length(t.head) + F.length(t.body) + len(close)).cast("long")))
-    wins = wins.withColumn("at", ends)
-    spans = F.transform("shown", lambda t, i: F.struct(
-        (F.get("at", i) + F.length(t.head)).alias("start"),
+    spans = let(ends, lambda at: F.transform("shown", lambda t, i: F.struct(
+        (F.get(at, i) + F.length(t.head)).alias("start"),
         F.length(t.body).cast("long").alias("length"),
-        ((t.role == TARGET_ROLE) & (i >= F.col("n_context"))).alias("target")))
+        ((t.role == TARGET_ROLE) & (i >= F.col("n_context"))).alias("target"))))
     mask = F.transform(F.filter(spans, lambda s: s.target),
                        lambda s: F.struct(s.start.alias("start"), s.length.alias("length")))
     sample = F.array_join(F.transform("shown", lambda t: F.concat(

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.text import words
+from feedloom.llm.text import let, words
 from feedloom.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -167,17 +167,17 @@ def take(mixed: DataFrame, text: str = "text", copies: int = 2) -> DataFrame:
     """The mixed documents: a row per pass, whose text holds the words that pass takes.
 
     A document taken whole keeps its text; else the taken words keep the white space before
-    them. Rows without a taken word go. Columns ``_pass``, ``_spans``, ``_pieces`` are replaced.
+    them. Rows without a taken word go. Columns ``_pass`` and ``_spans`` are replaced.
     """
     piece = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
     own = mixed.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     own = own.withColumn("_spans", F.filter(
         "spans", lambda s: s.times >= F.col("_pass"))).filter(F.size("_spans") > 0)
     kept = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s.length)
-    own = own.withColumn("_pieces", F.when(
-        kept < F.col("size"), F.regexp_extract_all(F.col(text), F.lit(piece), F.lit(1))))
-    cut = F.regexp_replace(F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(
-        "_pieces", (s.start + 1).cast("int"), s.length.cast("int")))), ""),
-        r"^[\x20\x09-\x0D]+", "")
+    # The pieces are bound, so that not every span cuts the text anew.
+    taken = let(F.regexp_extract_all(F.col(text), F.lit(piece), F.lit(1)), lambda p: F.array_join(
+        F.flatten(F.transform("_spans", lambda s: F.slice(
+            p, (s.start + 1).cast("int"), s.length.cast("int")))), ""))
+    cut = F.regexp_replace(taken, r"^[\x20\x09-\x0D]+", "")
     return own.withColumn(text, F.when(kept < F.col("size"), cut).otherwise(F.col(text))) \
-        .drop("_pass", "_spans", "_pieces")
+        .drop("_pass", "_spans")

@@ -74,9 +74,9 @@ def _writer(folder: str, tokenizer: str, end_id: int, id_c: str, text_c: str):
                 out = fs.open_output_stream(f"{root}/{name}.rec", buffer_size=1 << 20)
             ids = batch.column(batch.schema.get_field_index(id_c)).to_pylist()
             texts = batch.column(batch.schema.get_field_index(text_c))
-            for lo in range(0, len(ids), 256):
-                own = texts.slice(lo, 256).to_pylist()
-                for doc, data in zip(ids[lo:lo + 256], enc.encode(own)):
+            for lo in range(0, len(ids), 512):
+                own = texts.slice(lo, 512).to_pylist()
+                for doc, data in zip(ids[lo:lo + 512], enc.encode(own)):
                     flags = (HAS_ID if doc is not None else 0) | (WIDE if n == 4 else 0)
                     record = frame(struct.pack("<Bq", flags, doc or 0) + data + close)
                     out.write(record)

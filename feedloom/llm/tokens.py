@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from itertools import filterfalse
 
 import numpy as np
 
@@ -56,17 +57,18 @@ class WordEncoder(dict):
                 self[w] = np.array(e.ids, self.dtype).tobytes()
 
     def _prepare(self, wanted: set[bytes]) -> None:
-        again = wanted & self.old.keys()
+        # Sets are tested word by word: an operation with a view of the cache walks all of it.
+        again = list(filter(self.old.__contains__, wanted))
         self.update(zip(again, map(self.old.__getitem__, again)))
-        wanted -= again
+        wanted.difference_update(again)
         cores = [(w, w.rstrip(b".,")) for w in wanted]
         split = [(w, c, w[len(c):]) for w, c in cores if len(c) < len(w) and c[-1:].isalpha()]
         new = wanted.difference(w for w, _, _ in split)
         new.update(c for _, c, _ in split)
         new.update(m for _, _, m in split)
-        new -= self.keys()
+        new = list(filterfalse(self.__contains__, new))
         if new:
-            self._learn(list(new))
+            self._learn(new)
         for w, core, marks in split:
             self[w] = self[core] + self[marks]
 
@@ -88,8 +90,7 @@ class WordEncoder(dict):
         if len(self) > self.limit:  # begin a new generation
             self.old = dict(self)
             self.clear()
-        wanted = set().union(*held)
-        wanted -= self.keys()
+        wanted = set(filterfalse(self.__contains__, set().union(*held)))
         if wanted:
             self._prepare(wanted)
         return [b"".join(map(self.__getitem__, words)) for words in held]

@@ -85,9 +85,13 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
         F.max("n_shared").alias("n_shared"), F.max("n_shingles").alias("n_shingles"))
 
 
-def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the contaminated ones; rows without an id stay."""
-    name = spare(docs, "leak")
-    leaks = contaminated(docs, items, doc_id, **how).select(
+def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
+          **how) -> DataFrame:
+    """``docs`` without the contaminated ones; a row's own text decides, whatever its id."""
+    key, name = spare(docs, "key"), spare(docs, "leak")
+    # A struct is never null, and equals another where both ids are missing.
+    keyed = docs.withColumn(key, F.struct(F.col(doc_id).alias("id"),
+                                          F.xxhash64(text).alias("hash")))
+    leaks = contaminated(keyed, items, key, text=text, **how).select(
         F.col("doc_id").alias(name)).distinct()
-    return docs.join(cut_lineage(leaks), F.col(doc_id) == F.col(name), "left_anti")
+    return keyed.join(cut_lineage(leaks), F.col(key) == F.col(name), "left_anti").drop(key)

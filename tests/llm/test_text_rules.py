@@ -130,6 +130,17 @@ def test_containment_finds_all_and_only_what_holds_the_share(spark):
     assert decontaminate.contaminated(d, b.limit(0)).count() == 0
 
 
+def test_decontamination_judges_rows_without_an_id_or_with_the_same(spark):
+    item = " ".join(f"i{k}" for k in range(30))
+    rows = [(None, "a " + item), (None, "clean"), (None, None), (5, item + " b"), (5, "also clean"),
+            (6, item), (6, item), (7, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = decontaminate.clean(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert left.columns == ["doc_id", "text"]
+    assert Counter(map(tuple, left.collect())) == Counter(
+        [(None, "clean"), (None, None), (5, "also clean"), (7, "clean")])
+
+
 def plain_digests(turns):
     told = "".join(f"{r or ''}\n{t or ''}\n" for r, t in turns)
     loss = "".join(t or "" for r, t in turns if r == "assistant")

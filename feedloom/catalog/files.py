@@ -102,13 +102,14 @@ SELECT call_timestamp, station_id, arg_max(v, batch * 1e9 + v) AS rainfall_realt
 WHERE call_timestamp < '2024-01-16' GROUP BY ALL
 UNION ALL SELECT call_timestamp, station_id, v FROM l WHERE call_timestamp >= '2024-01-16'""")
 def roll_closed_days(spark, sf):
-    """Two batches land, closed days are rolled in two calls; the last landed reading counts."""
+    """Closed days are rolled in two calls, a batch for all days lands between them; the last
+    landed reading counts."""
     landed, rolled = scratch_dir(spark, "landed"), scratch_dir(spark, "rolled")
     rain = W.rainfall_feed(readings(spark, sf)).withColumn("timestamp", F.col(S.TS))
     landing.write_batch(rain, landed, 0)
+    compact.roll_closed_days(spark, landed, rolled, "rainfall-realtime", "2024-01-10")
     landing.write_batch(rain.filter("station_id = 'R3'").withColumn(
         "rainfall_realtime", F.lit(-1.0)), landed, 1)
-    for before in ("2024-01-10", "2024-01-16"):
-        compact.roll_closed_days(spark, landed, rolled, "rainfall-realtime", before)
+    compact.roll_closed_days(spark, landed, rolled, "rainfall-realtime", "2024-01-16")
     return compact.read_rolled(spark, landed, rolled).select(
         S.TS, "station_id", "rainfall_realtime")

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas as S
 from feedloom.operators.dedupe import LANDING, keep_last, landing_order
-from feedloom.sinks.append import on_days, read_if_present
+from feedloom.sinks.append import read_if_present
 from feedloom.sinks.files import write_table
-from feedloom.sources.csvfeeds import read_csv_by_name
+from feedloom.sources.csvfeeds import read_csv_by_name, with_day
 
 
 @dataclass(frozen=True)
@@ -68,38 +68,81 @@ def compact(spark: SparkSession, landing: str, out: str, feed: str, *,
 
 def roll_closed_days(spark: SparkSession, landed: str, rolled: str, feed: str, before, *,
                      dedupe: bool = True, per_snapshot: bool = True) -> list:
-    """Move on the days of a streamed table that closed since the last call.
-
-    Days before ``before`` that ``rolled`` lacks are read, merged and appended there by day;
-    nothing else is read or rewritten. The job commits as a whole, so a call that died is simply
-    repeated. Returns the days. The landed folders of rolled days are the archive: readers skip
-    them and the owner may drop them.
+    """Move on what landed of a streamed table for the days before ``before``.
+
+    Days with (day, batch) folders that no roll took are merged, the folders with what ``rolled``
+    holds of the day, and appended there as the day's next version; nothing else is read or
+    written. A late batch or a corrected re-landing so reaches a day that was rolled before. The
+    rows keep their batch, which decides between readings, and list the batches their version
+    took. Returns the days. The owner may drop landed folders that were taken and all versions
+    of a day but the last.
     """
     have = read_if_present(spark, rolled)
-    done = set() if have is None else set(days_of(have))
+    last = _versions(have)
     rows = spark.read.parquet(landed)
-    days = sorted(d for d in days_of(rows.filter(F.col("dt") < F.lit(str(before)).cast("date")))
-                  if d not in done)
+    fresh = _folders(rows.filter(F.col("dt") < F.lit(str(before)).cast("date")), last)
+    days = sorted(fresh)
     if days:
+        part = _on_folders(rows, fresh)
+        again = {d: [last[d][0]] for d in days if d in last}
+        if again:
+            part = part.unionByName(_on_folders(have, again, "roll").select(*part.columns))
+        part = part.drop("dt")
         keys = FEEDS[feed].keys if dedupe else ()
-        part = on_days(rows, days).drop("dt")
-        write_table(merge_snapshots(part, keys, per_snapshot=per_snapshot), rolled)
+        if keys:
+            keys = [*([S.TS] if per_snapshot else []), *keys]
+            rest = [c for c in landing_order(part, keys) if c != S.TS]
+            part = keep_last(part, keys, [S.TS, *rest])
+        took = spark.createDataFrame([
+            (str(d), last[d][0] + 1 if d in last else 0,
+             sorted({*fresh[d], *(last[d][1] if d in last else ())})) for d in days],
+            "dt string, roll long, took array<long>")
+        part = with_day(part, S.TS).join(
+            F.broadcast(took.withColumn("dt", F.col("dt").cast("date"))), "dt")
+        part.hint("rebalance", F.col("dt")).write.mode("append").partitionBy(
+            "dt", "roll").parquet(rolled)
     return days
 
 
 def read_rolled(spark: SparkSession, landed: str, rolled: str) -> DataFrame:
-    """The feed: rolled days from the one table, the others as they landed."""
+    """The feed: the last version of each rolled day, and what no roll took as it landed."""
     rows, have = spark.read.parquet(landed), read_if_present(spark, rolled)
     if have is None:
         return rows.drop(*LANDING)
-    done = days_of(have)
-    fresh = rows.filter(~F.col("dt").isin(done) | F.col("dt").isNull()) if done else rows
-    return have.unionByName(fresh.drop(*LANDING))
-
-
-def days_of(table: DataFrame) -> list:
-    """Days of a table by day; Spark answers from its folders."""
-    return [r[0] for r in table.select("dt").distinct().collect()]
+    last = _versions(have)
+    fresh = _on_folders(rows, _folders(rows, last)).drop(*LANDING)
+    now = _on_folders(have, {d: [roll] for d, (roll, _) in last.items()}, "roll")
+    return now.drop("roll", "took", *LANDING).unionByName(fresh)
+
+
+def _versions(rolled: DataFrame | None) -> dict:
+    """The last version of each rolled day and the batches it took."""
+    if rolled is None:
+        return {}
+    last = rolled.groupBy("dt").agg(F.max_by(F.struct("roll", "took"), "roll").alias("v"))
+    return {r.dt: (r.v.roll, r.v.took) for r in last.collect()}
+
+
+def _folders(rows: DataFrame, last: dict) -> dict:
+    """Batches by day that no roll took; Spark answers from the landed folders."""
+    out = {}
+    for d, batch in rows.select("dt", "batch").distinct().collect():
+        if d not in last or batch not in last[d][1]:
+            out.setdefault(d, []).append(batch)
+    return out
+
+
+def _on_folders(table: DataFrame, folders: dict, column: str = "batch") -> DataFrame:
+    """Rows of the folders, on literals, so that others are not listed or read."""
+    alike = {}
+    for d, values in folders.items():
+        alike.setdefault(tuple(sorted(values)), []).append(d)
+    here = F.lit(False)
+    for values, days in alike.items():
+        known = F.col("dt").isin([d for d in days if d is not None])
+        day = known | F.col("dt").isNull() if None in days else known
+        here = here | (day & F.col(column).isin(list(values)))
+    return table.filter(here)
 
 
 def compact_landed(spark: SparkSession, table: str, out: str, feed: str, *,

@@ -87,13 +87,13 @@ def _parts(spark, sf):
 @query("forest_accuracy")
 def forest_accuracy(spark, sf):
     train, _, test = _parts(spark, sf)
-    return R.evaluate(R.forest(_ITEM, trees=8, depth=5).fit(train), test)
+    return R.evaluate(R.forest(_ITEM).fit(train), test)
 
 
 @query("forest_confusion")
 def forest_confusion(spark, sf):
     train, _, test = _parts(spark, sf)
-    return R.confusion(R.forest(_ITEM, trees=8, depth=5).fit(train), test)
+    return R.confusion(R.forest(_ITEM).fit(train), test)
 
 
 @query("forest_sweep")

@@ -74,15 +74,17 @@ def _writer(folder: str, tokenizer: str, end_id: int, id_c: str, text_c: str):
                 out = fs.open_output_stream(f"{root}/{name}.rec", buffer_size=1 << 20)
             ids = batch.column(batch.schema.get_field_index(id_c)).to_pylist()
             texts = batch.column(batch.schema.get_field_index(text_c))
-            for lo in range(0, len(ids), 512):
-                own = texts.slice(lo, 512).to_pylist()
-                for doc, data in zip(ids[lo:lo + 512], enc.encode(own)):
+            done = 0
+            for flat, ends in enc.encode_column(texts):
+                for k, doc in enumerate(ids[done:done + len(ends) - 1]):
+                    data = flat[ends[k]:ends[k + 1]].tobytes()
                     flags = (HAS_ID if doc is not None else 0) | (WIDE if n == 4 else 0)
                     record = frame(struct.pack("<Bq", flags, doc or 0) + data + close)
                     out.write(record)
                     index.append((at, tokens))
                     at += len(record)
                     tokens += len(data) // n + 1
+                done += len(ends) - 1
         if out is not None:
             out.close()
             with fs.open_output_stream(f"{root}/{name}.idx") as side:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import (
-    chat, decontaminate, mixing, quality, sharding, simhash, substrings, token_records,
-    url_rules, warc)
+    audit, chat, decontaminate, mixing, packing, quality, sharding, simhash, substrings,
+    token_records, trie, url_rules, warc)
 from feedloom.session import cut_lineage, scratch_dir, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,65 @@ def op8_substring_dedup(spark, sf_dir):
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s.length)
     return found.select("doc_id", "n_words", gone.alias("n_removed"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_conversation_trie")
+def op11_conversation_trie(spark, sf_dir):
+    turns = trie.number_turns(table(spark, sf_dir, "conversations"))
+    nodes, ends = trie.build(cut_lineage(trie.share_heads(cut_lineage(turns))))
+    hashes = trie.hash_ends(ends)
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return nodes.join(hashes, list(trie.KEY), "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), F.coalesce("sha256", nothing).alias("ends_sha256"))
+
+
+@query("op12_filter_audit", r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+      FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+              100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t),
+              regexp_matches(t, '[#$%&*|]'),
+              coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails
+      FROM d LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+             count(*) FILTER (WHERE toxic) AS toxic
+      FROM f GROUP BY part, fails),
+i AS (SELECT unnest([1, 2, 3, 4, 5]) AS x),
+o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM i a, i b, i c, i d, i e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT o, x AS step, o[x] AS own, o[1:x - 1] AS before FROM o, i),
+r AS (SELECT part, o, step, own,
+             sum(n) FILTER (WHERE NOT gone AND NOT fails[own]) AS kept,
+             sum(n) FILTER (WHERE NOT gone AND fails[own]) AS removed,
+             sum(n) FILTER (WHERE gone AND fails[own]) AS redundant,
+             sum(n) FILTER (WHERE fails[own] AND n_fails = 1) AS unique_fails,
+             sum(good) FILTER (WHERE NOT gone AND fails[own]) AS good_lost,
+             sum(toxic) FILTER (WHERE NOT gone AND fails[own]) AS toxic_lost
+      FROM (SELECT *, len(list_filter(before, lambda b: fails[b])) > 0 AS gone,
+                   len(list_filter(fails, lambda b: b)) AS n_fails FROM m, s)
+      GROUP BY part, o, step, own)
+SELECT part, list_aggregate(list_transform(o, lambda k: chr(CAST(64 + k AS INT))), 'string_agg', '')
+         AS filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r""")
+def op12_filter_audit(spark, sf_dir):
+    masks = audit.failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return audit.audit(audit.games(masks))
+
+
+@query("op13_packing")
+def op13_packing(spark, sf_dir):
+    pieces = packing.tokenize(table(spark, sf_dir, "documents"), TOKENIZER)
+    plan = packing.pack(pieces)
+    return packing.digests(pieces).join(plan, "slot").select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -106,10 +106,10 @@ def roll_closed_days(spark, sf):
     landed reading counts."""
     landed, rolled = scratch_dir(spark, "landed"), scratch_dir(spark, "rolled")
     rain = W.rainfall_feed(readings(spark, sf)).withColumn("timestamp", F.col(S.TS))
-    landing.write_batch(rain, landed, 0)
+    landing.write_batch(rain, landed, "first", 0)
     compact.roll_closed_days(spark, landed, rolled, "rainfall-realtime", "2024-01-10")
     landing.write_batch(rain.filter("station_id = 'R3'").withColumn(
-        "rainfall_realtime", F.lit(-1.0)), landed, 1)
+        "rainfall_realtime", F.lit(-1.0)), landed, "second", 0)
     compact.roll_closed_days(spark, landed, rolled, "rainfall-realtime", "2024-01-16")
     return compact.read_rolled(spark, landed, rolled).select(
         S.TS, "station_id", "rainfall_realtime")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 # Columns that tell when a row landed, the strongest first.
-LANDING = ("batch", "landed_at", "landed_file")
+FILE_LANDING = ("landed_at", "landed_file")
+LANDING = ("batch", "stream", *FILE_LANDING)
 
 
 def landing_order(df: DataFrame, keys) -> list[str]:

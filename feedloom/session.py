@@ -70,6 +70,12 @@ def has_at_most(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return count_up_to(df, rows) <= rows
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on any file system Spark knows; False if it is not there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     path = scratch_dir(df.sparkSession, "cut")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas as S
 from feedloom.operators.dedupe import LANDING, keep_last, landing_order
-from feedloom.sinks.append import read_if_present
+from feedloom.sinks import versions
 from feedloom.sinks.files import write_table
 from feedloom.sources.csvfeeds import read_csv_by_name, with_day
 
@@ -70,79 +70,56 @@ def roll_closed_days(spark: SparkSession, landed: str, rolled: str, feed: str, b
                      dedupe: bool = True, per_snapshot: bool = True) -> list:
     """Move on what landed of a streamed table for the days before ``before``.
 
-    Days with (day, batch) folders that no roll took are merged, the folders with what ``rolled``
-    holds of the day, and appended there as the day's next version; nothing else is read or
-    written. A late batch or a corrected re-landing so reaches a day that was rolled before. The
-    rows keep their batch, which decides between readings, and list the batches their version
-    took. Returns the days. The owner may drop landed folders that were taken and all versions
-    of a day but the last.
+    Days with landed folders that no roll took are merged, those folders with what ``rolled``
+    holds of the day, and become the day's next version; nothing else is read or written. A late
+    batch or a corrected re-landing so reaches a day that was rolled before. The rows keep their
+    batch, which decides between readings; the log of ``rolled`` names the folders taken. Returns
+    the days. The owner may drop landed folders that were taken, and call ``vacuum``.
     """
-    have = read_if_present(spark, rolled)
-    last = _versions(have)
-    rows = spark.read.parquet(landed)
-    fresh = _folders(rows.filter(F.col("dt") < F.lit(str(before)).cast("date")), last)
+    fresh = _fresh(spark, landed, rolled, F.col("dt") < F.lit(str(before)).cast("date"))
     days = sorted(fresh)
     if days:
-        part = _on_folders(rows, fresh)
-        again = {d: [last[d][0]] for d in days if d in last}
-        if again:
-            part = part.unionByName(_on_folders(have, again, "roll").select(*part.columns))
-        part = part.drop("dt")
+        part = _on_folders(spark, landed, fresh).drop("dt")
+        have = versions.read(spark, rolled, days)
+        if have is not None:
+            part = part.unionByName(have.select(*part.columns))
         keys = FEEDS[feed].keys if dedupe else ()
         if keys:
             keys = [*([S.TS] if per_snapshot else []), *keys]
             rest = [c for c in landing_order(part, keys) if c != S.TS]
             part = keep_last(part, keys, [S.TS, *rest])
-        took = spark.createDataFrame([
-            (str(d), last[d][0] + 1 if d in last else 0,
-             sorted({*fresh[d], *(last[d][1] if d in last else ())})) for d in days],
-            "dt string, roll long, took array<long>")
-        part = with_day(part, S.TS).join(
-            F.broadcast(took.withColumn("dt", F.col("dt").cast("date"))), "dt")
-        part.hint("rebalance", F.col("dt")).write.mode("append").partitionBy(
-            "dt", "roll").parquet(rolled)
+        versions.commit(part, rolled, days=days, took=fresh)
     return days
 
 
 def read_rolled(spark: SparkSession, landed: str, rolled: str) -> DataFrame:
     """The feed: the last version of each rolled day, and what no roll took as it landed."""
-    rows, have = spark.read.parquet(landed), read_if_present(spark, rolled)
+    fresh = _fresh(spark, landed, rolled)
+    have = versions.read(spark, rolled)
     if have is None:
-        return rows.drop(*LANDING)
-    last = _versions(have)
-    fresh = _on_folders(rows, _folders(rows, last)).drop(*LANDING)
-    now = _on_folders(have, {d: [roll] for d, (roll, _) in last.items()}, "roll")
-    return now.drop("roll", "took", *LANDING).unionByName(fresh)
+        return spark.read.parquet(landed).drop(*LANDING)
+    have = have.drop(*LANDING)
+    return have.unionByName(_on_folders(spark, landed, fresh).drop(*LANDING)) if fresh else have
 
 
-def _versions(rolled: DataFrame | None) -> dict:
-    """The last version of each rolled day and the batches it took."""
-    if rolled is None:
-        return {}
-    last = rolled.groupBy("dt").agg(F.max_by(F.struct("roll", "took"), "roll").alias("v"))
-    return {r.dt: (r.v.roll, r.v.took) for r in last.collect()}
-
-
-def _folders(rows: DataFrame, last: dict) -> dict:
-    """Batches by day that no roll took; Spark answers from the landed folders."""
+def _fresh(spark: SparkSession, landed: str, rolled: str, where=None) -> dict:
+    """Folders by day that no roll took. Spark lists the files, none is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(landed)
+    files = files.select("dt", "batch", "stream")
     out = {}
-    for d, batch in rows.select("dt", "batch").distinct().collect():
-        if d not in last or batch not in last[d][1]:
-            out.setdefault(d, []).append(batch)
-    return out
-
-
-def _on_folders(table: DataFrame, folders: dict, column: str = "batch") -> DataFrame:
-    """Rows of the folders, on literals, so that others are not listed or read."""
-    alike = {}
-    for d, values in folders.items():
-        alike.setdefault(tuple(sorted(values)), []).append(d)
-    here = F.lit(False)
-    for values, days in alike.items():
-        known = F.col("dt").isin([d for d in days if d is not None])
-        day = known | F.col("dt").isNull() if None in days else known
-        here = here | (day & F.col(column).isin(list(values)))
-    return table.filter(here)
+    for d, batch, stream in (files if where is None else files.filter(where)).distinct().collect():
+        out.setdefault(d, set()).add(f"batch={batch}/stream={stream}")
+    done = versions.taken(spark, rolled, list(out))
+    out = {d: names - done.get(d, set()) for d, names in out.items()}
+    return {d: names for d, names in out.items() if names}
+
+
+def _on_folders(spark: SparkSession, landed: str, folders: dict) -> DataFrame:
+    """Rows of the folders; others are not listed or read."""
+    paths = [f"{landed}/dt={versions.NO_DAY if d is None else d}/{name}"
+             for d, names in folders.items() for name in names]
+    rows = spark.read.option("basePath", landed).parquet(*sorted(paths))
+    return rows.withColumn("dt", F.col("dt").cast("date"))
 
 
 def compact_landed(spark: SparkSession, table: str, out: str, feed: str, *,

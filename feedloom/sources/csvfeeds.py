@@ -11,13 +11,11 @@ from pyspark.sql import types as T
 
 from feedloom.functions import timetext
 from feedloom.functions.nulls import cast_clean
-from feedloom.operators.dedupe import LANDING, with_landing
+from feedloom.operators.dedupe import FILE_LANDING, with_landing
 from feedloom.schemas import TS
 
 # Headers a row index is written under.
 INDEX_COLUMNS = ("_c0", "Unnamed: 0")
-# Columns a streamed file may hold beside those of its schema; a wider row fails the batch.
-SPARE_COLUMNS = 64
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *,
@@ -48,47 +46,7 @@ def _typed(raw: DataFrame, schema: T.StructType, drop=(), keep=()) -> DataFrame:
     ], *keep)
 
 
-def _slots(max_columns: int) -> T.StructType:
-    return T.StructType([T.StructField(f"_c{i}", T.StringType())
-                         for i in range(max_columns + 1)])
-
-
-def csv_cells(reader, path: str, max_columns: int, *, glob: str | None = None) -> DataFrame:
-    """Rows as ``(file, cells)``, headers among them; for a batch or a stream reader."""
-    slots = _slots(max_columns)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    fits = F.assert_true(F.col(slots.fieldNames()[-1]).isNull(),
-                         F.lit(f"a row has more than {max_columns} columns"))
-    return reader.schema(slots).csv(path).filter(fits.isNull()).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.array(*slots.fieldNames()[:-1]).alias("cells"))
-
-
-def bind_by_name(cells: DataFrame, schema: T.StructType, *, marker: str = TS) -> DataFrame:
-    """Typed columns of ``(file, cells)`` rows of a stream's batch.
-
-    Every file's header is the row that holds ``marker`` as a value. Rows meet the header
-    of their own file, and each column is picked at the position that header names. Rows of a
-    file without a header fail the batch.
-    """
-    is_header = F.coalesce(F.array_contains("cells", marker), F.lit(False))
-    headers = (cells.filter(is_header).select("file", F.col("cells").alias("names"))
-               .dropDuplicates(["file"]))
-    rows = cells.filter(~is_header).join(headers, "file", "left")
-    named = F.assert_true(F.col("names").isNotNull(), F.concat(
-        F.lit(f"no header with {marker} in "), F.col("file")))
-    rows = rows.filter(named.isNull())
-
-    def pick(field: T.StructField):
-        at = F.nullif(F.array_position("names", F.lit(field.name)), F.lit(0))
-        value = F.try_element_at(F.col("cells"), at.cast("int"))
-        return cast_clean(value, field.dataType).alias(field.name)
-
-    return rows.select(*[pick(f) for f in schema.fields])
-
-
-def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType, *,
+def read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.StructType, *,
                      marker: str = TS, glob: str | None = None,
                      landing: bool = False) -> DataFrame:
     """Files whose headers differ in order or number of columns.
@@ -118,7 +76,7 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType, *,
         seen = [n if n and n not in names[:i] else f"_c{i}" for i, n in enumerate(names)]
         raw = spark.read.option("header", True).schema(_texts(seen)).csv(sorted(files))
         return _typed(with_landing(raw) if landing else raw, schema,
-                      keep=LANDING[1:] if landing else ())
+                      keep=FILE_LANDING if landing else ())
 
     parts = [read(*g) for g in sorted(groups.items())]
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame(

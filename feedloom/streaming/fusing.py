@@ -5,12 +5,15 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from feedloom.functions import timetext
 from feedloom.plans.wide_table import Feeds, build_wide_table, complete_snapshots
 from feedloom.schemas import TS
 from feedloom.session import cut_lineage
-from feedloom.sinks.append import append_new, on_days, touched_days
+from feedloom.sinks.append import on_days, touched_days
+from feedloom.sinks.versions import merge_days
 from feedloom.streaming.landing import start
 
 
@@ -26,33 +29,57 @@ def touched_feeds(feeds: Feeds, touched: DataFrame, days: list | None = None) ->
     return feeds.map_facts(narrow)
 
 
-def fuse_touched(feeds: Feeds, touched: DataFrame, days: list | None = None) -> DataFrame:
-    """Wide rows of those touched snapshots that every feed holds by now."""
+def fuse_touched(feeds: Feeds, touched: DataFrame, days: list | None = None, *,
+                 complete: bool = False) -> DataFrame:
+    """Wide rows of those touched snapshots that every feed holds by now.
+
+    ``complete`` says that all of them are, so that feeds need not be asked.
+    """
     part = touched_feeds(feeds, touched, days)
-    return build_wide_table(part, snapshots=complete_snapshots(part))
+    return build_wide_table(part, snapshots=touched if complete else complete_snapshots(part))
+
+
+def completed(arrivals: DataFrame, delay: str | None = None) -> DataFrame:
+    """Snapshots of a stream ``TS, bit`` that all feeds have sent, as often as one sends more.
+
+    The state is the feeds seen per snapshot, one small row each. Without ``delay`` it is kept
+    for good, so a feed may be as late as it likes; with one, a snapshot that is older than the
+    newest by more than that is forgotten, and what still lands for it is not seen.
+    """
+    own = arrivals.filter(F.col(TS).isNotNull())
+    keys = [TS]
+    if delay:
+        own = own.withColumn("__at", timetext.to_ntz(TS).cast("timestamp")).withWatermark(
+            "__at", delay)
+        keys.append("__at")
+    seen = own.groupBy(*keys).agg(F.bit_or("bit").alias("seen"))
+    return seen.filter(F.col("seen") == (1 << len(Feeds.FACTS)) - 1).select(TS)
 
 
 def fuse_stream(spark: SparkSession, tables: dict[str, str], routes: DataFrame,
                 camera_map: DataFrame, target: str, checkpoint: str, *,
-                every: str | None = None) -> StreamingQuery:
-    """Append complete snapshots to ``target`` as their feeds arrive.
+                every: str | None = None, delay: str | None = None) -> StreamingQuery:
+    """Keep the wide table ``target`` (see :mod:`feedloom.sinks.versions`) up with its feeds.
 
-    ``tables`` maps each fact feed to its landed table. A snapshot is withheld until all
-    feeds hold it; the feed that comes last touches it again, so no state is kept. The key
-    guards the append, so a repeated batch adds nothing.
+    ``tables`` maps each fact feed to its landed table. A snapshot is withheld until all feeds
+    have sent it: the stream's state tells, and feeds are read for complete snapshots only. What
+    lands for a complete snapshot, a correction as well, fuses it again; its rows replace those
+    in the table. A repeated batch changes nothing.
     """
-    def stamps(path: str) -> DataFrame:
-        schema = spark.read.parquet(path).schema
-        return spark.readStream.schema(schema).parquet(path).select(TS)
+    def stamps(name: str) -> DataFrame:
+        schema = spark.read.parquet(tables[name]).schema
+        bit = F.lit(1 << Feeds.FACTS.index(name)).alias("bit")
+        return spark.readStream.schema(schema).parquet(tables[name]).select(TS, bit)
 
-    arrivals = reduce(DataFrame.unionAll, [stamps(tables[n]) for n in Feeds.FACTS])
+    arrivals = reduce(DataFrame.unionAll, [stamps(n) for n in Feeds.FACTS])
 
     def each(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        feeds = Feeds(**{n: session.read.parquet(tables[n]) for n in Feeds.FACTS},
-                      routes=routes, camera_map=camera_map)
-        touched = cut_lineage(batch.select(TS).distinct())
+        touched = cut_lineage(batch)
         days = touched_days(touched)
-        append_new(fuse_touched(feeds, touched, days), target, days=days)
+        if days:
+            feeds = Feeds(**{n: session.read.parquet(tables[n]) for n in Feeds.FACTS},
+                          routes=routes, camera_map=camera_map)
+            merge_days(fuse_touched(feeds, touched, days, complete=True), target)
 
-    return start(arrivals, each, checkpoint, every=every)
+    return start(completed(arrivals, delay), each, checkpoint, every=every, mode="update")

@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from feedloom.schemas import TS
-from feedloom.sources.csvfeeds import SPARE_COLUMNS, bind_by_name, csv_cells, with_day
+from feedloom.sinks.append import read_if_present
+from feedloom.sources.csvfeeds import read_csv_by_name, with_day
+
+FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def source_options(spark: SparkSession, *, max_files: int | None = None,
@@ -22,19 +25,49 @@ def source_options(spark: SparkSession, *, max_files: int | None = None,
     return reader
 
 
-def write_batch(df: DataFrame, out: str, batch_id: int, *, ts: str = TS) -> None:
-    """Rows of one micro-batch. A repeated batch replaces its own files, so each row lands
-    once even if the job died between write and commit."""
-    (with_day(df, ts).withColumn("batch", F.lit(batch_id).cast("long"))
+def write_batch(df: DataFrame, out: str, stream: str, batch_id: int, *, ts: str = TS) -> None:
+    """Rows of one micro-batch of a stream, in folders of their day, number and stream.
+
+    A repeated batch replaces its own files, so each row lands once even if the job died between
+    write and commit. Batches of other streams, and of the same source under a new checkpoint,
+    have folders of their own. Numbers go on from stream to stream: what lands in a stream that
+    was seen later counts as landed later.
+    """
+    number = stream_number(df.sparkSession, out, stream) << 32 | batch_id
+    (with_day(df, ts).withColumn("batch", F.lit(number).cast("long"))
+     .withColumn("stream", F.lit(stream))
      .hint("rebalance", F.col("dt"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt", "batch").parquet(out))
+     .partitionBy("dt", "batch", "stream").parquet(out))
+
+
+def stream_number(spark: SparkSession, out: str, stream: str) -> int:
+    """Place of a stream among those that wrote to a table; a new one is written down."""
+    seen = read_if_present(spark, f"{out}.streams")
+    rows = [] if seen is None else seen.groupBy("stream").agg(F.min("number")).collect()
+    numbers = dict(map(tuple, rows))
+    if stream not in numbers:
+        numbers[stream] = max(numbers.values(), default=-1) + 1
+        spark.createDataFrame([(stream, numbers[stream])], "stream string, number long").coalesce(
+            1).write.mode("append").parquet(f"{out}.streams")
+    return numbers[stream]
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity of the query that a checkpoint belongs to; a restarted query keeps it."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def lander(spark: SparkSession, out: str, checkpoint: str, shape=lambda df: df, ts: str = TS):
+    """Writer of a stream's batches to ``out``, each through ``shape``."""
+    return lambda df, i: write_batch(shape(df), out, stream_id(spark, checkpoint), i, ts=ts)
 
 
 def start(stream: DataFrame, each, checkpoint: str, *, every: str | None = None,
-          name: str | None = None) -> StreamingQuery:
+          name: str | None = None, mode: str = "append") -> StreamingQuery:
     """Run ``each(batch, id)``; at an interval, or once over everything available."""
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(each).option(
+        "checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -44,11 +77,22 @@ def start(stream: DataFrame, each, checkpoint: str, *, every: str | None = None,
 def land_csv(spark: SparkSession, landing: str, schema: T.StructType, out: str,
              checkpoint: str, *, glob: str = "*.csv", every: str | None = None,
              max_files: int | None = None, archive: str | None = None) -> StreamingQuery:
-    """CSV snapshots, bound by name within each batch."""
-    cells = csv_cells(source_options(spark, max_files=max_files, archive=archive),
-                      landing, len(schema.fields) + SPARE_COLUMNS, glob=glob)
-    return start(cells, lambda df, i: write_batch(bind_by_name(df, schema), out, i),
-                 checkpoint, every=every)
+    """CSV snapshots, bound by name to the headers of each batch's files, however wide.
+
+    The stream names new files without reading them; the batch reader then takes those files, a
+    group per header. A file without rows below a header lands nothing.
+    """
+    reader = source_options(spark, max_files=max_files, archive=archive)
+    files = reader.format("binaryFile").schema(FILE).option("pathGlobFilter", glob).option(
+        "recursiveFileLookup", True).load(landing).select("path")
+
+    def each(batch: DataFrame, i: int) -> None:
+        paths = [r.path for r in batch.collect()]
+        if paths:
+            land(read_csv_by_name(batch.sparkSession, paths, schema), i)
+
+    land = lander(spark, out, checkpoint)
+    return start(files, each, checkpoint, every=every)
 
 
 def land_json(spark: SparkSession, landing: str, schema: T.StructType, tabulate, out: str,
@@ -61,14 +105,14 @@ def land_json(spark: SparkSession, landing: str, schema: T.StructType, tabulate,
     raw = reader.option("multiLine", True).option("pathGlobFilter", glob).json(landing)
     payloads = raw.select(file_stamp(F.col("_metadata.file_name")).alias(TS),
                           F.struct(*[F.col(f.name) for f in schema.fields]).alias("payload"))
-    return start(payloads, lambda df, i: write_batch(tabulate(df), out, i), checkpoint,
-                 every=every)
+    return start(payloads, lander(spark, out, checkpoint, tabulate), checkpoint, every=every)
 
 
 def land_rows(stream: DataFrame, out: str, checkpoint: str, *, ts: str = TS,
               every: str | None = None) -> StreamingQuery:
     """Any stream that already has feed columns."""
-    return start(stream, lambda df, i: write_batch(df, out, i, ts=ts), checkpoint, every=every)
+    land = lander(stream.sparkSession, out, checkpoint, ts=ts)
+    return start(stream, land, checkpoint, every=every)
 
 
 def dedupe_stream(stream: DataFrame, keys: list[str], event_time: str,

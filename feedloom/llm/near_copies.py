@@ -1,38 +1,49 @@
 """Near copies of word shingles: every pair of texts with a Jaccard similarity of a share or more.
 
-Two sets with that similarity share a member of their prefixes, whatever order ranks the members:
-of n shingles the first ``n - ceil(share * n) + 1``. The order puts shingles that a sample finds
-in many texts last, so a common line seldom makes candidates. Texts that meet in a prefix are
-verified on all their shingles (64-bit hashes). No pair is missed, which no radius of 64-bit
-fingerprints gives: at a similarity of 0.8 about ten bits differ, in some pairs over twenty.
+Fingerprints come first: multi-index hashing (:mod:`feedloom.llm.simhash`) finds the pairs within
+three bits, which verify cheaply and join most copies. At a similarity of 0.8 about ten bits
+differ, in some pairs over twenty, so no radius of 64 bits finds them all; the rest is searched by
+prefixes. Two sets with that similarity share a member of their prefixes, whatever order ranks the
+members: of n shingles the first ``n - ceil(share * n) + 1``. The order puts shingles that a
+sample finds in many texts last, so a common line seldom makes candidates. Where two texts first
+meet, the members that follow bound what they can share. Texts that may be similar are verified
+on all their shingles (64-bit hashes). No pair is missed.
 
 Linked are the pairs that matter to components. A shingle that few texts share gives all their
 pairs; one that many share first gives pairs with a leading text, round by round, and in the end
 all pairs whose texts are not yet in one component.
+
+Texts are exchanged once: rows are dealt and sorted by their words' digest (128 bits) and id, and
+every later look at a text finds it there. Prefix rows are exchanged once, hash arrays only of
+texts that are in a candidate pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm import simhash
 from feedloom.llm.components import components
 from feedloom.llm.text import gram_hashes, let, spare, words
-from feedloom.session import cut_lineage
+from feedloom.session import cut_by_key, cut_lineage, release
 
 WIDTH, SHARE = 5, 0.8
 # Texts sampled for common shingles, common shingles held, texts of a shingle that are paired at
 # once, rounds of leading texts.
 SAMPLE, HELD, PAIRED, ROUNDS = 4000, 100_000, 8, 4
+PRINT, PAIR, MANY = 0, 1, 2
+FOUND = "kind byte, h long, a long, na int, b long, nb int"
 
 
-def _node(text: Column) -> Column:
-    """Hash of the lower-cased words; texts that are equal in them are one node."""
-    return F.xxhash64(words(F.lower(text)))
+def _halves(text: Column) -> list[Column]:
+    """Digest of the lower-cased words in two numbers; texts equal in them are one node."""
+    digest = F.md5(F.array_join(words(F.lower(text)), " "))
+    return [F.conv(F.substring(digest, at, 16), 16, -10).cast("long") for at in (1, 17)]
 
 
 def _hashes(text: Column, width: int) -> Column:
@@ -44,96 +55,207 @@ def _need(n: Column, share: float) -> Column:
     return F.ceil(F.lit(share) * n - 1e-9).cast("int")
 
 
+def _fingerprint(own: np.ndarray) -> int:
+    bits = np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    ones = bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(own), bitorder="little").view("<i8")[0])
+
+
 def _prefixes(common: np.ndarray, times: np.ndarray, share: float):
+    """Prefix rows ``h, node, at``, ``at`` holding a set's size and the place in its order; and
+    a row with the fingerprint in place of ``h`` and ``at`` of -1."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, n, h = [], [], []
+            node, at, h = [], [], []
             values = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
             start = 0
             for name, end in zip(batch.column(0).to_numpy(zero_copy_only=False), ends):
-                own, start = values[start:end], int(end)
-                at = np.minimum(np.searchsorted(common, own), max(0, len(common) - 1))
-                rank = np.where(common[at] == own, times[at], 0) if len(common) else own * 0
+                own, start = np.ascontiguousarray(values[start:end]), int(end)
+                where = np.minimum(np.searchsorted(common, own), max(0, len(common) - 1))
+                rank = np.where(common[where] == own, times[where], 0) if len(common) else own * 0
                 first = len(own) - int(np.ceil(share * len(own) - 1e-9)) + 1
-                h.append(own[np.lexsort((own, rank))[:first]])
-                node.append(np.full(first, name))
-                n.append(np.full(first, len(own), np.int32))
+                h += [own[np.lexsort((own, rank))[:first]], [_fingerprint(own)]]
+                at += [len(own) << 32 | np.arange(first), [-1]]
+                node.append(np.full(first + 1, name))
             if h:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (h, node, n)], names=["h", "node", "n"])
+                    [pa.array(np.concatenate(x).astype(np.int64)) for x in (h, node, at)],
+                    names=["h", "node", "at"])
+    return run
+
+
+def _rows(kind: int, h, a, na, b=None, nb=None) -> pa.RecordBatch:
+    n = len(h)
+    cols = [pa.array(np.full(n, kind, np.int8)), pa.array(h), pa.array(a), pa.array(na, pa.int32())]
+    cols += [pa.nulls(n, pa.int64()) if b is None else pa.array(b),
+             pa.nulls(n, pa.int32()) if nb is None else pa.array(nb, pa.int32())]
+    return pa.RecordBatch.from_arrays(cols, names=["kind", "h", "a", "na", "b", "nb"])
+
+
+def _pairer(share: float, paired: int):
+    """Rows sorted by ``h, node`` to fingerprints, pairs of shingles that up to ``paired`` texts
+    share, and the rows of shingles that more share. A task holds one batch and one short run."""
+    def met(h, node, at):
+        """Pairs of the short runs, and a mask of the long ones' rows."""
+        cut = np.flatnonzero(np.diff(h)) + 1
+        run = np.zeros(len(h), np.int64)
+        run[cut] = 1
+        run = np.cumsum(run)
+        long_ = np.bincount(run)[run] > paired if len(h) else np.zeros(0, bool)
+        n, place = at >> 32, at & 0xFFFFFFFF
+        out = []
+        for gap in range(1, paired):
+            i = np.flatnonzero((run[gap:] == run[:-gap]) & ~long_[gap:])
+            j = i + gap
+            least, most = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            more = np.minimum(n[i] - place[i], n[j] - place[j])
+            both = np.ceil(share / (1 + share) * (n[i] + n[j]) - 1e-9)
+            fits = (least >= np.ceil(share * most - 1e-9)) & (more >= both) & (node[i] != node[j])
+            i, j = i[fits], j[fits]
+            out.append((h[i], node[i], n[i], node[j], n[j]))
+        return [np.concatenate(x) for x in zip(*out)], long_
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, long_h = None, None
+        for batch in batches:
+            h, node, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            prints = at < 0
+            if prints.any():
+                yield _rows(PRINT, h[prints], node[prints], np.zeros(prints.sum(), np.int32))
+                h, node, at = h[~prints], node[~prints], at[~prints]
+            if long_h is not None and len(h):
+                on = int(np.searchsorted(h, long_h, "right"))
+                if on:
+                    yield _rows(MANY, h[:on], node[:on], at[:on] >> 32)
+                h, node, at = h[on:], node[on:], at[on:]
+            if not len(h):
+                continue
+            long_h = None
+            if held is not None:
+                h, node, at = (np.concatenate(x) for x in zip(held, (h, node, at)))
+            last = int(np.searchsorted(h, h[-1], "left"))
+            held = h[last:], node[last:], at[last:]
+            if len(held[0]) > paired:
+                yield _rows(MANY, held[0], held[1], held[2] >> 32)
+                held, long_h = None, h[-1]
+            yield from done(h[:last], node[:last], at[:last])
+        if held is not None:
+            yield from done(*held)
+
+    def done(h, node, at):
+        if len(h):
+            pairs, many = met(h, node, at)
+            if len(pairs[0]):
+                yield _rows(PAIR, *pairs)
+            if many.any():
+                yield _rows(MANY, h[many], node[many], at[many] >> 32)
     return run
 
 
 def _common(sets: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several texts of a sample hold, by hash, and how many do."""
-    some = sets.filter(F.pmod("node", F.lit(max(1, texts // SAMPLE))) == 0)
-    found = some.select(F.explode("hs").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
+    found = sets.select(F.explode("hs").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
     rows = found.filter("c > 2").orderBy(F.desc("c"), "h").limit(HELD).collect()
     rows.sort()
     return np.array([r.h for r in rows], np.int64), np.array([r.c for r in rows], np.int64)
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
-    """The pairs ``a, b`` that are as similar as ``share`` asks."""
+    """The pairs ``a, b`` that are as similar as ``share`` asks; ``sets`` is dealt by node."""
     left = sets.select(F.col("node").alias("a"), F.col("hs").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hs").alias("hb"))
-    met = pairs.join(right, "b").join(left, "a").select(
+    fits = (F.least(F.size("ha"), F.size("hb"))
+            >= _need(F.greatest(F.size("ha"), F.size("hb")), share))
+    met = pairs.join(right, "b").join(left, "a").filter(fits).select(
         "a", "b", (F.size("ha") + F.size("hb")).alias("n"),
         F.size(F.array_intersect("ha", "hb")).alias("both"))
     return met.filter(F.col("both") >= _need(F.col("n") - F.col("both"), share)).select("a", "b")
 
 
-def _sized(pairs: DataFrame, share: float) -> DataFrame:
-    """Distinct pairs ``a < b`` whose sizes allow the similarity."""
-    fits = F.least("na", "nb") >= _need(F.greatest("na", "nb"), share)
-    return pairs.filter(fits & (F.col("a") != F.col("b"))).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def links(sets: DataFrame, texts: int, share: float = SHARE) -> DataFrame:
-    """``node, root`` of every linked text of ``node, hs``, one row per node."""
-    posts = sets.filter(F.size("hs") > 0).mapInArrow(
-        _prefixes(*_common(sets, texts), share), "h long, node long, n int")
-    posts = cut_lineage(posts)
-    shared = posts.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1")
-    posts = cut_lineage(posts.join(cut_lineage(shared), "h"))
-    held = posts.select("node").distinct()
-    sets = cut_lineage(sets.join(held, "node", "left_semi"))
-
-    def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
-        return rows.select("h", F.col("node").alias(name), F.col("n").alias(f"n{name}"), *more)
-
-    few, many = posts.filter(F.col("c") <= PAIRED), posts.filter(F.col("c") > PAIRED)
-    many = cut_lineage(many.select("h", "node", "n"))
-    pairs = _sized(side(few, "a").join(side(few, "b"), "h").filter("a < b"), share)
-    edges = cut_lineage(_alike(cut_lineage(pairs), sets, share))
-    if many.isEmpty():
-        return components(edges)
+def _close(prints: DataFrame) -> DataFrame:
+    """Pairs of nodes whose fingerprints are equal or within three bits: each fingerprint's least
+    node with its others, and with that of the other fingerprint."""
+    least = cut_lineage(prints.groupBy("fp").agg(F.min("node").alias("least")))
+    same = prints.join(least, "fp").filter("node <> least").select(
+        F.col("least").alias("a"), F.col("node").alias("b"))
+    near = simhash.links(least.select("fp"))
+    ends = [least.select(F.col("fp").alias(x), F.col("least").alias(f"least_{x}")) for x in "ab"]
+    return same.unionAll(near.join(ends[0], "a").join(ends[1], "b").select(
+        F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b"))
+        .distinct())
+
+
+def links(texts: Callable[[DataFrame], DataFrame], count: int, nodes: DataFrame, width: int = WIDTH,
+          share: float = SHARE) -> DataFrame:
+    """``node, root`` of every linked text of ``node, text``, one row per node.
+
+    ``texts(nodes)`` gives the rows of some nodes, ``nodes`` all of them, ``count`` their number.
+    Texts below ``width`` words have no shingle and are in no pair, nor are null and empty ones.
+    """
+    def sets(of: DataFrame) -> DataFrame:
+        return texts(of).select("node", _hashes(F.col("text"), width).alias("hs")).filter(
+            F.size("hs") > 0)
+
+    some = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(max(1, count // SAMPLE))) == 0)
+    posts = sets(nodes).mapInArrow(_prefixes(*_common(sets(some), count), share),
+                                   "h long, node long, at long")
+    found = cut_lineage(posts.repartition("h").sortWithinPartitions("h", "node").mapInArrow(
+        _pairer(share, PAIRED), FOUND))
+    close = cut_lineage(_close(found.filter(F.col("kind") == PRINT).select(
+        F.col("h").alias("fp"), F.col("a").alias("node"))))
+    pairs = cut_lineage(found.filter(F.col("kind") == PAIR).select("a", "b").distinct())
+    many = cut_lineage(found.filter(F.col("kind") == MANY).select(
+        "h", F.col("a").alias("node"), F.col("na").alias("n")))
+    release(found)
+    # Only texts in a candidate pair are verified; their hashes are dealt by node once.
+    held = close.select("a").unionAll(close.select("b")).unionAll(pairs.select("a")).unionAll(
+        pairs.select("b")).unionAll(many.select("node")).distinct()
+    own = cut_by_key(sets(nodes.join(held.withColumnRenamed("a", "node"), "node", "left_semi")),
+                     "node")
+    edges = cut_lineage(_alike(close, own, share))
+    roots = cut_lineage(components(edges))
+    # What fingerprints have joined need not be verified again.
+    apart = _apart(pairs, roots)
+    edges = cut_lineage(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(
+        _alike(apart, own, share)))
+    release(close, pairs)
     for k in range(ROUNDS + 1):
+        if many.isEmpty():
+            break
         roots = cut_lineage(components(edges))
-        many = many.join(roots, "node", "left").select(
+        rooted = many.select("h", "node", "n").join(roots, "node", "left").select(
             "h", "node", "n", F.coalesce("root", "node").alias("root"))
         # A shingle whose texts are all in one component has nothing left to say.
-        open_ = many.groupBy("h").agg(
+        open_ = rooted.groupBy("h").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
             F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(k))).alias("lead"))
         open_ = open_.filter("low <> high").select("h", "lead")
-        many = cut_lineage(many.join(open_, "h"))
-        if many.isEmpty():
-            return roots
+        now = cut_lineage(rooted.join(open_, "h"))
+        release(many)
+        many = now
         if k < ROUNDS:
             met = many.filter("root <> lead.root").select(
-                F.col("node").alias("a"), F.col("n").alias("na"),
-                F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"))
+                F.col("node").alias("a"), F.col("lead.node").alias("b"))
         else:
-            met = side(many, "a", F.col("root").alias("ra")).join(
-                side(many, "b", F.col("root").alias("rb")), "h").filter("ra < rb")
-        more = _alike(cut_lineage(_sized(met, share)), sets, share)
-        edges = cut_lineage(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-                            .unionAll(more))
-        many = many.select("h", "node", "n")
-    return components(edges)
+            one, two = (many.select("h", F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+                        for x in "ab")
+            met = one.join(two, "h").filter("root_a < root_b")
+        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        before, edges = edges, cut_lineage(roots.select(
+            F.col("node").alias("a"), F.col("root").alias("b")).unionAll(_alike(met, own, share)))
+        release(before)
+    out = components(edges)
+    release(own)
+    return out
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose nodes are in different components."""
+    for x in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")),
+                           x, "left")
+    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -142,29 +264,34 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Shingles are ``width`` lower-cased words; texts below that length, null and empty ones are
     copies only of texts with the same words. Rows without an id and rows that repeat one are
-    rows like any other; a row with an id goes before one without.
+    rows like any other; a row with an id goes before one without. Columns may have any names;
+    an empty table gives an empty one. A text may be as long as memory holds one.
     """
-    node, who = spare(docs, "node"), spare(docs, "who")
-    rows = docs.withColumns({node: _node(F.col(text)), who: F.col(doc_id)})
-    told = cut_lineage(rows.groupBy(F.col(node).alias("node"), F.col(who).alias("id")).agg(
-        F.count("*").alias("c")))
-    nodes = cut_lineage(told.groupBy("node").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first"),
-        F.sum("c").alias("c")))
-    copied = cut_lineage(nodes.filter("c > 1").select(F.col("node").alias(node)))
-    sets = rows.select(node, _hashes(F.col(text), width).alias("hs"))
-    sets = sets.join(copied, node, "left_anti").unionAll(
-        sets.join(copied, node, "left_semi").dropDuplicates([node]))
-    roots = links(sets.withColumnRenamed(node, "node"), nodes.count(), share)
+    k1, k2, who = (spare(docs, x) for x in ("k1", "k2", "who"))
+    key = [k1, k2, who]
+    digests = _halves(F.col(text))
+    said = F.coalesce(F.concat(F.lit("id "), F.col(doc_id).cast("string")), F.lit("none"))
+    rows = cut_by_key(docs.withColumns({k1: digests[0], k2: digests[1], who: said}), *key)
+    told = rows.groupBy(*key).agg(F.first(doc_id).alias("id"), F.count("*").alias("c"))
+    own = [F.col(c).alias(n) for c, n in zip(key, ("k1", "k2", "who"))]
+    told = cut_lineage(told.select(*own, "id", "c"))
+    nodes = cut_lineage(told.groupBy("k1", "k2").agg(F.min(F.struct(
+        F.col("id").isNull().alias("none"), "id", "who", "c")).alias("first")).withColumn(
+            "node", F.monotonically_increasing_id()))
+    release(told)
+
+    def texts(of: DataFrame) -> DataFrame:
+        named = of.select(*[F.col(c).alias(n) for n, c in zip(key, ("k1", "k2", "first.who"))], "node")
+        met = rows.select(*key, F.col(text).alias("text")).join(named, key)
+        return met.dropDuplicates(key).select("node", "text")
+
+    roots = links(texts, nodes.count(), nodes, width, share)
     # The row that stays of each component, and whether others have its id and words.
     best = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")) \
-        .agg(F.min("first").alias("first")).select("first.id", "first.node")
-    kept = best.alias("k").join(told.alias("t"), (F.col("k.node") == F.col("t.node"))
-                                & F.col("k.id").eqNullSafe(F.col("t.id")))
-    stays, many = spare(docs, "stays"), spare(docs, "many")
-    kept = cut_lineage(kept.select(F.col("k.node").alias(stays), F.col("k.id").alias(f"{stays}_id"),
-                                   (F.col("c") > 1).alias(many)))
-    left = rows.join(kept, (F.col(node) == F.col(stays))
-                     & F.col(who).eqNullSafe(F.col(f"{stays}_id")))
+        .agg(F.min(F.struct("first.none", "first.id", "k1", "k2", "first.who", "first.c")).alias("r"))
+    many = spare(docs, "many")
+    kept = cut_lineage(best.select(*[F.col(f"r.{c}").alias(n) for n, c in zip(key, ("k1", "k2", "who"))],
+                                   (F.col("r.c") > 1).alias(many)))
+    left = rows.join(kept, key)
     once = left.filter(~F.col(many)).select(*docs.columns)
-    return once.unionAll(left.filter(many).dropDuplicates([node, who]).select(*docs.columns))
+    return once.unionAll(left.filter(many).dropDuplicates(key).select(*docs.columns))

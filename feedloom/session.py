@@ -90,7 +90,7 @@ def cut_by_key(df: DataFrame, *keys: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path, name = scratch_dir(spark, "keyed"), f"feedloom_{uuid.uuid4().hex}"
     (df.repartition(parts, *keys).write.bucketBy(parts, *keys).sortBy(*keys)
-     .option("path", path).saveAsTable(name))
+     .option("path", path).option("compression", "zstd").saveAsTable(name))
     out = _told(spark.table(name), path)
     spark.sql(f"DROP TABLE {name}")
     return out

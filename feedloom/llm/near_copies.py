@@ -13,14 +13,15 @@ Linked are the pairs that matter to components. A shingle that few texts share g
 pairs; one that many share first gives pairs with a leading text, round by round, and in the end
 all pairs whose texts are not yet in one component.
 
-Texts are exchanged once: rows are dealt and sorted by their words' digest (128 bits) and id, and
-every later look at a text finds it there. Prefix rows are exchanged once, hash arrays only of
-texts that are in a candidate pair.
+Rows are dealt and sorted by their words' digest (128 bits) and id once, and every later look at
+a text finds it there. Prefix rows are exchanged once. Hash arrays are never exchanged: of a
+candidate pair one text goes to the other's place, or, where one text leads many pairs, its
+hashes are broadcast within a bound.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,10 @@ WIDTH, SHARE = 5, 0.8
 # Texts sampled for common shingles, common shingles held, texts of a shingle that are paired at
 # once, rounds of leading texts.
 SAMPLE, HELD, PAIRED, ROUNDS = 4000, 100_000, 8, 4
+# Pairs of a text that make it a lead, leads looked at, hashes of leads broadcast at once.
+LED, LEADS, BROADCAST = 4, 10_000, 2_000_000
 PRINT, PAIR, MANY = 0, 1, 2
+KEY = ["k1", "k2", "who"]
 FOUND = "kind byte, h long, a long, na int, b long, nb int"
 
 
@@ -63,7 +67,7 @@ def _fingerprint(own: np.ndarray) -> int:
 
 def _prefixes(common: np.ndarray, times: np.ndarray, share: float):
     """Prefix rows ``h, node, at``, ``at`` holding a set's size and the place in its order; and
-    a row with the fingerprint in place of ``h`` and ``at`` of -1."""
+    a row with the fingerprint in place of ``h`` and the size below zero in ``at``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, at, h = [], [], []
@@ -76,7 +80,7 @@ def _prefixes(common: np.ndarray, times: np.ndarray, share: float):
                 rank = np.where(common[where] == own, times[where], 0) if len(common) else own * 0
                 first = len(own) - int(np.ceil(share * len(own) - 1e-9)) + 1
                 h += [own[np.lexsort((own, rank))[:first]], [_fingerprint(own)]]
-                at += [len(own) << 32 | np.arange(first), [-1]]
+                at += [len(own) << 32 | np.arange(first), [-len(own)]]
                 node.append(np.full(first + 1, name))
             if h:
                 yield pa.RecordBatch.from_arrays(
@@ -122,7 +126,7 @@ def _pairer(share: float, paired: int):
             h, node, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             prints = at < 0
             if prints.any():
-                yield _rows(PRINT, h[prints], node[prints], np.zeros(prints.sum(), np.int32))
+                yield _rows(PRINT, h[prints], node[prints], -at[prints])
                 h, node, at = h[~prints], node[~prints], at[~prints]
             if long_h is not None and len(h):
                 on = int(np.searchsorted(h, long_h, "right"))
@@ -153,7 +157,7 @@ def _pairer(share: float, paired: int):
     return run
 
 
-def _common(sets: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
+def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several texts of a sample hold, by hash, and how many do."""
     found = sets.select(F.explode("hs").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
     rows = found.filter("c > 2").orderBy(F.desc("c"), "h").limit(HELD).collect()
@@ -161,65 +165,86 @@ def _common(sets: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([r.h for r in rows], np.int64), np.array([r.c for r in rows], np.int64)
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
-    """The pairs ``a, b`` that are as similar as ``share`` asks; ``sets`` is dealt by node."""
-    left = sets.select(F.col("node").alias("a"), F.col("hs").alias("ha"))
-    right = sets.select(F.col("node").alias("b"), F.col("hs").alias("hb"))
-    fits = (F.least(F.size("ha"), F.size("hb"))
-            >= _need(F.greatest(F.size("ha"), F.size("hb")), share))
-    met = pairs.join(right, "b").join(left, "a").filter(fits).select(
-        "a", "b", (F.size("ha") + F.size("hb")).alias("n"),
-        F.size(F.array_intersect("ha", "hb")).alias("both"))
-    return met.filter(F.col("both") >= _need(F.col("n") - F.col("both"), share)).select("a", "b")
+class _Texts:
+    """Texts at their places: ``rows`` are dealt by ``key``, ``nodes`` names each node's row."""
+
+    def __init__(self, rows: DataFrame, key: list[str], text: str, nodes: DataFrame, width: int):
+        self.rows = rows.select(*[F.col(c).alias(n) for c, n in zip(key, KEY)],
+                                F.col(text).alias("text"))
+        self.places = nodes.select("node", "k1", "k2", "first.who")
+        self.width = width
+
+    def at(self, of: DataFrame, node: str = "node") -> DataFrame:
+        """The rows of ``of`` with the text of their node; ``of`` moves, texts stay."""
+        placed = of.join(self.places.withColumnRenamed("node", node), node)
+        return placed.join(self.rows, KEY).drop(*KEY)
+
+    def sets(self, of: DataFrame) -> DataFrame:
+        """``node, hs`` of the nodes that have a shingle."""
+        placed = of.select("node").join(self.places, "node").join(self.rows, KEY)
+        return placed.dropDuplicates(KEY).select("node", _hashes(F.col("text"), self.width).alias(
+            "hs")).filter(F.size("hs") > 0)
+
+    def alike(self, pairs: DataFrame, share: float) -> DataFrame:
+        """The pairs of ``a, na, b, nb`` (nodes and sizes) that are as similar as ``share`` asks.
+
+        ``b`` is the end that may lead many pairs.
+        """
+        pairs = cut_lineage(pairs.filter(F.least("na", "nb") >= _need(F.greatest("na", "nb"), share)))
+        spark = pairs.sparkSession
+        led = pairs.groupBy("b").agg(F.count("*").alias("c"), F.max("nb").alias("n")).filter(
+            F.col("c") >= LED).orderBy(F.desc("c"), "b").limit(LEADS).collect()
+        fit = np.cumsum([r.n for r in led]) <= BROADCAST
+        leads = F.broadcast(spark.createDataFrame(
+            [(r.b,) for r, ok in zip(led, fit) if ok], "b long"))
+        heads = self.at(pairs.join(leads, "b", "left_semi"), "a").withColumnRenamed("text", "ta")
+        known = F.broadcast(self.sets(leads.withColumnRenamed("b", "node")).select(
+            F.col("node").alias("b"), F.col("hs").alias("hb")))
+        heads = heads.join(known, "b").select(
+            "a", "b", "na", "nb", _hashes(F.col("ta"), self.width).alias("ha"), "hb")
+        rest = self.at(pairs.join(leads, "b", "left_anti"), "a").withColumnRenamed("text", "ta")
+        rest = self.at(rest, "b").select(
+            "a", "b", "na", "nb", *[_hashes(F.col(t), self.width).alias(h)
+                                    for t, h in (("ta", "ha"), ("text", "hb"))])
+        n = F.col("na") + F.col("nb")
+        fits = let(F.size(F.array_intersect("ha", "hb")), lambda both: both >= _need(n - both, share))
+        return heads.unionAll(rest).select("a", "b", fits.alias("fits")).filter("fits").select("a", "b")
 
 
 def _close(prints: DataFrame) -> DataFrame:
     """Pairs of nodes whose fingerprints are equal or within three bits: each fingerprint's least
     node with its others, and with that of the other fingerprint."""
-    least = cut_lineage(prints.groupBy("fp").agg(F.min("node").alias("least")))
-    same = prints.join(least, "fp").filter("node <> least").select(
-        F.col("least").alias("a"), F.col("node").alias("b"))
-    near = simhash.links(least.select("fp"))
+    least = cut_lineage(prints.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("least")))
+    same = prints.join(least, "fp").filter("node <> least.node").select(
+        F.col("node").alias("a"), F.col("n").alias("na"), F.col("least.node").alias("b"),
+        F.col("least.n").alias("nb"))
+    near = simhash.links(least.select("fp")).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     ends = [least.select(F.col("fp").alias(x), F.col("least").alias(f"least_{x}")) for x in "ab"]
     return same.unionAll(near.join(ends[0], "a").join(ends[1], "b").select(
-        F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b"))
-        .distinct())
+        "least_a.node", "least_a.n", "least_b.node", "least_b.n"))
 
 
-def links(texts: Callable[[DataFrame], DataFrame], count: int, nodes: DataFrame, width: int = WIDTH,
-          share: float = SHARE) -> DataFrame:
-    """``node, root`` of every linked text of ``node, text``, one row per node.
+def links(texts: _Texts, nodes: DataFrame, share: float = SHARE) -> DataFrame:
+    """``node, root`` of every linked node of ``nodes``, one row per node.
 
-    ``texts(nodes)`` gives the rows of some nodes, ``nodes`` all of them, ``count`` their number.
-    Texts below ``width`` words have no shingle and are in no pair, nor are null and empty ones.
+    Texts below the width of a shingle are in no pair, nor are null and empty ones.
     """
-    def sets(of: DataFrame) -> DataFrame:
-        return texts(of).select("node", _hashes(F.col("text"), width).alias("hs")).filter(
-            F.size("hs") > 0)
-
+    count = nodes.count()
     some = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(max(1, count // SAMPLE))) == 0)
-    posts = sets(nodes).mapInArrow(_prefixes(*_common(sets(some), count), share),
-                                   "h long, node long, at long")
+    posts = texts.sets(nodes).mapInArrow(_prefixes(*_common(texts.sets(some)), share),
+                                         "h long, node long, at long")
     found = cut_lineage(posts.repartition("h").sortWithinPartitions("h", "node").mapInArrow(
         _pairer(share, PAIRED), FOUND))
-    close = cut_lineage(_close(found.filter(F.col("kind") == PRINT).select(
-        F.col("h").alias("fp"), F.col("a").alias("node"))))
-    pairs = cut_lineage(found.filter(F.col("kind") == PAIR).select("a", "b").distinct())
-    many = cut_lineage(found.filter(F.col("kind") == MANY).select(
-        "h", F.col("a").alias("node"), F.col("na").alias("n")))
-    release(found)
-    # Only texts in a candidate pair are verified; their hashes are dealt by node once.
-    held = close.select("a").unionAll(close.select("b")).unionAll(pairs.select("a")).unionAll(
-        pairs.select("b")).unionAll(many.select("node")).distinct()
-    own = cut_by_key(sets(nodes.join(held.withColumnRenamed("a", "node"), "node", "left_semi")),
-                     "node")
-    edges = cut_lineage(_alike(close, own, share))
+    close = _close(found.filter(F.col("kind") == PRINT).select(
+        F.col("h").alias("fp"), F.col("a").alias("node"), F.col("na").alias("n")))
+    many = found.filter(F.col("kind") == MANY).select("h", F.col("a").alias("node"),
+                                                      F.col("na").alias("n"))
+    edges = cut_lineage(texts.alike(close, share))
     roots = cut_lineage(components(edges))
     # What fingerprints have joined need not be verified again.
-    apart = _apart(pairs, roots)
-    edges = cut_lineage(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(
-        _alike(apart, own, share)))
-    release(close, pairs)
+    pairs = found.filter(F.col("kind") == PAIR).select("a", "na", "b", "nb").distinct()
+    edges = cut_lineage(_joined(roots).unionAll(texts.alike(_apart(pairs, roots), share)))
     for k in range(ROUNDS + 1):
         if many.isEmpty():
             break
@@ -231,23 +256,23 @@ def links(texts: Callable[[DataFrame], DataFrame], count: int, nodes: DataFrame,
             F.min("root").alias("low"), F.max("root").alias("high"),
             F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(k))).alias("lead"))
         open_ = open_.filter("low <> high").select("h", "lead")
-        now = cut_lineage(rooted.join(open_, "h"))
-        release(many)
-        many = now
+        many = cut_lineage(rooted.join(open_, "h"))
         if k < ROUNDS:
             met = many.filter("root <> lead.root").select(
-                F.col("node").alias("a"), F.col("lead.node").alias("b"))
+                F.col("node").alias("a"), F.col("n").alias("na"),
+                F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"))
         else:
-            one, two = (many.select("h", F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+            one, two = (many.select("h", *[F.col(c).alias(f"{c}{x}") for c in ("node", "n", "root")])
                         for x in "ab")
-            met = one.join(two, "h").filter("root_a < root_b")
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        before, edges = edges, cut_lineage(roots.select(
-            F.col("node").alias("a"), F.col("root").alias("b")).unionAll(_alike(met, own, share)))
-        release(before)
-    out = components(edges)
-    release(own)
-    return out
+            met = one.join(two, "h").filter("roota < rootb").select(
+                F.col("nodea").alias("a"), "na", F.col("nodeb").alias("b"), "nb")
+        edges = cut_lineage(_joined(roots).unionAll(texts.alike(met.distinct(), share)))
+    release(found)
+    return components(edges)
+
+
+def _joined(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -255,7 +280,8 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     for x in "ab":
         pairs = pairs.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")),
                            x, "left")
-    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(
+        "a", "na", "b", "nb")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -273,24 +299,19 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     said = F.coalesce(F.concat(F.lit("id "), F.col(doc_id).cast("string")), F.lit("none"))
     rows = cut_by_key(docs.withColumns({k1: digests[0], k2: digests[1], who: said}), *key)
     told = rows.groupBy(*key).agg(F.first(doc_id).alias("id"), F.count("*").alias("c"))
-    own = [F.col(c).alias(n) for c, n in zip(key, ("k1", "k2", "who"))]
+    own = [F.col(c).alias(n) for c, n in zip(key, KEY)]
     told = cut_lineage(told.select(*own, "id", "c"))
     nodes = cut_lineage(told.groupBy("k1", "k2").agg(F.min(F.struct(
         F.col("id").isNull().alias("none"), "id", "who", "c")).alias("first")).withColumn(
             "node", F.monotonically_increasing_id()))
     release(told)
 
-    def texts(of: DataFrame) -> DataFrame:
-        named = of.select(*[F.col(c).alias(n) for n, c in zip(key, ("k1", "k2", "first.who"))], "node")
-        met = rows.select(*key, F.col(text).alias("text")).join(named, key)
-        return met.dropDuplicates(key).select("node", "text")
-
-    roots = links(texts, nodes.count(), nodes, width, share)
+    roots = links(_Texts(rows, key, text, nodes, width), nodes, share)
     # The row that stays of each component, and whether others have its id and words.
     best = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")) \
         .agg(F.min(F.struct("first.none", "first.id", "k1", "k2", "first.who", "first.c")).alias("r"))
     many = spare(docs, "many")
-    kept = cut_lineage(best.select(*[F.col(f"r.{c}").alias(n) for n, c in zip(key, ("k1", "k2", "who"))],
+    kept = cut_lineage(best.select(*[F.col(f"r.{c}").alias(n) for n, c in zip(key, KEY)],
                                    (F.col("r.c") > 1).alias(many)))
     left = rows.join(kept, key)
     once = left.filter(~F.col(many)).select(*docs.columns)

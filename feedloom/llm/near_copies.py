@@ -22,6 +22,7 @@ hashes are broadcast within a bound.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ SAMPLE, HELD, PAIRED, ROUNDS = 4000, 100_000, 8, 4
 LED, LEADS, BROADCAST = 4, 10_000, 2_000_000
 PRINT, PAIR, MANY = 0, 1, 2
 KEY = ["k1", "k2", "who"]
-FOUND = "kind byte, h long, a long, na int, b long, nb int"
+LOW = (1 << 32) - 1
+FOUND = "kind byte, h long, a long, na int, b long, nb int"  # MANY: the place in nb
 
 
 def _halves(text: Column) -> list[Column]:
@@ -90,6 +92,7 @@ def _prefixes(common: np.ndarray, times: np.ndarray, share: float):
 
 
 def _rows(kind: int, h, a, na, b=None, nb=None) -> pa.RecordBatch:
+    """Rows of ``FOUND``."""
     n = len(h)
     cols = [pa.array(np.full(n, kind, np.int8)), pa.array(h), pa.array(a), pa.array(na, pa.int32())]
     cols += [pa.nulls(n, pa.int64()) if b is None else pa.array(b),
@@ -107,7 +110,7 @@ def _pairer(share: float, paired: int):
         run[cut] = 1
         run = np.cumsum(run)
         long_ = np.bincount(run)[run] > paired if len(h) else np.zeros(0, bool)
-        n, place = at >> 32, at & 0xFFFFFFFF
+        n, place = at >> 32, at & LOW
         out = []
         for gap in range(1, paired):
             i = np.flatnonzero((run[gap:] == run[:-gap]) & ~long_[gap:])
@@ -131,7 +134,7 @@ def _pairer(share: float, paired: int):
             if long_h is not None and len(h):
                 on = int(np.searchsorted(h, long_h, "right"))
                 if on:
-                    yield _rows(MANY, h[:on], node[:on], at[:on] >> 32)
+                    yield _rows(MANY, h[:on], node[:on], at[:on] >> 32, nb=at[:on] & LOW)
                 h, node, at = h[on:], node[on:], at[on:]
             if not len(h):
                 continue
@@ -141,7 +144,7 @@ def _pairer(share: float, paired: int):
             last = int(np.searchsorted(h, h[-1], "left"))
             held = h[last:], node[last:], at[last:]
             if len(held[0]) > paired:
-                yield _rows(MANY, held[0], held[1], held[2] >> 32)
+                yield _rows(MANY, held[0], held[1], held[2] >> 32, nb=held[2] & LOW)
                 held, long_h = None, h[-1]
             yield from done(h[:last], node[:last], at[:last])
         if held is not None:
@@ -153,7 +156,7 @@ def _pairer(share: float, paired: int):
             if len(pairs[0]):
                 yield _rows(PAIR, *pairs)
             if many.any():
-                yield _rows(MANY, h[many], node[many], at[many] >> 32)
+                yield _rows(MANY, h[many], node[many], at[many] >> 32, nb=at[many] & LOW)
     return run
 
 
@@ -190,25 +193,47 @@ class _Texts:
 
         ``b`` is the end that may lead many pairs.
         """
-        pairs = cut_lineage(pairs.filter(F.least("na", "nb") >= _need(F.greatest("na", "nb"), share)))
+        pairs = pairs.filter(F.least("na", "nb") >= _need(F.greatest("na", "nb"), share))
+        pairs = _led(cut_lineage(pairs))
         spark = pairs.sparkSession
         led = pairs.groupBy("b").agg(F.count("*").alias("c"), F.max("nb").alias("n")).filter(
             F.col("c") >= LED).orderBy(F.desc("c"), "b").limit(LEADS).collect()
-        fit = np.cumsum([r.n for r in led]) <= BROADCAST
+        block = np.cumsum([r.n for r in led]) // BROADCAST
         leads = F.broadcast(spark.createDataFrame(
-            [(r.b,) for r, ok in zip(led, fit) if ok], "b long"))
-        heads = self.at(pairs.join(leads, "b", "left_semi"), "a").withColumnRenamed("text", "ta")
-        known = F.broadcast(self.sets(leads.withColumnRenamed("b", "node")).select(
-            F.col("node").alias("b"), F.col("hs").alias("hb")))
-        heads = heads.join(known, "b").select(
-            "a", "b", "na", "nb", _hashes(F.col("ta"), self.width).alias("ha"), "hb")
+            [(r.b, int(k)) for r, k in zip(led, block)], "b long, block int"))
         rest = self.at(pairs.join(leads, "b", "left_anti"), "a").withColumnRenamed("text", "ta")
         rest = self.at(rest, "b").select(
             "a", "b", "na", "nb", *[_hashes(F.col(t), self.width).alias(h)
                                     for t, h in (("ta", "ha"), ("text", "hb"))])
-        n = F.col("na") + F.col("nb")
-        fits = let(F.size(F.array_intersect("ha", "hb")), lambda both: both >= _need(n - both, share))
-        return heads.unionAll(rest).select("a", "b", fits.alias("fits")).filter("fits").select("a", "b")
+        out = [_fit(rest, share)]
+        for k in range(int(block[-1]) + 1 if led else 0):
+            own = leads.filter(F.col("block") == k).select("b")
+            known = F.broadcast(self.sets(own.withColumnRenamed("b", "node")).select(
+                F.col("node").alias("b"), F.col("hs").alias("hb")))
+            # A text is hashed once for all the leads that it meets.
+            by = pairs.join(own, "b").groupBy("a", "na").agg(
+                F.collect_list(F.struct("b", "nb")).alias("bs"))
+            by = self.at(by, "a").select("a", "na", "bs", _hashes(F.col("text"), self.width).alias("ha"))
+            out.append(_fit(by.select("a", "na", "ha", F.inline("bs")).join(known, "b"), share))
+        return reduce(DataFrame.unionAll, out)
+
+
+def _fit(met: DataFrame, share: float) -> DataFrame:
+    n = F.col("na") + F.col("nb")
+    fits = let(F.size(F.array_intersect("ha", "hb")), lambda both: both >= _need(n - both, share))
+    return met.select("a", "b", fits.alias("fits")).filter("fits").select("a", "b")
+
+
+def _led(pairs: DataFrame) -> DataFrame:
+    """The pairs with the end that is in more of them as ``b``."""
+    ends = pairs.select(F.col("a").alias("e")).unionAll(pairs.select("b"))
+    times = ends.groupBy("e").agg(F.count("*").alias("t"))
+    for x in "ab":
+        pairs = pairs.join(times.select(F.col("e").alias(x), F.col("t").alias(f"t{x}")), x)
+    turn = F.col("ta") > F.col("tb")
+    return cut_lineage(pairs.select(*[
+        F.when(turn, F.col(y)).otherwise(F.col(x)).alias(x)
+        for x, y in (("a", "b"), ("na", "nb"), ("b", "a"), ("nb", "na"))]).distinct())
 
 
 def _close(prints: DataFrame) -> DataFrame:
@@ -238,8 +263,8 @@ def links(texts: _Texts, nodes: DataFrame, share: float = SHARE) -> DataFrame:
         _pairer(share, PAIRED), FOUND))
     close = _close(found.filter(F.col("kind") == PRINT).select(
         F.col("h").alias("fp"), F.col("a").alias("node"), F.col("na").alias("n")))
-    many = found.filter(F.col("kind") == MANY).select("h", F.col("a").alias("node"),
-                                                      F.col("na").alias("n"))
+    many = found.filter(F.col("kind") == MANY).select(
+        "h", F.col("a").alias("node"), F.col("na").alias("n"), F.col("nb").alias("place"))
     edges = cut_lineage(texts.alike(close, share))
     roots = cut_lineage(components(edges))
     # What fingerprints have joined need not be verified again.
@@ -249,24 +274,31 @@ def links(texts: _Texts, nodes: DataFrame, share: float = SHARE) -> DataFrame:
         if many.isEmpty():
             break
         roots = cut_lineage(components(edges))
-        rooted = many.select("h", "node", "n").join(roots, "node", "left").select(
-            "h", "node", "n", F.coalesce("root", "node").alias("root"))
+        rooted = many.select("h", "node", "n", "place").join(roots, "node", "left").select(
+            "h", "node", "n", "place", F.coalesce("root", "node").alias("root"))
         # A shingle whose texts are all in one component has nothing left to say.
         open_ = rooted.groupBy("h").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
-            F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(k))).alias("lead"))
+            F.min_by(F.struct("node", "n", "place", "root"), F.xxhash64("node", F.lit(k))).alias("lead"))
         open_ = open_.filter("low <> high").select("h", "lead")
         many = cut_lineage(rooted.join(open_, "h"))
         if k < ROUNDS:
             met = many.filter("root <> lead.root").select(
-                F.col("node").alias("a"), F.col("n").alias("na"),
-                F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"))
+                F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
+                F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"),
+                F.col("lead.place").alias("pb"))
         else:
-            one, two = (many.select("h", *[F.col(c).alias(f"{c}{x}") for c in ("node", "n", "root")])
+            one, two = (many.select("h", *[F.col(c).alias(f"{c}{x}")
+                                     for c in ("node", "n", "place", "root")])
                         for x in "ab")
             met = one.join(two, "h").filter("roota < rootb").select(
-                F.col("nodea").alias("a"), "na", F.col("nodeb").alias("b"), "nb")
-        edges = cut_lineage(_joined(roots).unionAll(texts.alike(met.distinct(), share)))
+                F.col("nodea").alias("a"), "na", F.col("placea").alias("pa"),
+                F.col("nodeb").alias("b"), "nb", F.col("placeb").alias("pb"))
+        # Of a similar pair that is not joined yet, the first shingle they share is here.
+        more = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+        met = met.filter(more >= _need((F.col("na") + F.col("nb")) / (1 + share), share)).select(
+            "a", "na", "b", "nb").distinct()
+        edges = cut_lineage(_joined(roots).unionAll(texts.alike(met, share)))
     release(found)
     return components(edges)
 

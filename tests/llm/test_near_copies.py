@@ -53,7 +53,7 @@ def planted(rng):
 
 
 def test_stage_keeps_one_of_each_component_of_near_copies(spark, monkeypatch):
-    for k, settings in enumerate(({}, {"PAIRED": 2, "ROUNDS": 1, "SAMPLE": 50})):
+    for k, settings in enumerate(({}, {"PAIRED": 2, "ROUNDS": 1, "SAMPLE": 50, "LED": 2, "BROADCAST": 900})):
         for name, v in settings.items():
             monkeypatch.setattr(near_copies, name, v)
         rows = planted(random.Random(k))

@@ -39,7 +39,7 @@ WIDTH, SHARE = 5, 0.8
 # once, rounds of leading texts.
 SAMPLE, HELD, PAIRED, ROUNDS = 4000, 100_000, 8, 4
 # Pairs of a text that make it a lead, leads looked at, hashes of leads broadcast at once.
-LED, LEADS, BROADCAST = 4, 10_000, 2_000_000
+LED, LEADS, BROADCAST = 16, 10_000, 500_000
 PRINT, PAIR, MANY = 0, 1, 2
 KEY = ["k1", "k2", "who"]
 LOW = (1 << 32) - 1
@@ -214,7 +214,9 @@ class _Texts:
             by = pairs.join(own, "b").groupBy("a", "na").agg(
                 F.collect_list(F.struct("b", "nb")).alias("bs"))
             by = self.at(by, "a").select("a", "na", "bs", _hashes(F.col("text"), self.width).alias("ha"))
-            out.append(_fit(by.select("a", "na", "ha", F.inline("bs")).join(known, "b"), share))
+            # One block at a time, so that one broadcast is held at a time.
+            out.append(cut_lineage(_fit(
+                by.select("a", "na", "ha", F.inline("bs")).join(known, "b"), share)))
         return reduce(DataFrame.unionAll, out)
 
 

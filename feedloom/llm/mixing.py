@@ -163,14 +163,16 @@ def mix(docs: DataFrame, cells: DataFrame, shards: int, doc_id: str = "doc_id",
     }).drop("_shard", "_at", *plan.columns)
 
 
-def take(mixed: DataFrame, text: str = "text", copies: int = 2) -> DataFrame:
+def take(mixed: DataFrame, text: str = "text") -> DataFrame:
     """The mixed documents: a row per pass, whose text holds the words that pass takes.
 
     A document taken whole keeps its text; else the taken words keep the white space before
-    them. Rows without a taken word go. Columns ``_pass`` and ``_spans`` are replaced.
+    them. There are as many passes as some span is taken. Rows without a taken word, null and empty
+    texts among them, go. Columns ``_pass`` and ``_spans`` are replaced.
     """
     piece = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
-    own = mixed.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    passes = F.array_max(F.transform("spans", lambda s: s.times.cast("int")))
+    own = mixed.withColumn("_pass", F.explode(F.sequence(F.lit(1), passes)))
     own = own.withColumn("_spans", F.filter(
         "spans", lambda s: s.times >= F.col("_pass"))).filter(F.size("_spans") > 0)
     kept = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s.length)

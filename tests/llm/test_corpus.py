@@ -121,6 +121,10 @@ def test_taken_texts_hold_the_taken_words(spark):
     for r in own.collect():
         taken[r.doc_id] += r.taken
     texts = Counter()
+    more = mixed(df, block=8, share=2.9, cap=3.0).persist()
+    owed = more.agg(F.sum("taken")).first()[0]
+    assert owed == sum(len(words(r.text)) for r in mixing.take(more).collect())
+    assert more.filter("taken > 2 * size").count() > 0
     for r in mixing.take(own).collect():
         assert words(r.text) and (r.text == r.text.lstrip(" \n") or r.text in whole)
         texts[r.doc_id] += len(words(r.text))

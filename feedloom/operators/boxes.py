@@ -11,12 +11,14 @@ COARSE = 12
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, *, lat: str = "lat",
-                    lon: str = "lon", salts: int = 16) -> DataFrame:
+                    lon: str = "lon", salts: int = 16,
+                    by: list[str] | None = None) -> DataFrame:
     """All (box, point) pairs with south <= lat <= north and west <= lon <= east.
 
     A box is filed at the grid level whose cells are at least its size, so it touches at
     most four cells. A point looks in its one cell at each level that occurs. Boxes of the
-    coarse levels are copied to ``salts`` places over which the points of a cell are dealt.
+    coarse levels are copied to ``salts`` places over which the points of a cell are dealt by a
+    hash of the columns ``by``, else of all, so that a task that runs again deals them alike.
     """
     def cell(c, base, level):
         return F.floor((c - F.lit(base)) / (F.lit(360.0) / F.pow(F.lit(2.0), level))).cast("long")
@@ -37,9 +39,10 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, *, lat: str = "lat",
     seen = points.withColumn("__level", F.explode(levels))
     seen = seen.withColumns({"__i": cell(F.col(lat), -180.0, F.col("__level")),
                              "__j": cell(F.col(lon), -180.0, F.col("__level"))})
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by or points.columns]), F.lit(salts))
     coarse, zero = F.col("__level") < COARSE, F.lit(0).cast("long")
     every = F.sequence(zero, F.lit(salts - 1).cast("long"))
-    seen = seen.withColumn("__salt", F.when(coarse, F.floor(F.rand(11) * salts)).otherwise(zero))
+    seen = seen.withColumn("__salt", F.when(coarse, deal).otherwise(zero))
     filed = filed.withColumn("__salt", F.explode(F.when(coarse, every).otherwise(F.array(zero))))
     inside = (F.col(lat).between(F.col("south"), F.col("north"))
               & F.col(lon).between(F.col("west"), F.col("east")))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.functions.binding import let
 from feedloom.functions.points import great_circle_km, unit_vector
 from feedloom.session import SMALL_ROWS, count_up_to, cut_lineage
 
 _STEP = 2          # grid levels per descent step: a cell has 4 x 4 x 4 children
 _LEAF = 64         # anchors per cell at which the descent may end
 _DEEPEST = 30      # cell edge of about a centimetre
+_NAMED = 4         # anchors that a cell of the index names
+_BUDGET = 1_000_000   # anchors named in all cells of a level of the index
+_WORK = 16 * _BUDGET  # pairs of cell and anchor tried for a level
 
 
 def nearest(points: DataFrame, anchors: DataFrame, *, small_rows: int = SMALL_ROWS,
@@ -25,7 +29,7 @@ def nearest(points: DataFrame, anchors: DataFrame, *, small_rows: int = SMALL_RO
     points, anchors = placed(points), placed(anchors)
     n = count_up_to(anchors, small_rows)
     if n <= small_rows:
-        return _nearest_listed(points, anchors, n, km)
+        return _nearest_listed(points, anchors, km)
     return nearest_descent(points, anchors, km=km)
 
 
@@ -43,56 +47,137 @@ def _reachable(near, best):
     return near <= best * (1 + 1e-9) + 1e-14
 
 
-def _nearest_listed(points: DataFrame, anchors: DataFrame, n: int, km: str) -> DataFrame:
-    """Anchors known to be few: each task holds them as one array, nothing is shuffled.
-
-    They are filed in about sqrt(n) cells. A point first bounds its distance to each cell,
-    then measures the anchors of the cells in reach only.
+def _nearest_listed(points: DataFrame, anchors: DataFrame, km: str) -> DataFrame:
+    """Anchors known to be few: an index names, for every cell of space, the anchors that can be
+    nearest somewhere in it. A point looks in its cell at each level of the index and measures
+    the few anchors named there; nothing is shuffled.
+    """
+    own, x, y, z = _names(points), *unit_vector("lat", "lon")
+    sites = [tuple(r) for r in anchors.select("lat", "lon", x, y, z).distinct().collect()]
+    levels, index = cell_index(points.sparkSession, sites)
+    seen = points.select(*own, "lat", "lon", x.alias("__x"), y.alias("__y"), z.alias("__z"),
+                         F.explode(F.array(*[F.struct(
+                             F.lit(lv).alias("l"), F.lit(float(2 ** (lv - 1))).alias("scale"),
+                             F.lit(2 ** lv - 1).alias("last")) for lv in levels])).alias("__s"))
+    seen = seen.select(*own, "lat", "lon", F.col("__s.l").alias("__l"), *[
+        F.least(F.floor((F.col(f"__{c}") + 1.0) * F.col("__s.scale")),
+                F.col("__s.last")).cast("long").alias(f"__{n}")
+        for c, n in zip("xyz", "ijk")])
+    met = seen.join(F.broadcast(index), ["__l", "__i", "__j", "__k"])
+
+    def arc(slot):
+        return great_circle_km("lat", "lon", F.get("__lats", slot), F.get("__lons", slot))
+
+    # Cells name at most _NAMED anchors, but for those that the index could not split further.
+    arcs = F.when(F.size("__lats") <= _NAMED, F.array(*[arc(F.lit(s)) for s in range(_NAMED)])
+                  ).otherwise(F.transform(F.sequence(F.lit(0), F.size("__lats") - 1), arc))
+    met = met.withColumn("__arcs", arcs).withColumn("__best", F.array_min("__arcs"))
+    met = met.select(*own, "__lats", "__lons", "__best",
+                     F.posexplode("__arcs").alias("__at", "__km"))
+    won = met.filter(F.col("__km") == F.col("__best")).select(
+        *own, F.col("__km").alias(km), F.get("__lats", "__at").alias("__lat"),
+        F.get("__lons", "__at").alias("__lon"))
+    side = anchors.withColumnsRenamed({"lat": "__lat", "lon": "__lon"})
+    return won.join(F.broadcast(side), ["__lat", "__lon"]).select(*own, *_names(anchors), km)
+
+
+def cell_index(spark: SparkSession, sites: list[tuple], named: int = _NAMED,
+               budget: int = _BUDGET) -> tuple[list[int], DataFrame]:
+    """Levels and cells of an index over distinct ``sites`` (lat, lon, x, y, z), known to be few.
+
+    Cells are cubes of edge ``2 ** (1 - level)``, as ``_cell`` numbers them, that meet the unit
+    sphere. Of a cell's sites those stay that no other one, the nearest to its centre, beats
+    everywhere in it; a difference of squared distances is linear, so its least value lies at a
+    corner. Cells with more than ``named`` sites are split, as long as their children name at
+    most ``budget`` sites in all, which bounds the index; the rest keep their longer lists.
     """
-    own = _names(anchors)
-    side = max(1, round(n ** 0.25))
-    x, y, z = unit_vector("lat", "lon")
-    spots = anchors
-
-    def slot(c: str):
-        low, high = (spots.agg(f(c).alias("v")).scalar() for f in (F.min, F.max))
-        width = F.when(high > low, high - low).otherwise(1.0)
-        return F.floor((F.col(c) - low) / width * side)
-
-    filed = spots.select(
-        slot("lat").alias("i"), slot("lon").alias("j"), x.alias("x"), y.alias("y"), z.alias("z"),
-        F.struct("lat", "lon", x.alias("x"), y.alias("y"), z.alias("z"),
-                 F.struct(*own).alias("own")).alias("item"))
-    cells = filed.groupBy("i", "j").agg(*_box(), F.collect_list("item").alias("items"))
-    listed = cells.agg(F.collect_list(F.struct(*_BOX, "items"))).scalar()
-
-    def in_reach(cells, p):
-        """Anchors of the cells whose near edge is no farther than the best far edge."""
-        return let(
-            F.array_min(F.transform(cells, lambda c: _bounds(p, c)[1])),
-            lambda best: F.flatten(F.transform(
-                F.filter(cells, lambda c: _reachable(_bounds(p, c)[0], best)),
-                lambda c: c["items"])))
-
-    def closest(spots_, p):
-        """Candidates by straight line, then those with the least arc."""
-        square = lambda a: sum((p[v] - a[v]) * (p[v] - a[v]) for v in "xyz")
-        arcs = let(
-            F.array_min(F.transform(spots_, square)),
-            lambda best: F.transform(
-                F.filter(spots_, lambda a: _reachable(square(a), best)),
-                lambda a: F.struct(
-                    great_circle_km(p["lat"], p["lon"], a["lat"], a["lon"]).alias("km"),
-                    a["own"].alias("own"))))
-        return let(arcs, lambda near: let(
-            F.array_min(F.transform(near, lambda a: a["km"])),
-            lambda best: F.filter(near, lambda a: a["km"] == best)))
-
-    here = F.struct("lat", "lon", x.alias("x"), y.alias("y"), z.alias("z"))
-    found = points.withColumn("__a", listed).select(*_names(points), F.explode(let(
-        here, lambda p: let(in_reach(F.col("__a"), p), lambda c: closest(c, p)))).alias("__w"))
-    return found.select(*_names(points), *[f"__w.own.`{c}`" for c in own],
-                        F.col("__w.km").alias(km))
+    place = np.array([s[:2] for s in sites], dtype=float).reshape(-1, 2)
+    xyz = np.array([s[2:] for s in sites], dtype=float).reshape(-1, 3)
+    sound = np.isfinite(xyz).all(axis=1)
+    place, xyz = place[sound], xyz[sound]
+    offsets = np.stack(np.meshgrid(*[np.arange(2 ** _STEP)] * 3, indexing="ij"), -1).reshape(-1, 3)
+
+    level, cells = 0, np.zeros((1, 3), dtype=np.int64)
+    owner, site = np.zeros(len(xyz), dtype=np.int64), np.arange(len(xyz))
+    found = []
+
+    def close(which: np.ndarray) -> None:
+        """File the cells ``which``; pairs are in the order of their cells."""
+        mine = which[owner]
+        sizes = np.bincount(owner[mine], minlength=len(cells))[which]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        found.append((level, cells[which], ends, place[site[mine]]))
+
+    while len(site) and level < _DEEPEST:
+        inner, parent = _children(cells, level + _STEP, offsets)
+        counts = np.bincount(owner, minlength=len(cells))
+        sizes = counts[parent]
+        if level and sizes.sum() > _WORK:
+            break
+        first = np.concatenate(([0], np.cumsum(counts)))[parent]
+        new_owner = np.repeat(np.arange(len(inner)), sizes)
+        step = np.arange(len(new_owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        new_site = site[np.repeat(first, sizes) + step]
+        stay = _unbeaten(inner, level + _STEP, new_owner, new_site, xyz)
+        new_owner, new_site = new_owner[stay], new_site[stay]
+        if level and len(new_site) > budget:
+            break
+        level, cells, owner, site = level + _STEP, inner, new_owner, new_site
+        big = np.bincount(owner, minlength=len(cells)) > named
+        close(~big)
+        kept = big[owner]
+        number = np.cumsum(big) - 1
+        cells, owner, site = cells[big], number[owner[kept]], site[kept]
+    if len(site):
+        close(np.ones(len(cells), dtype=bool))
+
+    found = [f for f in found if len(f[1])]
+    levels = sorted({f[0] for f in found})
+    columns = {"__l": [np.full(len(c), lv, dtype=np.int32) for lv, c, _, _ in found]}
+    for axis, n in enumerate("ijk"):
+        columns[f"__{n}"] = [c[:, axis] for _, c, _, _ in found]
+    schema = pa.schema([("__l", pa.int32()), *[(f"__{n}", pa.int64()) for n in "ijk"],
+                        *[(f"__{n}", pa.list_(pa.float64())) for n in ("lats", "lons")]])
+    flat = [pa.array(np.concatenate(v)) if v else pa.array([], schema.field(n).type)
+            for n, v in columns.items()]
+    for axis in (0, 1):
+        flat.append(pa.chunked_array(
+            [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at[:, axis]))
+             for _, _, ends, at in found], pa.list_(pa.float64())).combine_chunks())
+    index = spark.createDataFrame(pa.Table.from_arrays(flat, schema=schema))
+    return levels or [_STEP], index
+
+
+def _children(cells: np.ndarray, level: int, offsets: np.ndarray):
+    """Cells of ``level`` inside ``cells`` that meet the unit sphere, and whose they are."""
+    inner = (cells[:, None, :] * 2 ** _STEP + offsets[None, :, :]).reshape(-1, 3)
+    parent = np.repeat(np.arange(len(cells)), len(offsets))
+    edge = 2.0 ** (1 - level)
+    low = inner * edge - 1.0
+    high = low + edge
+    least = np.maximum(0.0, np.maximum(low, -high))
+    most = np.maximum(np.abs(low), np.abs(high))
+    meets = ((least ** 2).sum(axis=1) <= 1 + 1e-9) & ((most ** 2).sum(axis=1) >= 1 - 1e-9)
+    return inner[meets], parent[meets]
+
+
+def _unbeaten(cells, level, owner, site, xyz) -> np.ndarray:
+    """Pairs of cell and site that can be nearest somewhere in the cell, ties and a margin for
+    rounding (that of ``_reachable``, at the cell's far edge) included."""
+    half = 2.0 ** -level
+    centre = (cells * 2 + 1) * half - 1.0
+    away = ((xyz[site] - centre[owner]) ** 2).sum(axis=1)
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    best = np.minimum.reduceat(away, starts)
+    rank = np.repeat(best, np.diff(np.append(starts, len(owner))))
+    champion = np.zeros(len(cells), dtype=np.int64)
+    won = away == rank
+    champion[owner[won]] = site[won]
+    lead = xyz[champion[owner]] - xyz[site]
+    # Both have length 1, so a point p is nearer to the champion by 2 p (champion - site).
+    least = (lead * centre[owner]).sum(axis=1) - half * np.abs(lead).sum(axis=1)
+    far = (np.sqrt(rank) + half * np.sqrt(3.0)) ** 2
+    return 2 * least <= far * 1e-9 + 1e-14
 
 
 _BOX = ("x0", "x1", "y0", "y1", "z0", "z1")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import labels, nulls, points, timetext
 from feedloom.operators import aggregates, joins, reshape
+from feedloom.operators import nearest as nearest_by_cells
 from feedloom.operators.boxes import points_in_boxes
 from feedloom.operators.dedupe import keep_last
 from feedloom.operators.nearest import nearest, nearest_descent
@@ -53,6 +54,38 @@ def test_nearest_by_descent_is_exact(spark, pk, ak):
     assert descent == listed == want
 
 
+@pytest.mark.parametrize("budget", [1_000_000, 60])
+def test_cell_index_finds_what_all_distances_find(spark, monkeypatch, budget):
+    """Anchors in a cluster, on a line, on a ring about the pole (more ties than a cell names), at
+    both sides of the date line and twice in one place; points everywhere, some on anchors."""
+    draw = random.Random(5)
+    spots = [(1.3 + draw.random() / 9, 103.8 + draw.random() / 9) for _ in range(60)]
+    spots += [(0.0, 0.001 * i) for i in range(40)] + [(80.0, 9.0 * i) for i in range(40)]
+    spots += [(-20.0, 179.99), (-20.0, -179.99), spots[0], spots[3]]
+    asked = [(draw.uniform(-90, 90), draw.uniform(-180, 180)) for _ in range(150)]
+    asked += [(1.3 + draw.random() / 9, 103.8 + draw.random() / 9) for _ in range(150)]
+    asked += spots[::7] + [(90.0, 0.0), (-20.0, 180.0), (0.0, 0.0005), (-90.0, 5.0)]
+    plain = nearest_by_cells.cell_index
+    monkeypatch.setattr(nearest_by_cells, "cell_index", lambda s, x: plain(s, x, budget=budget))
+    p = spark.createDataFrame([(i, *x) for i, x in enumerate(asked)], "p int, lat double, lon double")
+    a = spark.createDataFrame([(i, *x) for i, x in enumerate(spots)], "a int, lat double, lon double")
+    pairs = p.withColumnsRenamed({"lat": "y", "lon": "x"}).crossJoin(a).withColumn(
+        "km", points.great_circle_km("y", "x", "lat", "lon"))
+    least = pairs.groupBy("p").agg(F.min("km").alias("km"))
+    want = {tuple(r) for r in pairs.join(least, ["p", "km"]).select("p", "a", "km").collect()}
+    got = [tuple(r) for r in nearest(p, a).select("p", "a", "km").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert nearest(p, a.limit(0)).count() == 0 == nearest(p.limit(0), a).count()
+
+
+def test_nearest_listed_shuffles_no_point(spark):
+    p = spark.range(1000).select("id", (F.col("id") / 100).alias("lat"), (F.col("id") / 90).alias("lon"))
+    a = p.filter("id % 9 = 0").withColumnRenamed("id", "a")
+    text = nearest(p, a)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text
+    assert "hashpartitioning" not in text and "SortMergeJoin" not in text and "ArrowEval" not in text
+
+
 def test_nearest_keeps_ties_and_drops_points_without_location(spark, rows):
     p = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 0.0)], "p int, lat double, lon double")
     a = spark.createDataFrame([("x", 0.0, 1.0), ("y", 0.0, 1.0), ("z", 0.0, 2.0), ("n", None, 0.0)],

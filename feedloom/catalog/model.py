@@ -16,8 +16,6 @@ from feedloom.plans.wide_table import build_wide_table
 _KEY = ("call_timestamp", "cam_id", "direction")
 _CODE = """CASE trafficcongestion WHEN 'None' THEN 0.0::DOUBLE WHEN 'Mild' THEN 1.0::DOUBLE
   WHEN 'Medium' THEN 2.0::DOUBLE WHEN 'Heavy' THEN 3.0::DOUBLE END"""
-_FEW = ("rainfall_realtime", "humidity_realtime", "four_day_temperature_low_1",
-        "twenty_four_hr_general_wind_speed_high", "cam_id", "direction")
 
 
 def _wide(spark, sf):
@@ -25,14 +23,14 @@ def _wide(spark, sf):
 
 
 @query("model_features", f"""WITH {W.WIDE_CTES} SELECT call_timestamp, cam_id, direction, {_CODE} AS label, """
-       + ", ".join(f"CAST({f} AS DOUBLE) AS f{i}" for i, f in enumerate(_FEW))
+       + ", ".join(f"CAST({f} AS DOUBLE) AS f{i}" for i, f in enumerate(S.FEATURES))
        + " FROM wide WHERE trafficcongestion IS NOT NULL AND "
-       + " AND ".join(f"{f} IS NOT NULL" for f in _FEW))
+       + " AND ".join(f"{f} IS NOT NULL" for f in S.FEATURES))
 def model_features(spark, sf):
-    rows = M.numeric_frame(_wide(spark, sf), features=_FEW, keep=_KEY)
+    rows = M.numeric_frame(_wide(spark, sf), keep=_KEY)
     vec = vector_to_array("features")
-    return M.assembler(_FEW).transform(rows).select(
-        *_KEY, "label", *[vec[i].alias(f"f{i}") for i in range(len(_FEW))])
+    return M.assembler(S.FEATURES).transform(rows).select(
+        *_KEY, "label", *[vec[i].alias(f"f{i}") for i in range(len(S.FEATURES))])
 
 
 @query("parsed_times", f"WITH {W.WIDE_CTES} SELECT cam_id, direction, " + ", ".join(
@@ -98,18 +96,20 @@ def forest_confusion(spark, sf):
 
 @query("forest_sweep")
 def forest_sweep(spark, sf):
+    """Every point up to 8 trees and depth 5 from one forest; the operator's default is the full
+    grid of the searched ranges, whose forest is far larger."""
     train, valid, _ = _parts(spark, sf)
-    return R.sweep(train, valid, _ITEM, [(4, 3), (8, 3), (8, 5)]).drop(
-        "seconds", "predict_seconds")
+    grid = [(t, d) for t in range(1, 9) for d in range(1, 6)]
+    return R.shared_sweep(train, valid, _ITEM, grid)
 
 
 @query("profile_prediction")
 def profile_prediction(spark, sf):
     """Forest on the wide table; a prediction per camera and hour that was asked for."""
     wide = _wide(spark, sf)
-    rows = M.numeric_frame(wide, features=_FEW, keep=("cam_id", "direction"))
-    model = R.forest(_FEW, trees=4, depth=4).fit(rows)
-    profile = reports.hourly_profile(wide, [f for f in _FEW if f not in ("cam_id", "direction")])
+    rows = M.numeric_frame(wide, keep=M.CAMERA)
+    model = R.fit_once_read(rows, S.FEATURES, trees=4, depth=4)
+    profile = reports.hourly_profile(wide, [f for f in S.FEATURES if f not in M.CAMERA])
     hours = F.lpad((F.col("c_custkey") % 24).cast("string"), 2, "0")
     asked = table(spark, sf, "customer").select(
         (F.lit(1000) + F.col("c_custkey") % 25).alias("cam_id"), hours.alias("time"))

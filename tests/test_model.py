@@ -68,6 +68,26 @@ def test_forest_learns(spark, learnable):
     assert times.count() == 2
 
 
+def test_points_of_one_forest(spark, learnable):
+    """The whole forest's point is the model's own accuracy; with every feature at every node and the
+    same sample, a cut of depth is the fit of that depth; fewer trees come near their own fit."""
+    train, valid = (learnable.filter(F.col("part") == p).drop("part") for p in ("train", "valid"))
+    noisy = train.withColumn("label", F.when(F.col("id") % 7 == 0, F.pmod(F.col("id"), F.lit(4)))
+                             .otherwise(F.col("label")).cast("double"))
+    feats, grid = ["x", "y"], [(6, 5), (6, 2), (3, 2), (1, 0), (6, 9)]
+    model = R.forest(feats, trees=6, depth=9).fit(noisy)
+    gaps = valid.unionByName(spark.createDataFrame([(-1, None, 1.0, 0.0)], valid.schema))
+    got = {(r.num_trees, r.max_depth): r for r in
+           R.score_points(model, gaps, feats, grid).collect()}
+    assert set(got) == set(grid) and {r.n_rows for r in got.values()} == {valid.count()}
+    own = {(r.num_trees, r.max_depth): r for r in R.sweep(noisy, valid, feats, grid).collect()}
+    assert got[6, 9].n_correct == own[6, 9].n_correct == R.evaluate(model, valid).first().n_correct
+    for point in ((6, 5), (6, 2)):
+        assert got[point].accuracy == pytest.approx(own[point].accuracy, abs=0.01)
+    assert got[3, 2].accuracy == pytest.approx(own[3, 2].accuracy, abs=0.05)
+    assert len(R.full_grid()) == 79 and R.score_points(model, valid.limit(0), feats, grid).count() == 0
+
+
 def test_deep_forest_with_cached_node_ids(spark, learnable):
     model = R.forest(["x", "y"], trees=2, depth=12).fit(learnable.filter("part = 'train'"))
     assert R.evaluate(model, learnable.filter("part = 'test'")).first().accuracy > 0.9

@@ -12,7 +12,7 @@ from feedloom.functions import nulls
 from feedloom.plans.wide_table import build_wide_table
 from feedloom.session import scratch_dir
 from feedloom.sinks import append, compact, files
-from feedloom.sources import csvfeeds
+from feedloom.sources import csvfeeds, seeds
 from feedloom.streaming import landing
 
 _ORDERS = T.StructType([
@@ -113,3 +113,17 @@ def roll_closed_days(spark, sf):
     compact.roll_closed_days(spark, landed, rolled, "rainfall-realtime", "2024-01-16")
     return compact.read_rolled(spark, landed, rolled).select(
         S.TS, "station_id", "rainfall_realtime")
+
+
+@query("seed_routes", """SELECT c_custkey AS camera_id, i AS direction, c_name AS cam_loc,
+  c_mktsegment AS remarks, c_name || '-' || i AS dir_start, c_mktsegment || '-' || i AS dir_finish
+FROM customer, (SELECT unnest(range(1, 6)) AS i) WHERE i <= c_custkey % 6""")
+def seed_routes(spark, sf):
+    """The camera seed from a file in another column order, a row per direction."""
+    path, key = scratch_dir(spark, "seed"), F.col("c_custkey")
+    pairs = [F.when(key % 6 >= i, F.concat(F.col(c), F.lit(f"-{i}"))).alias(f"{n}_{i}")
+             for i in range(1, 6) for n, c in (("dir_finish", "c_mktsegment"), ("dir_start", "c_name"))]
+    files.write_csv(table(spark, sf, "customer").select(
+        *pairs, F.col("c_mktsegment").alias("remarks"), key.alias("camera_id"),
+        F.col("c_name").alias("cam_loc")), path)
+    return seeds.routes(seeds.read_seed(spark, path, S.SEED_CAMERAS, glob="*.csv"))

@@ -9,8 +9,11 @@ from feedloom.functions import points as P
 from feedloom.operators.boxes import points_in_boxes
 from feedloom.operators.nearest import nearest, nearest_descent
 from feedloom.plans.cameras import COMPASS, camera_mapping, mapping_job
-from feedloom.schemas import PAYLOAD_CAMERAS, TS
+from feedloom.schemas import PAYLOAD_CAMERAS, SEED_AREAS, TS
+from feedloom.session import scratch_dir
+from feedloom.sinks.files import write_csv
 from feedloom.sources.payloads import parse_payloads
+from feedloom.sources.seeds import read_seed
 
 
 def _spot(key: str, mult: int, lat0: float, step: float):
@@ -140,7 +143,8 @@ SELECT cam_id, non_rain AS non_rainfall_station_id, rain AS rainfall_station_id,
 JOIN ({_near_sql('s2', 'rain')}) x2 USING (cam_id) JOIN ({_near_sql('s3', 'area')}) x3 USING (cam_id)
 JOIN ({_near_sql('s4', 'compass')}) x4 USING (cam_id)""")
 def camera_mapping_job(spark, sf):
-    """From camera payloads, two feeds of repeated readings and the area seed."""
+    """From camera payloads (one entry per camera, told twice), two feeds of repeated readings and the
+    area seed's file."""
     text = lambda a, b, *pad: F.concat(*pad[:1], F.col(a).cast("string"), F.lit(", "),
                                        F.col(b).cast("string"), *pad[1:])
     brackets = (F.lit("("), F.lit(")"))
@@ -159,9 +163,11 @@ def camera_mapping_job(spark, sf):
         F.array(F.struct(F.array(camera, camera).alias("cameras"))).alias("items"))).alias("text"))
     areas = table(spark, sf, "nation").select(
         F.col("n_name").alias("region"), *_spot("n_nationkey", 911, 1.22, 0.0000471))
+    path = scratch_dir(spark, "seed")
+    write_csv(areas.select(text("lat", "lon").alias("coord"), "region"), path)
     return mapping_job(parse_payloads(docs, "text", PAYLOAD_CAMERAS), feed("S", 9, 6151),
-                       feed("R", 40, 5167), areas.select("region", text("lat", "lon").alias("coord")),
-                       only=list(_ONLY))
+                       feed("R", 40, 5167), read_seed(spark, path, SEED_AREAS, glob="*.csv"),
+                       only=list(_ONLY), expected=cams.count())
 
 
 @query("point_parse", """SELECT o_orderkey, o_totalprice AS lat, CAST(o_custkey AS DOUBLE) AS lon FROM orders

@@ -52,6 +52,13 @@ def key_split(spark, sf):
     return M.split(orders, ["o_orderkey", "o_custkey"]).select("o_orderkey", "part")
 
 
+@query("category_slots", """SELECT CAST(o_custkey AS VARCHAR) AS category, row_number() OVER (
+  ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS slot FROM orders GROUP BY o_custkey""")
+def category_slots(spark, sf):
+    """The dictionary of a column of many values, numbered where it lies."""
+    return M.categories(table(spark, sf, "orders"), "o_custkey")
+
+
 @query("one_hot", """WITH c AS (SELECT o_orderpriority, row_number() OVER (
     ORDER BY count(*) DESC, o_orderpriority) - 1 AS slot FROM orders GROUP BY o_orderpriority)
 SELECT o_orderkey, o_orderpriority, CAST(slot AS BIGINT) AS slot,

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from feedloom import schemas as S
 from feedloom.catalog.base import LABEL_SQL, READINGS, label_of, query, readings, table
 from feedloom.operators import align
+from feedloom.plans import closed_days, reports
 from feedloom.plans import feeds as N
-from feedloom.plans import reports
 from feedloom.plans.wide_table import Feeds, build_wide_table, complete_snapshots
+from feedloom.session import cut_lineage, scratch_dir
+from feedloom.sinks import versions
 
 AS_OF = "2024-01-15"
 
@@ -289,8 +291,26 @@ def range_blank(spark, sf):
                                 snapshots=complete_snapshots(f))
 
 
-@query("wide_profile", f"""WITH {WIDE_CTES} SELECT cam_id, direction,
+_PROFILE = f"""WITH {WIDE_CTES} SELECT cam_id, direction,
   substr(call_timestamp, 12, 2) AS time_hr, """ + ", ".join(
-    f"avg(coalesce({m}, 0)) AS {m}" for m in S.MEASURES) + " FROM wide GROUP BY ALL")
+    f"avg(coalesce({m}, 0)) AS {m}" for m in S.MEASURES) + " FROM wide GROUP BY ALL"
+
+
+@query("wide_profile", _PROFILE)
 def wide_profile(spark, sf):
     return reports.hourly_profile(build_wide_table(feeds(spark, sf)))
+
+
+@query("closed_days_profile", _PROFILE)
+def closed_days_profile(spark, sf):
+    """The same profile from sums by day. The sums of the closed days are kept, then one of the days
+    gets rows that were late and another corrected ones; their sums count no more."""
+    table, sums = scratch_dir(spark, "wide"), scratch_dir(spark, "sums")
+    wide = cut_lineage(build_wide_table(feeds(spark, sf)))
+    day = F.substring(S.TS, 1, 10)
+    wrong = F.when(day == "2024-01-12", F.lit(-1.0)).otherwise(F.col("rainfall_realtime"))
+    versions.merge_days(wide.filter((day != "2024-01-10") | (F.col("cam_id") % 2 == 0)).withColumn(
+        "rainfall_realtime", wrong), table)
+    closed_days.keep_sums(spark, table, sums, AS_OF)
+    versions.merge_days(wide, table)
+    return closed_days.profile(spark, table, sums)

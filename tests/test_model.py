@@ -50,6 +50,32 @@ def test_one_hot_has_a_slot_per_category(spark):
     assert got == [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]]
 
 
+def test_categories_are_numbered_over_all_ranges(spark):
+    """Thousands of values, ties, nulls, an empty text; numbers as a sort of everything gives them."""
+    df = spark.range(9000).select(F.when(F.col("id") % 11 == 0, None).otherwise(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 4000).cast("string"))).alias("c"))
+    df = df.unionAll(spark.createDataFrame([("",)], "c string"))
+    got = {r.category: r.slot for r in M.categories(df, "c").collect()}
+    counts = df.dropna().groupBy("c").count().collect()
+    want = sorted(counts, key=lambda r: (-r["count"], r.c.encode()))
+    assert got == {r.c: i for i, r in enumerate(want)} and got["hot"] == 0
+    out = M.one_hot(df, ["c"]).transform(df).select("c", "c_index", "c_hot").collect()
+    assert len(out) == df.count()
+    assert all(r.c_hot.size == len(want) + 1 and list(r.c_hot.indices) == [r.c_index] and
+               r.c_index == got.get(r.c, len(want)) for r in out)
+
+
+def test_one_hot_of_columns_with_few_or_no_values(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, None), (1, None, "b")], "n int, e string, t string")
+    out = M.one_hot(df, ["n", "e", "t"]).transform(df)
+    assert out.columns[:3] == df.columns
+    got = sorted((r.n, r.t or "", r.n_hot.toArray().tolist(), r.t_hot.toArray().tolist(),
+                  r.e_hot.toArray().tolist()) for r in out.collect())
+    assert [g[2:] for g in got] == [
+        ([1, 0, 0], [1, 0, 0], [0, 1]), ([1, 0, 0], [0, 1, 0], [0, 1]), ([0, 1, 0], [0, 0, 1], [0, 1])]
+    assert M.one_hot(df.limit(0), ["t"]).transform(df.limit(0)).count() == 0
+
+
 def test_forest_learns(spark, learnable):
     train, valid, test = (learnable.filter(F.col("part") == p) for p in ("train", "valid", "test"))
     model = R.forest(["x", "y"], trees=10, depth=6).fit(train)

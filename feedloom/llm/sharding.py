@@ -19,6 +19,7 @@ TOLERANCE = 0.002
 # Bytes of one part of a shard, the unit that one task sorts.
 PART_BYTES = 64 << 20
 MIN_PARTS = 4
+RESULT = ("size", "text_crc32", "slot", "shard")
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 
@@ -137,17 +138,21 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, doc_id: str =
                  part_bytes: int = PART_BYTES) -> DataFrame:
     """Write ``docs`` to one folder per shard below ``path`` and return the rows as read back.
 
-    The files hold the documents' columns with ``size``, ``text_crc32`` and ``slot``; columns of
-    these and the working names (shard, key, part, at, first) are replaced. Null texts weigh one
-    byte; null ids sort first. Repeated rows are kept, one slot each. An empty table gives no rows.
+    The files hold the documents' columns with ``size``, ``text_crc32``, ``shard`` and ``slot``;
+    only columns of these names are replaced. Null texts weigh one byte; null ids sort first.
+    Repeated rows are kept, one slot each. An empty table gives no rows.
     """
     narrow = cut_lineage(keyed(docs, doc_id, text))
     bounds = splitters(narrow, shards, tolerance)
-    own = docs.withColumnRenamed(doc_id, "doc_id").drop(
-        "size", "text_crc32", "shard", "slot", "key", "part", "at", "first")
-    data = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    # Under numbered names no column of the caller meets a working name.
+    held = {c: "doc_id" if c == doc_id else f"_c{i}" for i, c in enumerate(docs.columns)
+            if c.lower() not in RESULT}
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in held.items()])
+    whole = F.col(held[text])
+    data = F.coalesce(whole, F.lit("")).cast("binary")
     own = own.withColumns({"size": (F.octet_length(data) + 1).cast("long"),
-                           "text_crc32": F.crc32(data), "key": F.xxhash64(F.col(text))})
-    placed = _placed(own, narrow, bounds, part_bytes).withColumnRenamed("doc_id", doc_id)
+                           "text_crc32": F.crc32(data), "key": F.xxhash64(whole)})
+    placed = _placed(own, narrow, bounds, part_bytes).select(
+        *[F.col(n).alias(c) for c, n in held.items()], *RESULT)
     placed.write.partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema(placed.schema).parquet(path)

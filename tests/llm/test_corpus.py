@@ -75,6 +75,18 @@ def test_shards_of_nothing(spark):
     assert sharding.write_shards(df.limit(1), scratch_dir(spark, "t")).count() == 1
 
 
+def test_shards_keep_the_callers_columns(spark):
+    """Columns that bear the job's own names, and an id that is not called doc_id."""
+    names = ["key", "part", "at", "first", "doc_id", "a.b"]
+    rows = [(i, f"text {i % 7}", *[f"{n}{i}" for n in names]) for i in range(40)]
+    df = spark.createDataFrame(rows, ", ".join(["id long", "body string", *[f"`{n}` string" for n in names]]))
+    df = df.withColumn("slot", F.lit(-1))
+    out = sharding.write_shards(df, scratch_dir(spark, "t"), shards=3, doc_id="id", text="body")
+    assert out.columns == ["id", "body", *names, "size", "text_crc32", "slot", "shard"]
+    got = [tuple(r) for r in out.collect()]
+    assert sorted(r[:8] for r in got) == sorted(rows) and {r[-1] for r in got} == {0, 1, 2} and min(r[-2] for r in got) == 0
+
+
 def plain_targets(sizes, share=1.5, cap=2.0):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}

@@ -35,13 +35,21 @@ def csv_round_trip(spark, sf):
 @query("csv_mixed_headers", """SELECT o_orderkey, o_custkey, o_orderstatus,
   CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice FROM orders""")
 def csv_mixed_headers(spark, sf):
-    """Two writers with other column orders, one of them without the price."""
+    """Two writers with other column orders, one of them without the price. What the first wrote
+    is read before the second writes, so that its headers are known by then."""
     path, orders = scratch_dir(spark, "csv"), _orders(spark, sf)
+    seen = scratch_dir(spark, "headers")
+
+    def read():
+        return csvfeeds.read_csv_by_name(spark, path, _ORDERS, marker="o_orderkey", glob="*.csv",
+                                         catalog=seen)
+
     files.write_csv(orders.filter("o_orderstatus = 'F'").select(
         "o_totalprice", "o_orderstatus", "o_orderkey", "o_custkey"), f"{path}/a")
+    read()
     files.write_csv(orders.filter("o_orderstatus <> 'F'").select(
         F.lit("x").alias("note"), "o_custkey", "o_orderkey", "o_orderstatus"), f"{path}/b")
-    return csvfeeds.read_csv_by_name(spark, path, _ORDERS, marker="o_orderkey", glob="*.csv")
+    return read()
 
 
 @query("bulk_copy", f"WITH {W.WIDE_CTES} SELECT * FROM wide")

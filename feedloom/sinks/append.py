@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.dedupe import keep_last
 from feedloom.schemas import TS, WAREHOUSE_KEY
-from feedloom.session import cut_lineage
+from feedloom.session import cut_lineage, read_if_present
 from feedloom.sinks.files import write_table
 from feedloom.sources.csvfeeds import with_day
 
@@ -53,16 +52,6 @@ def on_days(table: DataFrame, days: list) -> DataFrame:
     return table.filter(here | F.col("dt").isNull() if None in days else here)
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before its first write."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def union_new(target: DataFrame, batch: DataFrame, keys, *, order=()) -> DataFrame:
     """Target after the append, as one plan."""
     return target.unionByName(new_rows(batch, target, keys, order=order))

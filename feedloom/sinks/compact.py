@@ -53,15 +53,16 @@ def merge_snapshots(df: DataFrame, keys=(), *, per_snapshot: bool = True,
 
 
 def compact(spark: SparkSession, landing: str, out: str, feed: str, *,
-            dedupe: bool = False, per_snapshot: bool = True, glob: str | None = None) -> None:
+            dedupe: bool = False, per_snapshot: bool = True, glob: str | None = None,
+            catalog: str | None = None) -> None:
     """Write every landed snapshot of ``feed`` to a new table version at ``out``.
 
     The landing files stay until the caller has switched to the new version. ``glob`` names them
-    where they do not bear the feed's name.
+    where they do not bear the feed's name, ``catalog`` the folder of headers already found.
     """
     spec = FEEDS[feed]
     rows = read_csv_by_name(spark, landing, spec.schema, glob=glob or feed_glob(feed),
-                            landing=True)
+                            landing=True, catalog=catalog)
     merged = merge_snapshots(rows, spec.keys if dedupe else (), per_snapshot=per_snapshot)
     write_table(merged, out, mode="errorifexists")
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.dedupe import keep_last
 from feedloom.schemas import TS, WAREHOUSE_KEY
-from feedloom.session import cut_lineage, remove
-from feedloom.sinks.append import on_days, read_if_present, touched_days
+from feedloom.session import cut_lineage, read_if_present, remove
+from feedloom.sinks.append import on_days, touched_days
 from feedloom.sources.csvfeeds import with_day
 
 LOG = "commit long, dt date, took array<string>"

@@ -12,6 +12,7 @@ from feedloom.ml import features as M
 from feedloom.ml import forest as R
 from feedloom.plans import reports
 from feedloom.plans.wide_table import build_wide_table
+from feedloom.session import cut_lineage
 
 _KEY = ("call_timestamp", "cam_id", "direction")
 _CODE = """CASE trafficcongestion WHEN 'None' THEN 0.0::DOUBLE WHEN 'Mild' THEN 1.0::DOUBLE
@@ -112,8 +113,12 @@ def forest_sweep(spark, sf):
 
 @query("profile_prediction")
 def profile_prediction(spark, sf):
-    """Forest on the wide table; a prediction per camera and hour that was asked for."""
-    wide = _wide(spark, sf)
+    """Forest on the wide table; a prediction per camera and hour that was asked for.
+
+    The wide table is written once: the passes of the fit and the profile read it, so that neither
+    their plans nor their tasks hold its joins again.
+    """
+    wide = cut_lineage(_wide(spark, sf).select(S.TS, S.LABEL, *S.FEATURES))
     rows = M.numeric_frame(wide, keep=M.CAMERA)
     model = R.fit_once_read(rows, S.FEATURES, trees=4, depth=4)
     profile = reports.hourly_profile(wide, [f for f in S.FEATURES if f not in M.CAMERA])

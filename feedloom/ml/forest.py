@@ -17,7 +17,7 @@ from feedloom.functions import labels
 from feedloom.ml.features import assembler
 from feedloom.operators.aggregates import accuracy, crosstab_wide
 from feedloom.plans.reports import profile_lookup
-from feedloom.session import scratch_dir
+from feedloom.session import cut_lineage, scratch_dir
 
 # The chosen forest and the parameter ranges that were searched.
 TREES, DEPTH = 280, 19
@@ -205,10 +205,14 @@ def fit_times(train: DataFrame, features, trees=TIMING_TREES, *, depth: int = DE
 
 def predict_profile(model: PipelineModel, profile: DataFrame, requests: DataFrame, *,
                     position: int = 2) -> DataFrame:
-    """Prediction for each requested camera and hour, from its mean profile."""
+    """Prediction for each requested camera and hour, from its mean profile.
+
+    The rows to predict are written first: the assembler's check for gaps over the expressions of
+    all means would have the optimizer list every mix of an expression and its name.
+    """
     from feedloom.operators.reshape import place
 
-    rows = model.transform(profile_lookup(profile, requests))
+    rows = model.transform(cut_lineage(profile_lookup(profile, requests)))
     names = {float(v): k for k, v in labels.ORDINAL.items()}
     named = labels.lookup(F.col("prediction"), names)
     out = rows.withColumn("congestion_prediction", named).select(

@@ -129,3 +129,16 @@ def test_prediction_per_request(spark):
         [(1001, "0030")], "cam_id long, time string"))
     assert got.columns == ["cam_id", "direction", "congestion_prediction", "rainfall_realtime"]
     assert {r.congestion_prediction for r in got.collect()} == {"Mild"} and got.count() == 2
+
+
+def test_prediction_from_a_profile_of_many_measures(spark):
+    """Planning does not list every mix of a mean and its name (2 to the power of the measures)."""
+    measures = [f"m{i}" for i in range(35)]
+    wide = spark.range(400).select(
+        F.lit("2024-03-01T010500").alias(S.TS), (F.col("id") % 4).alias("cam_id"),
+        F.lit(1).alias("direction"), (F.col("id") % 4).cast("double").alias("label"),
+        *[(F.col("id") % 4 + i).cast("double").alias(m) for i, m in enumerate(measures)])
+    model = R.fit_once_read(wide, [*measures, "cam_id", "direction"], trees=2, depth=2)
+    asked = spark.createDataFrame([(2, "0130"), (9, "0130")], "cam_id long, time string")
+    got = R.predict_profile(model, reports.hourly_profile(wide, measures), asked).collect()
+    assert [(r.cam_id, r.congestion_prediction, r.m3) for r in got] == [(2, "Medium", 5.0)]

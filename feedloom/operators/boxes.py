@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEEPEST = 24
+# Levels below the one whose cells are as large as the box: cells are 1/8 of that.
+FINER = 3
 # Below this level a cell is a tenth of a degree or more wide and may hold most points.
 COARSE = 12
+CELL = ["__level", "__i", "__j", "__salt"]
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, *, lat: str = "lat",
@@ -15,18 +18,27 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, *, lat: str = "lat",
                     by: list[str] | None = None) -> DataFrame:
     """All (box, point) pairs with south <= lat <= north and west <= lon <= east.
 
-    A box is filed at the grid level whose cells are at least its size, so it touches at
-    most four cells. A point looks in its one cell at each level that occurs. Boxes of the
+    A box is filed in cells of a quarter to an eighth of its longer side, at most 81, so a point
+    that meets it there seldom lies outside: what is compared follows the pairs that are found.
+    A point looks in its one cell at each level that occurs. Boxes of the
     coarse levels are copied to ``salts`` places over which the points of a cell are dealt by a
     hash of the columns ``by``, else of all, so that a task that runs again deals them alike.
     """
+    inside = (F.col(lat).between(F.col("south"), F.col("north"))
+              & F.col(lon).between(F.col("west"), F.col("east")))
+    return in_cells(points, boxes, lat, lon, salts, by).filter(inside).drop(*CELL)
+
+
+def in_cells(points: DataFrame, boxes: DataFrame, lat: str, lon: str, salts: int,
+             by: list[str] | None = None) -> DataFrame:
+    """The (box, point) pairs that meet in a cell, which hold all that ``points_in_boxes`` finds."""
     def cell(c, base, level):
         return F.floor((c - F.lit(base)) / (F.lit(360.0) / F.pow(F.lit(2.0), level))).cast("long")
 
     size = F.greatest(F.col("north") - F.col("south"), F.col("east") - F.col("west"))
     level = F.when(size <= 0, F.lit(DEEPEST)).otherwise(
         F.least(F.lit(DEEPEST), F.greatest(F.lit(0),
-                F.floor(F.log2(F.lit(360.0) / size)).cast("int"))))
+                F.floor(F.log2(F.lit(360.0) / size)).cast("int") + FINER)))
     valid = boxes.filter((F.col("south") <= F.col("north")) & (F.col("west") <= F.col("east")))
     filed = valid.withColumn("__level", level)
     rows = F.sequence(cell(F.col("south"), -180.0, F.col("__level")),
@@ -44,7 +56,4 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, *, lat: str = "lat",
     every = F.sequence(zero, F.lit(salts - 1).cast("long"))
     seen = seen.withColumn("__salt", F.when(coarse, deal).otherwise(zero))
     filed = filed.withColumn("__salt", F.explode(F.when(coarse, every).otherwise(F.array(zero))))
-    inside = (F.col(lat).between(F.col("south"), F.col("north"))
-              & F.col(lon).between(F.col("west"), F.col("east")))
-    return (seen.join(filed, ["__level", "__i", "__j", "__salt"]).filter(inside)
-            .drop("__level", "__i", "__j", "__salt"))
+    return seen.join(filed, CELL)

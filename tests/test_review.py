@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas as S
 from feedloom.operators import align, joins
 from feedloom.operators.aggregates import crosstab_wide
-from feedloom.operators.boxes import points_in_boxes
+from feedloom.operators.boxes import in_cells, points_in_boxes
 from feedloom.operators.nearest import nearest
 from feedloom.operators.nearest_time import nearest_snapshot
 from feedloom.plans import feeds as N
@@ -125,6 +125,14 @@ def test_points_of_a_hot_cell_are_dealt(spark):
     assert "__salt" in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_points_seldom_meet_boxes_that_do_not_hold_them(spark):
+    points = spark.range(900).selectExpr("id", "1.0D + (id % 30) / 60 AS lat", "103.0D + floor(id / 30) / 60 AS lon")
+    boxes = spark.range(200).selectExpr("id AS b", "1.0D + (id % 20) / 50 AS south", "103.0D + floor(id / 20) / 25 AS west") \
+        .selectExpr("*", "south + 0.12D AS north", "west + 0.12D AS east")
+    held = points_in_boxes(points, boxes).count()
+    assert held > 5000 and in_cells(points, boxes, "lat", "lon", 16).count() < 2 * held
+
+
 def test_missing_members_of_a_snapshot(spark, rows):
     held = spark.createDataFrame([("t1", 1, 1), ("t1", 1, 1), ("t2", 1, 2), ("t3", 9, 9)],
                                  "call_timestamp string, cam_id long, direction long")

@@ -93,7 +93,7 @@ def _parts(spark, sf):
 @query("forest_accuracy")
 def forest_accuracy(spark, sf):
     train, _, test = _parts(spark, sf)
-    return R.evaluate(R.forest(_ITEM).fit(train), test)
+    return R.evaluate(R.fit_once_read(train, _ITEM), test)
 
 
 @query("forest_confusion")

@@ -37,19 +37,31 @@ def forest(features, *, trees: int = TREES, depth: int = DEPTH, seed: int = 42,
     return Pipeline(stages=[assembler(features), model])
 
 
-def fit_once_read(rows: DataFrame, features, **settings) -> PipelineModel:
+def deal(rows: DataFrame) -> DataFrame:
+    """``rows`` evenly over the session's cores, however few files they lie in.
+
+    Every pass of a fit walks all trees for each row, and each task sends on its statistics of all
+    open nodes: fewer tasks than cores leave cores idle, more only add statistics.
+    """
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def fit_once_read(rows: DataFrame, features, *, label: str = "label", **settings) -> PipelineModel:
     """Fit of ``forest``; its passes read the complete rows from a cache, so that what makes the rows
-    runs once."""
-    held = rows.persist()
+    runs once. They are dealt over the cores and sorted there, so that a task that runs again
+    draws the same samples for its trees."""
+    used = list(dict.fromkeys([*features, label]))
+    held = deal(rows.select(*[F.col(f"`{c}`") for c in used]))
+    held = held.sortWithinPartitions(*[F.col(f"`{c}`") for c in used]).persist()
     try:
-        return forest(features, **settings).fit(held)
+        return forest(features, label=label, **settings).fit(held)
     finally:
         held.unpersist()
 
 
 def evaluate(model: PipelineModel, rows: DataFrame, *, label: str = "label") -> DataFrame:
     """One row: correct rows, rows, accuracy."""
-    return accuracy(model.transform(rows), label, "prediction")
+    return accuracy(model.transform(deal(rows)), label, "prediction")
 
 
 def confusion(model: PipelineModel, rows: DataFrame, *, label: str = "label",
@@ -174,7 +186,7 @@ def score_points(model: PipelineModel, rows: DataFrame, features, grid, *,
                     at[inner] = np.where(low, tree["left"][here], tree["right"][here])
             yield pd.DataFrame(right, columns=["num_trees", "max_depth", "n_correct", "n_rows"])
 
-    narrow = rows.select(*[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(features, names)],
+    narrow = deal(rows).select(*[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(features, names)],
                          F.col(label).cast("double").alias("y"))
     counted = narrow.dropna("any", subset=names).mapInPandas(walk, schema)
     return counted.groupBy("num_trees", "max_depth").agg(

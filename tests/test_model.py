@@ -119,6 +119,30 @@ def test_deep_forest_with_cached_node_ids(spark, learnable):
     assert R.evaluate(model, learnable.filter("part = 'test'")).first().accuracy > 0.9
 
 
+def test_fit_and_scores_use_all_cores_for_rows_of_one_task(spark, learnable, monkeypatch):
+    """Rows of one task are dealt evenly; a recomputed task meets its rows in the same order."""
+    seen = []
+
+    class Stub:
+        def fit(self, rows):
+            seen.append(rows.rdd.glom().collect())
+
+        def transform(self, rows):
+            seen.append(rows.rdd.glom().collect())
+            return rows.withColumn("prediction", F.col("label"))
+
+    monkeypatch.setattr(R, "forest", lambda *args, **settings: Stub())
+    one = learnable.coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert cores > 1
+    R.fit_once_read(one, ["x", "y"], trees=2)
+    assert R.evaluate(Stub(), one).first().n_correct == 4000
+    for parts in seen:
+        assert [len(p) for p in parts] == [pytest.approx(4000 / cores, abs=2)] * cores
+    assert all(p == sorted(p) for p in seen[0])
+    assert sorted(tuple(r) for p in seen[0] for r in p) == sorted(map(tuple, one.select("x", "y", "label").collect()))
+
+
 def test_prediction_per_request(spark):
     wide = build_wide_table(X.feeds(spark))
     feats = ["rainfall_realtime", "cam_id", "direction"]

@@ -99,7 +99,7 @@ def forest_accuracy(spark, sf):
 @query("forest_confusion")
 def forest_confusion(spark, sf):
     train, _, test = _parts(spark, sf)
-    return R.confusion(R.forest(_ITEM).fit(train), test)
+    return R.confusion(R.fit_once_read(train, _ITEM), test)
 
 
 @query("forest_sweep")

@@ -67,7 +67,7 @@ def evaluate(model: PipelineModel, rows: DataFrame, *, label: str = "label") ->
 def confusion(model: PipelineModel, rows: DataFrame, *, label: str = "label",
               classes=tuple(float(v) for v in labels.ORDINAL.values())) -> DataFrame:
     """Predictions down, actual labels across, with totals."""
-    return crosstab_wide(model.transform(rows).select("prediction", label), "prediction",
+    return crosstab_wide(model.transform(deal(rows)).select("prediction", label), "prediction",
                          label, list(classes))
 
 

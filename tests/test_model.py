@@ -137,6 +137,7 @@ def test_fit_and_scores_use_all_cores_for_rows_of_one_task(spark, learnable, mon
     assert cores > 1
     R.fit_once_read(one, ["x", "y"], trees=2)
     assert R.evaluate(Stub(), one).first().n_correct == 4000
+    R.confusion(Stub(), one)
     for parts in seen:
         assert [len(p) for p in parts] == [pytest.approx(4000 / cores, abs=2)] * cores
     assert all(p == sorted(p) for p in seen[0])

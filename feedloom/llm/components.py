@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.session import cut_lineage
+from feedloom.session import cut_lineage, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     told = None
     while True:
-        links = cut_lineage(_small_star(cut_lineage(_large_star(links))))
+        large = cut_lineage(_large_star(links))
+        last, links = links, cut_lineage(_small_star(large))
+        release(last, large)
         now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")),
                         F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if now == told:

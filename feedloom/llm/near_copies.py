@@ -6,8 +6,10 @@ differ, in some pairs over twenty, so no radius of 64 bits finds them all; the r
 prefixes. Two sets with that similarity share a member of their prefixes, whatever order ranks the
 members: of n shingles the first ``n - ceil(share * n) + 1``. The order puts shingles that a
 sample finds in many texts last, so a common line seldom makes candidates. Where two texts first
-meet, the members that follow bound what they can share. Texts that may be similar are verified
-on all their shingles (64-bit hashes). No pair is missed.
+meet, the members that follow bound what they can share. So do their parities: a text keeps a bit
+or two per shingle, each the parity of the shingles that fall on it, and two texts differ in as
+many shingles as parities at least. Texts that may be similar still are verified on all their
+shingles (64-bit hashes). No pair is missed.
 
 Linked are the pairs that matter to components. A shingle that few texts share gives all their
 pairs; one that many share first gives pairs with a leading text, round by round, and in the end
@@ -15,8 +17,8 @@ all pairs whose texts are not yet in one component.
 
 Rows are dealt and sorted by their words' digest (128 bits) and id once, and every later look at
 a text finds it there. Prefix rows are exchanged once. Hash arrays are never exchanged: of a
-candidate pair one text goes to the other's place, or, where one text leads many pairs, its
-hashes are broadcast within a bound.
+candidate pair that parities leave one text goes to the other's place, once, or, where one text
+leads many pairs, its hashes are broadcast within a bound.
 """
 
 from __future__ import annotations
@@ -43,7 +45,8 @@ LED, LEADS, BROADCAST = 16, 10_000, 500_000
 PRINT, PAIR, MANY = 0, 1, 2
 KEY = ["k1", "k2", "who"]
 LOW = (1 << 32) - 1
-FOUND = "kind byte, h long, a long, na int, b long, nb int"  # MANY: the place in nb
+# MANY: the place in nb; PRINT: the parities in bits
+FOUND = "kind byte, h long, a long, na int, b long, nb int, bits array<long>"
 
 
 def _halves(text: Column) -> list[Column]:
@@ -67,12 +70,20 @@ def _fingerprint(own: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(own), bitorder="little").view("<i8")[0])
 
 
+def _parities(own: np.ndarray) -> np.ndarray:
+    """Parity of the hashes on each of as many bits as the next power of two, 64 at least. Places
+    are low bits, so that the halves of a longer one, xored, are the shorter one."""
+    width = max(64, 1 << (len(own) - 1).bit_length())
+    odd = np.bincount(own.view("<u8") >> np.uint64(20) & np.uint64(width - 1), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _prefixes(common: np.ndarray, times: np.ndarray, share: float):
     """Prefix rows ``h, node, at``, ``at`` holding a set's size and the place in its order; and
-    a row with the fingerprint in place of ``h`` and the size below zero in ``at``."""
+    a row with the fingerprint in place of ``h``, the size below zero in ``at`` and the parities."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, at, h = [], [], []
+            node, at, h, bits, held = [], [], [], [], []
             values = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
             start = 0
@@ -84,20 +95,27 @@ def _prefixes(common: np.ndarray, times: np.ndarray, share: float):
                 h += [own[np.lexsort((own, rank))[:first]], [_fingerprint(own)]]
                 at += [len(own) << 32 | np.arange(first), [-len(own)]]
                 node.append(np.full(first + 1, name))
+                bits.append(_parities(own))
+                held.append(np.append(np.zeros(first, np.int32), len(bits[-1])))
             if h:
+                sizes = np.concatenate(held)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).astype(np.int64)) for x in (h, node, at)],
-                    names=["h", "node", "at"])
+                    [*[pa.array(np.concatenate(x).astype(np.int64)) for x in (h, node, at)],
+                     pa.ListArray.from_arrays(
+                         pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)),
+                         pa.array(np.concatenate(bits)), mask=pa.array(sizes == 0))],
+                    names=["h", "node", "at", "bits"])
     return run
 
 
-def _rows(kind: int, h, a, na, b=None, nb=None) -> pa.RecordBatch:
+def _rows(kind: int, h, a, na, b=None, nb=None, bits=None) -> pa.RecordBatch:
     """Rows of ``FOUND``."""
     n = len(h)
     cols = [pa.array(np.full(n, kind, np.int8)), pa.array(h), pa.array(a), pa.array(na, pa.int32())]
     cols += [pa.nulls(n, pa.int64()) if b is None else pa.array(b),
-             pa.nulls(n, pa.int32()) if nb is None else pa.array(nb, pa.int32())]
-    return pa.RecordBatch.from_arrays(cols, names=["kind", "h", "a", "na", "b", "nb"])
+             pa.nulls(n, pa.int32()) if nb is None else pa.array(nb, pa.int32()),
+             pa.nulls(n, pa.list_(pa.int64())) if bits is None else bits]
+    return pa.RecordBatch.from_arrays(cols, names=["kind", "h", "a", "na", "b", "nb", "bits"])
 
 
 def _pairer(share: float, paired: int):
@@ -126,10 +144,11 @@ def _pairer(share: float, paired: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, long_h = None, None
         for batch in batches:
-            h, node, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            h, node, at = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:3])
             prints = at < 0
             if prints.any():
-                yield _rows(PRINT, h[prints], node[prints], -at[prints])
+                yield _rows(PRINT, h[prints], node[prints], -at[prints],
+                            bits=batch.column(3).filter(pa.array(prints)).cast(pa.list_(pa.int64())))
                 h, node, at = h[~prints], node[~prints], at[~prints]
             if long_h is not None and len(h):
                 on = int(np.searchsorted(h, long_h, "right"))
@@ -176,6 +195,22 @@ class _Texts:
                                 F.col(text).alias("text"))
         self.places = nodes.select("node", "k1", "k2", "first.who")
         self.width = width
+        self.bits: DataFrame | None = None  # node, bits: parities, once they are known
+
+    def may(self, pairs: DataFrame, share: float) -> DataFrame:
+        """The pairs of ``a, na, b, nb`` whose sizes and parities let them be alike."""
+        pairs = pairs.filter(F.least("na", "nb") >= _need(F.greatest("na", "nb"), share))
+        for x in "ab":
+            pairs = pairs.join(self.bits.select(F.col("node").alias(x), F.col("bits").alias(f"bits{x}")), x)
+        size = F.least(F.size("bitsa"), F.size("bitsb"))
+        one, two = (F.when(F.size(x) == size, F.col(x)).when(F.size(x) == 2 * size, F.zip_with(
+            F.slice(x, F.lit(1), size), F.slice(x, size + 1, size), lambda u, v: u.bitwiseXOR(v)))
+            for x in ("bitsa", "bitsb"))
+        differ = F.aggregate(F.zip_with(one, two, lambda u, v: F.bit_count(u.bitwiseXOR(v))),
+                             F.lit(0), lambda n, x: n + x)
+        n = F.col("na") + F.col("nb")
+        return pairs.filter(n - F.coalesce(differ, F.lit(0)) >= 2 * _need(n / (1 + share), share)) \
+            .select("a", "na", "b", "nb")
 
     def at(self, of: DataFrame, node: str = "node") -> DataFrame:
         """The rows of ``of`` with the text of their node; ``of`` moves, texts stay."""
@@ -193,16 +228,20 @@ class _Texts:
 
         ``b`` is the end that may lead many pairs.
         """
-        pairs = pairs.filter(F.least("na", "nb") >= _need(F.greatest("na", "nb"), share))
-        pairs = _led(cut_lineage(pairs))
+        some = cut_lineage(self.may(pairs, share))
+        pairs = _led(some)
+        release(some)
         spark = pairs.sparkSession
         led = pairs.groupBy("b").agg(F.count("*").alias("c"), F.max("nb").alias("n")).filter(
             F.col("c") >= LED).orderBy(F.desc("c"), "b").limit(LEADS).collect()
         block = np.cumsum([r.n for r in led]) // BROADCAST
         leads = F.broadcast(spark.createDataFrame(
             [(r.b, int(k)) for r, k in zip(led, block)], "b long, block int"))
-        rest = self.at(pairs.join(leads, "b", "left_anti"), "a").withColumnRenamed("text", "ta")
-        rest = self.at(rest, "b").select(
+        # Where b lies is looked up before a's text joins, which so moves once.
+        there = [f"to_{c}" for c in KEY]
+        rest = pairs.join(leads, "b", "left_anti").join(self.places.toDF("b", *there), "b")
+        rest = self.at(rest, "a").withColumnRenamed("text", "ta")
+        rest = rest.join(self.rows.toDF(*there, "text"), there).select(
             "a", "b", "na", "nb", *[_hashes(F.col(t), self.width).alias(h)
                                     for t, h in (("ta", "ha"), ("text", "hb"))])
         out = [_fit(rest, share)]
@@ -217,7 +256,9 @@ class _Texts:
             # One block at a time, so that one broadcast is held at a time.
             out.append(cut_lineage(_fit(
                 by.select("a", "na", "ha", F.inline("bs")).join(known, "b"), share)))
-        return reduce(DataFrame.unionAll, out)
+        found = cut_lineage(reduce(DataFrame.unionAll, out))
+        release(pairs, *out[1:])
+        return found
 
 
 def _fit(met: DataFrame, share: float) -> DataFrame:
@@ -260,11 +301,12 @@ def links(texts: _Texts, nodes: DataFrame, share: float = SHARE) -> DataFrame:
     count = nodes.count()
     some = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(max(1, count // SAMPLE))) == 0)
     posts = texts.sets(nodes).mapInArrow(_prefixes(*_common(texts.sets(some)), share),
-                                         "h long, node long, at long")
+                                         "h long, node long, at long, bits array<long>")
     found = cut_lineage(posts.repartition("h").sortWithinPartitions("h", "node").mapInArrow(
         _pairer(share, PAIRED), FOUND))
     close = _close(found.filter(F.col("kind") == PRINT).select(
         F.col("h").alias("fp"), F.col("a").alias("node"), F.col("na").alias("n")))
+    texts.bits = found.filter(F.col("kind") == PRINT).select(F.col("a").alias("node"), "bits")
     many = found.filter(F.col("kind") == MANY).select(
         "h", F.col("a").alias("node"), F.col("na").alias("n"), F.col("nb").alias("place"))
     edges = cut_lineage(texts.alike(close, share))
@@ -283,7 +325,9 @@ def links(texts: _Texts, nodes: DataFrame, share: float = SHARE) -> DataFrame:
             F.min("root").alias("low"), F.max("root").alias("high"),
             F.min_by(F.struct("node", "n", "place", "root"), F.xxhash64("node", F.lit(k))).alias("lead"))
         open_ = open_.filter("low <> high").select("h", "lead")
-        many = cut_lineage(rooted.join(open_, "h"))
+        last, many = many, cut_lineage(rooted.join(open_, "h"))
+        if k:
+            release(last)
         if k < ROUNDS:
             met = many.filter("root <> lead.root").select(
                 F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from feedloom.llm import near_copies
 from tests.llm.test_corpus import DOCS
@@ -76,3 +78,39 @@ def test_one_row_stays_of_copies_without_an_id_or_with_the_same(spark):
     assert len(got) == 6 and sum(i is None for i, _ in got) == 1
     assert {x for x in got if x[0] is not None} == {
         (5, b), (7, ""), (8, "c d"), (8, "e f"), (9, "g h")}
+
+
+def test_pairs_that_share_few_shingles_are_told_apart_without_their_texts(spark, monkeypatch):
+    """Two texts of a pair meet in their prefixes, a third of their words being the same."""
+    rng, met = random.Random(5), []
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    rows = []
+    for _ in range(60):
+        line = text(40)
+        rows += [(len(rows) + k, " ".join(text(80) + line)) for k in (0, 1)]
+    rows += [(200 + i, t + " more") for i, t in rows[:3]]
+    fit = near_copies._fit
+
+    def counted(pairs, share):
+        met.append(pairs.count())
+        return fit(pairs, share)
+
+    monkeypatch.setattr(near_copies, "_fit", counted)
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS).repartition(4)
+    got = sorted(r.doc_id for r in near_copies.keep_first(df).collect())
+    assert got == sorted(kept_ids(rows)) == list(range(120))
+    assert 0 < sum(met) <= 4
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 64, 65, 700, 1025):
+        a = np.unique(rng.integers(-2 ** 63, 2 ** 63 - 1, n))
+        b = np.unique(np.append(a[n // 9:], rng.integers(-2 ** 63, 2 ** 63 - 1, n // 9)))
+        one, two = near_copies._parities(a), near_copies._parities(b)
+        if len(one) != len(two):
+            one, two = sorted((one, two), key=len)
+            two = two[:len(one)] ^ two[len(one):]
+        assert len(one) * 64 >= min(64, n) and len(one) == len(two)
+        differ = sum(bin(x & (1 << 64) - 1).count("1") for x in (one ^ two).tolist())
+        assert differ <= len(np.setxor1d(a, b))

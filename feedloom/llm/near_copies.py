@@ -12,8 +12,12 @@ many shingles as parities at least. Texts that may be similar still are verified
 shingles (64-bit hashes). No pair is missed.
 
 Linked are the pairs that matter to components. A shingle that few texts share gives all their
-pairs; one that many share first gives pairs with a leading text, round by round, and in the end
-all pairs whose texts are not yet in one component.
+pairs. Where many share one, each text is told against a leading text only: those like it are in its
+component. A pair of which one is not like it has either another shingle in common that the lead
+lacks, or a text smaller than the lead and as much in common within it as the pair needs. So the
+texts meet again, in prefixes of what the lead lacks, and the few that can be of the second kind
+among themselves, round by round. What is left is paired in full once that is no more than a few
+pairs per text, or after the last round.
 
 Rows are dealt and sorted by their words' digest (128 bits) and id once, and every later look at
 a text finds it there. Prefix rows are exchanged once. Hash arrays are never exchanged: of a
@@ -38,8 +42,9 @@ from feedloom.session import cut_by_key, cut_lineage, release
 
 WIDTH, SHARE = 5, 0.8
 # Texts sampled for common shingles, common shingles held, texts of a shingle that are paired at
-# once, rounds of leading texts.
-SAMPLE, HELD, PAIRED, ROUNDS = 4000, 100_000, 8, 4
+# once, rounds of leading texts, pairs per text below which no round is made, texts of a shingle
+# that need no lead, as their pairs grow with the rows only.
+SAMPLE, HELD, PAIRED, ROUNDS, FEW, LONG = 4000, 100_000, 8, 4, 2, 64
 # Pairs of a text that make it a lead, leads looked at, hashes of leads broadcast at once.
 LED, LEADS, BROADCAST = 16, 10_000, 500_000
 PRINT, PAIR, MANY = 0, 1, 2
@@ -47,6 +52,8 @@ KEY = ["k1", "k2", "who"]
 LOW = (1 << 32) - 1
 # MANY: the place in nb; PRINT: the parities in bits
 FOUND = "kind byte, h long, a long, na int, b long, nb int, bits array<long>"
+# A prefix row of what b lacks of a, with its place; with no h, how much b lacks.
+OUTSIDE = "h long, a long, na int, b long, nb int, place int"
 
 
 def _halves(text: Column) -> list[Column]:
@@ -89,8 +96,7 @@ def _prefixes(common: np.ndarray, times: np.ndarray, share: float):
             start = 0
             for name, end in zip(batch.column(0).to_numpy(zero_copy_only=False), ends):
                 own, start = np.ascontiguousarray(values[start:end]), int(end)
-                where = np.minimum(np.searchsorted(common, own), max(0, len(common) - 1))
-                rank = np.where(common[where] == own, times[where], 0) if len(common) else own * 0
+                rank = _ranks(own, common, times)
                 first = len(own) - int(np.ceil(share * len(own) - 1e-9)) + 1
                 h += [own[np.lexsort((own, rank))[:first]], [_fingerprint(own)]]
                 at += [len(own) << 32 | np.arange(first), [-len(own)]]
@@ -108,6 +114,46 @@ def _prefixes(common: np.ndarray, times: np.ndarray, share: float):
     return run
 
 
+def _outside(common: np.ndarray, times: np.ndarray, share: float):
+    """Rows of ``OUTSIDE`` for ``a, na, b, nb, out``, ``out`` being the shingles of a that b lacks."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, na, b, nb = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            values = batch.column(4).flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(batch.column(4).value_lengths().to_numpy(zero_copy_only=False))
+            start, h, place, pair = 0, [], [], []
+            for k, end in enumerate(ends):
+                own, start = values[start:end], int(end)
+                # Of any text that is like a, at least so much is out of b.
+                least = np.ceil(share * na[k] - 1e-9)
+                shared = np.ceil(share / (1 + share) * (na[k] + least) - 1e-9) - (na[k] - len(own))
+                first = max(0, len(own) - max(1, int(shared)) + 1)
+                key = own[np.lexsort((own, _ranks(own, common, times)))[:first]].view(np.uint64)
+                h.append((key ^ np.uint64(int(b[k]) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).view(np.int64))
+                place += [np.arange(first), [len(own)]]
+                pair.append(np.full(first + 1, k))
+            if pair:
+                no = np.cumsum([len(x) + 1 for x in h]) - 1
+                at = np.zeros(no[-1] + 1, bool)
+                at[no] = True
+                keys = np.zeros(len(at), np.int64)
+                keys[~at] = np.concatenate(h)
+                pair = np.concatenate(pair)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, mask=at), *[pa.array(x[pair]) for x in (a, na, b, nb)],
+                     pa.array(np.concatenate(place).astype(np.int32))],
+                    names=["h", "a", "na", "b", "nb", "place"])
+    return run
+
+
+def _ranks(own: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """How many texts of the sample hold a shingle, zero if it is not a common one."""
+    if not len(common):
+        return own * 0
+    where = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return np.where(common[where] == own, times[where], 0)
+
+
 def _rows(kind: int, h, a, na, b=None, nb=None, bits=None) -> pa.RecordBatch:
     """Rows of ``FOUND``."""
     n = len(h)
@@ -224,13 +270,19 @@ class _Texts:
             "hs")).filter(F.size("hs") > 0)
 
     def alike(self, pairs: DataFrame, share: float) -> DataFrame:
-        """The pairs of ``a, na, b, nb`` (nodes and sizes) that are as similar as ``share`` asks.
-
-        ``b`` is the end that may lead many pairs.
-        """
+        """The pairs of ``a, na, b, nb`` (nodes and sizes) that are as similar as ``share`` asks."""
         some = cut_lineage(self.may(pairs, share))
         pairs = _led(some)
         release(some)
+        found = self.told(pairs, lambda met: _fit(met, share))
+        release(pairs)
+        return found
+
+    def told(self, pairs: DataFrame, say) -> DataFrame:
+        """What ``say`` makes of the pairs ``a, na, b, nb`` with their shingles ``ha, hb``.
+
+        ``b`` is the end that may lead many pairs; ``pairs`` is a cut.
+        """
         spark = pairs.sparkSession
         led = pairs.groupBy("b").agg(F.count("*").alias("c"), F.max("nb").alias("n")).filter(
             F.col("c") >= LED).orderBy(F.desc("c"), "b").limit(LEADS).collect()
@@ -244,7 +296,7 @@ class _Texts:
         rest = rest.join(self.rows.toDF(*there, "text"), there).select(
             "a", "b", "na", "nb", *[_hashes(F.col(t), self.width).alias(h)
                                     for t, h in (("ta", "ha"), ("text", "hb"))])
-        out = [_fit(rest, share)]
+        out = [say(rest)]
         for k in range(int(block[-1]) + 1 if led else 0):
             own = leads.filter(F.col("block") == k).select("b")
             known = F.broadcast(self.sets(own.withColumnRenamed("b", "node")).select(
@@ -254,12 +306,50 @@ class _Texts:
                 F.collect_list(F.struct("b", "nb")).alias("bs"))
             by = self.at(by, "a").select("a", "na", "bs", _hashes(F.col("text"), self.width).alias("ha"))
             # One block at a time, so that one broadcast is held at a time.
-            out.append(cut_lineage(_fit(
-                by.select("a", "na", "ha", F.inline("bs")).join(known, "b"), share)))
+            out.append(cut_lineage(say(by.select("a", "na", "ha", F.inline("bs")).join(known, "b"))))
         found = cut_lineage(reduce(DataFrame.unionAll, out))
-        release(pairs, *out[1:])
+        release(*out[1:])
         return found
 
+    def split(self, many: DataFrame, order: tuple[np.ndarray, np.ndarray], share: float):
+        """Of ``many`` (``h, node, n, lead, small``: texts that share ``h``, its leading text, the
+        smallest size) the pairs ``a, b`` of texts like their lead, rows of ``FOUND`` of those
+        that meet outside it, and rows ``h, node, n, place`` of those that may be alike within it.
+
+        A text with ``r`` shingles in its lead, too few to be like it, can only be like texts
+        with which it shares one that the lead lacks, or like smaller ones than the lead: those
+        whose size asks for no more than ``r``.
+        """
+        met = cut_lineage(many.filter("node <> lead.node").select(
+            F.col("node").alias("a"), F.col("n").alias("na"), F.col("lead.node").alias("b"),
+            F.col("lead.n").alias("nb")).distinct())
+        out = self.told(met, lambda m: m.select("a", "na", "b", "nb", F.array_except("ha", "hb").alias(
+            "out")).mapInArrow(_outside(*order, share), OUTSIDE))
+        release(met)
+        need = lambda n: _need(n / (1 + share), share)
+        sizes = out.filter("h is null").withColumn("r", F.col("na") - F.col("place"))
+        like = F.col("r") >= need(F.col("na") + F.col("nb"))
+        fits = sizes.filter(like).select("a", "b")
+
+        least = F.greatest("small", _need(F.col("na"), share))
+        part = many.filter("small < lead.n").select(
+            "h", "small", F.col("node").alias("a"), F.col("lead.node").alias("b")).join(
+            sizes.drop("h"), ["a", "b"]).withColumn("like", like).filter(
+            (F.col("like") & (F.col("na") < F.col("nb")))
+            | (~F.col("like") & (F.col("r") >= need(F.col("na") + least))))
+        most = part.filter(~F.col("like")).groupBy("h").agg(
+            F.max(F.floor(F.col("r") * (1 + share) / share + 1e-6) - F.col("na")).alias("most"))
+        part = part.join(most, "h").filter(~F.col("like") | (F.col("na") <= F.col("most"))).select(
+            F.col("h").bitwiseXOR(F.lit(LOW)).alias("h"), F.col("a").alias("node"),
+            F.col("na").alias("n"), "place")
+
+        posts = out.filter("h is not null").select(
+            "h", F.col("a").alias("node"),
+            (F.shiftleft(F.col("na").cast("long"), 32) + F.col("place")).alias("at"))
+        dealt = cut_lineage(posts.repartition("h").sortWithinPartitions("h", "node").mapInArrow(
+            _pairer(share, PAIRED), FOUND))
+        return fits, dealt, part
+
 
 def _fit(met: DataFrame, share: float) -> DataFrame:
     n = F.col("na") + F.col("nb")
@@ -300,55 +390,74 @@ def links(texts: _Texts, nodes: DataFrame, share: float = SHARE) -> DataFrame:
     """
     count = nodes.count()
     some = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(max(1, count // SAMPLE))) == 0)
-    posts = texts.sets(nodes).mapInArrow(_prefixes(*_common(texts.sets(some)), share),
+    order = _common(texts.sets(some))
+    posts = texts.sets(nodes).mapInArrow(_prefixes(*order, share),
                                          "h long, node long, at long, bits array<long>")
     found = cut_lineage(posts.repartition("h").sortWithinPartitions("h", "node").mapInArrow(
         _pairer(share, PAIRED), FOUND))
     close = _close(found.filter(F.col("kind") == PRINT).select(
         F.col("h").alias("fp"), F.col("a").alias("node"), F.col("na").alias("n")))
     texts.bits = found.filter(F.col("kind") == PRINT).select(F.col("a").alias("node"), "bits")
-    many = found.filter(F.col("kind") == MANY).select(
-        "h", F.col("a").alias("node"), F.col("na").alias("n"), F.col("nb").alias("place"))
+    many = _many(found)
     edges = cut_lineage(texts.alike(close, share))
     roots = cut_lineage(components(edges))
     # What fingerprints have joined need not be verified again.
-    pairs = found.filter(F.col("kind") == PAIR).select("a", "na", "b", "nb").distinct()
-    edges = cut_lineage(_joined(roots).unionAll(texts.alike(_apart(pairs, roots), share)))
+    edges = cut_lineage(_joined(roots).unionAll(texts.alike(_apart(_pairs(found), roots), share)))
     for k in range(ROUNDS + 1):
         if many.isEmpty():
             break
         roots = cut_lineage(components(edges))
-        rooted = many.select("h", "node", "n", "place").join(roots, "node", "left").select(
-            "h", "node", "n", "place", F.coalesce("root", "node").alias("root"))
-        # A shingle whose texts are all in one component has nothing left to say.
+        rooted = many.join(roots, "node", "left").select(
+            *many.columns, F.coalesce("root", "node").alias("root"))
+        # A shingle whose texts are all in one component has nothing left to say. Of the others
+        # the lead has the fewest rarer ones, as a text has that others were made from.
         open_ = rooted.groupBy("h").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"),
-            F.min_by(F.struct("node", "n", "place", "root"), F.xxhash64("node", F.lit(k))).alias("lead"))
-        open_ = open_.filter("low <> high").select("h", "lead")
+            F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("small"),
+            F.count("*").alias("c"),
+            F.min_by(F.struct("node", "n"), F.struct("place", "node")).alias("lead"))
+        open_ = open_.filter("low <> high").select("h", "small", "c", "lead")
         last, many = many, cut_lineage(rooted.join(open_, "h"))
         if k:
             release(last)
-        if k < ROUNDS:
-            met = many.filter("root <> lead.root").select(
-                F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
-                F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"),
-                F.col("lead.place").alias("pb"))
-        else:
-            one, two = (many.select("h", *[F.col(c).alias(f"{c}{x}")
-                                     for c in ("node", "n", "place", "root")])
-                        for x in "ab")
-            met = one.join(two, "h").filter("roota < rootb").select(
-                F.col("nodea").alias("a"), "na", F.col("placea").alias("pa"),
-                F.col("nodeb").alias("b"), "nb", F.col("placeb").alias("pb"))
-        # Of a similar pair that is not joined yet, the first shingle they share is here.
-        more = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-        met = met.filter(more >= _need((F.col("na") + F.col("nb")) / (1 + share), share)).select(
-            "a", "na", "b", "nb").distinct()
-        edges = cut_lineage(_joined(roots).unionAll(texts.alike(met, share)))
+        long_ = F.col("c") > LONG
+        tries, led = many.agg(F.sum((F.col("c") - 1) / 2), F.count_if(long_)).first()
+        if not tries:
+            release(many, found)
+            return roots
+        if k == ROUNDS or tries <= FEW * count or not led:
+            edges = cut_lineage(_joined(roots).unionAll(texts.alike(_all_pairs(many, share), share)))
+            release(many)
+            break
+        fits, dealt, part = texts.split(many.filter(long_), order, share)
+        pairs = _all_pairs(many.filter(~long_), share).unionAll(_apart(_pairs(dealt), roots))
+        last, many = many, cut_lineage(_many(dealt).unionAll(part))
+        edges = cut_lineage(_joined(roots).unionAll(fits).unionAll(
+            texts.alike(pairs, share)))
+        release(last, dealt)
     release(found)
     return components(edges)
 
 
+def _pairs(found: DataFrame) -> DataFrame:
+    return found.filter(F.col("kind") == PAIR).select("a", "na", "b", "nb").distinct()
+
+
+def _many(found: DataFrame) -> DataFrame:
+    return found.filter(F.col("kind") == MANY).select(
+        "h", F.col("a").alias("node"), F.col("na").alias("n"), F.col("nb").alias("place"))
+
+
+def _all_pairs(many: DataFrame, share: float) -> DataFrame:
+    """All pairs of texts that share a shingle and are not in one component."""
+    one, two = (many.select("h", *[F.col(c).alias(f"{c}{x}") for c in ("node", "n", "place", "root")])
+                for x in "ab")
+    # Of a similar pair that is not joined yet, the first shingle they share is here.
+    more = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb"))
+    return one.join(two, "h").filter("roota < rootb").filter(
+        more >= _need((F.col("na") + F.col("nb")) / (1 + share), share)).select(
+        F.col("nodea").alias("a"), "na", F.col("nodeb").alias("b"), "nb").distinct()
+
+
 def _joined(roots: DataFrame) -> DataFrame:
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
 

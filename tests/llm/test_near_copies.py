@@ -102,6 +102,29 @@ def test_pairs_that_share_few_shingles_are_told_apart_without_their_texts(spark,
     assert 0 < sum(met) <= 4
 
 
+def test_pairs_tried_grow_with_a_group_of_changed_copies_not_with_its_square(spark, monkeypatch):
+    """Copies that are like the text they were made from, but not like one another, and some
+    that are changed too much even for that."""
+    rng, may, tried = random.Random(8), near_copies._Texts.may, []
+    base = [f"w{i}" for i in range(150)]
+    rows = [(70, " ".join(base))]
+    for i in [*range(70), *range(71, 120)]:
+        c = list(base)
+        for k, at in enumerate(rng.sample(range(6, 144, 8), 4 if i % 10 == 0 else rng.choice([2, 3]))):
+            c[at] = f"x{i}_{k}"
+        rows.append((i, " ".join(c)))
+
+    def counted(texts, pairs, share):
+        tried.append(pairs.count())
+        return may(texts, pairs, share)
+
+    monkeypatch.setattr(near_copies._Texts, "may", counted)
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS).repartition(4)
+    got = sorted(r.doc_id for r in near_copies.keep_first(df).collect())
+    assert got == sorted(kept_ids(rows)) and 1 < len(got) < 20
+    assert sum(tried) <= 2 * len(rows)
+
+
 def test_parities_bound_the_difference():
     rng = np.random.default_rng(3)
     for n in (1, 5, 64, 65, 700, 1025):

@@ -91,7 +91,9 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
             F.filter(masks, lambda m: own.bitwiseAND(m) == 0), lambda m: own + m))
         table.append(prints.select(F.col("fp").alias("b"), w, own.alias("seg")))
         probes.append(prints.select(F.col("fp").alias("a"), w, F.explode(ball).alias("seg")))
-    met = probes[0].unionAll(probes[1]).join(table[0].unionAll(table[1]), ["w", "seg"])
+    # Spark sizes exploded rows as those they come from, so a table just small enough would have the
+    # probes, some 35 a fingerprint, broadcast through the driver.
+    met = probes[0].unionAll(probes[1]).hint("merge").join(table[0].unionAll(table[1]), ["w", "seg"])
     differ = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     return met.filter((differ <= radius) & (differ > 0)).select("a", "b")
 

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import has_at_most
+
 DEEPEST = 24
 # Levels below the one whose cells are as large as the box: cells are 1/8 of that.
 FINER = 3
 # Below this level a cell is a tenth of a degree or more wide and may hold most points.
 COARSE = 12
+# Cells of boxes that every task may hold.
+HELD = 200_000
 CELL = ["__level", "__i", "__j", "__salt"]
 
 
@@ -23,6 +27,8 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, *, lat: str = "lat",
     A point looks in its one cell at each level that occurs. Boxes of the
     coarse levels are copied to ``salts`` places over which the points of a cell are dealt by a
     hash of the columns ``by``, else of all, so that a task that runs again deals them alike.
+    The cells of boxes are counted first: a few go to every task, more meet the points by an
+    exchange, as Spark takes them to be no more than the boxes.
     """
     inside = (F.col(lat).between(F.col("south"), F.col("north"))
               & F.col(lon).between(F.col("west"), F.col("east")))
@@ -56,4 +62,5 @@ def in_cells(points: DataFrame, boxes: DataFrame, lat: str, lon: str, salts: int
     every = F.sequence(zero, F.lit(salts - 1).cast("long"))
     seen = seen.withColumn("__salt", F.when(coarse, deal).otherwise(zero))
     filed = filed.withColumn("__salt", F.explode(F.when(coarse, every).otherwise(F.array(zero))))
-    return seen.join(filed, CELL)
+    few = has_at_most(filed, HELD)
+    return seen.join(F.broadcast(filed), CELL) if few else seen.hint("merge").join(filed, CELL)

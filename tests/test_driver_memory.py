@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from feedloom.llm import simhash
+from feedloom.operators import boxes as B
 from feedloom.session import cut_lineage
 
 
@@ -19,3 +20,24 @@ def test_probes_of_fingerprints_are_not_broadcast(spark):
     assert {frozenset(r) for r in links.collect()} == {
         frozenset((r.fp, r.other)) for r in prints.select(
             "fp", F.col("fp").bitwiseXOR(F.lit(5 << 30)).alias("other")).collect()}
+
+
+def test_cells_of_many_boxes_are_not_broadcast(spark, monkeypatch):
+    """Few boxes, which Spark takes their cells to be, lie in many cells."""
+    points = cut_lineage(spark.range(3000).selectExpr(
+        "id", "1.0D + (id % 60) / 100 AS lat", "103.0D + floor(id / 60) / 100 AS lon"))
+    boxes = cut_lineage(spark.range(40).selectExpr(
+        "id AS b", "1.0D + id / 100 AS south", "103.0D + id / 200 AS west").selectExpr(
+        "*", "south + 0.065 AS north", "west + 0.045 AS east"))
+    monkeypatch.setattr(B, "HELD", 500, raising=False)
+    many = B.points_in_boxes(points, boxes)
+    assert "BroadcastExchange" not in plan(many)
+    monkeypatch.setattr(B, "HELD", 50_000, raising=False)
+    few = B.points_in_boxes(points, boxes)
+    assert "BroadcastExchange" in plan(few)
+    want = points.crossJoin(boxes).filter(
+        "lat between south and north and lon between west and east").select("id", "b")
+    want = sorted(map(tuple, want.collect()))
+    assert len(want) > 500
+    for found in (many, few):
+        assert sorted((r.id, r.b) for r in found.collect()) == want

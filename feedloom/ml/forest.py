@@ -9,12 +9,13 @@ import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import labels
 from feedloom.ml.features import assembler
+from feedloom.ml.grow import Forest, Grown
 from feedloom.operators.aggregates import accuracy, crosstab_wide
 from feedloom.plans.reports import profile_lookup
 from feedloom.session import cut_lineage, scratch_dir
@@ -28,9 +29,12 @@ TIMING_TREES = range(10, 200, 10)
 
 
 def forest(features, *, trees: int = TREES, depth: int = DEPTH, seed: int = 42,
-           label: str = "label") -> Pipeline:
+           label: str = "label", binned: bool = False) -> Pipeline | Forest:
     """Assembler and classifier. Node ids are cached and cut at intervals, so deep trees
-    neither ship themselves to every task nor grow an endless lineage."""
+    neither ship themselves to every task nor grow an endless lineage. If ``binned``, the same
+    forest grown a tree per task over bins of rows (:mod:`feedloom.ml.grow`)."""
+    if binned:
+        return Forest(tuple(features), trees, depth, seed, label)
     model = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees,
                                    maxDepth=depth, seed=seed, cacheNodeIds=True,
                                    checkpointInterval=10)
@@ -46,25 +50,25 @@ def deal(rows: DataFrame) -> DataFrame:
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
-def fit_once_read(rows: DataFrame, features, *, label: str = "label", **settings) -> PipelineModel:
-    """Fit of ``forest``; its passes read the complete rows from a cache, so that what makes the rows
+def fit_once_read(rows: DataFrame, features, *, label: str = "label", **settings) -> Grown:
+    """Fit of ``forest``, binned; its passes read the complete rows from a cache, so that what makes the rows
     runs once. They are dealt over the cores and sorted there, so that a task that runs again
     draws the same samples for its trees."""
     used = list(dict.fromkeys([*features, label]))
     held = deal(rows.select(*[F.col(f"`{c}`") for c in used]))
     held = held.sortWithinPartitions(*[F.col(f"`{c}`") for c in used]).persist()
     try:
-        return forest(features, label=label, **settings).fit(held)
+        return forest(features, label=label, binned=True, **settings).fit(held)
     finally:
         held.unpersist()
 
 
-def evaluate(model: PipelineModel, rows: DataFrame, *, label: str = "label") -> DataFrame:
+def evaluate(model: PipelineModel | Grown, rows: DataFrame, *, label: str = "label") -> DataFrame:
     """One row: correct rows, rows, accuracy."""
     return accuracy(model.transform(deal(rows)), label, "prediction")
 
 
-def confusion(model: PipelineModel, rows: DataFrame, *, label: str = "label",
+def confusion(model: PipelineModel | Grown, rows: DataFrame, *, label: str = "label",
               classes=tuple(float(v) for v in labels.ORDINAL.values())) -> DataFrame:
     """Predictions down, actual labels across, with totals."""
     return crosstab_wide(model.transform(deal(rows)).select("prediction", label), "prediction",
@@ -111,13 +115,17 @@ def full_grid() -> list[tuple[int, int]]:
             + [(t, DEPTH) for t in FINE_TREE_SWEEP])
 
 
-def node_table(model: PipelineModel) -> DataFrame:
+def node_table(model: PipelineModel | Grown) -> DataFrame:
     """The forest's nodes as rows: tree, id (from 0, the root), left, right (-1 at a leaf),
     feature, threshold, votes (class counts of the training rows that met the node).
 
     Spark writes the nodes; only continuous features, as ``assembler`` makes them, are read.
     """
-    stage, spark = model.stages[-1], SparkSession.getActiveSession()
+    return model.nodes() if isinstance(model, Grown) else nodes_of(model.stages[-1])
+
+
+def nodes_of(stage: RandomForestClassificationModel) -> DataFrame:
+    spark = SparkSession.getActiveSession()
     path = scratch_dir(spark, "forest")
     stage.write().save(path)
     node, cut = F.col("nodeData"), F.col("nodeData.split")
@@ -145,7 +153,7 @@ def shared_sweep(train: DataFrame, valid: DataFrame, features, grid=None, *, see
     return score_points(model, valid, features, grid, label=label)
 
 
-def score_points(model: PipelineModel, rows: DataFrame, features, grid, *,
+def score_points(model: PipelineModel | Grown, rows: DataFrame, features, grid, *,
                  label: str = "label") -> DataFrame:
     """num_trees, max_depth, n_correct, n_rows, accuracy of prefixes of a fitted forest.
 
@@ -215,7 +223,7 @@ def fit_times(train: DataFrame, features, trees=TIMING_TREES, *, depth: int = DE
     return done.select(F.lit(cores).alias("cores"), "num_trees", "seconds", "predict_seconds")
 
 
-def predict_profile(model: PipelineModel, profile: DataFrame, requests: DataFrame, *,
+def predict_profile(model: PipelineModel | Grown, profile: DataFrame, requests: DataFrame, *,
                     position: int = 2) -> DataFrame:
     """Prediction for each requested camera and hour, from its mean profile.
 

@@ -95,3 +95,23 @@ def test_labels_that_are_no_classes_fail(spark, rows):
     for bad in (rows.withColumn("label", F.lit(0.5)), rows.withColumn("label", F.lit(-1)), rows.limit(0)):
         with pytest.raises(ValueError, match="labels"):
             R.fit_once_read(bad, FEATURES, trees=2, depth=2)
+
+
+def test_confusion_of_rows_that_repeat_is_that_of_single_rows(spark, rows, monkeypatch):
+    """Tables a hundred times as large of the same bins have cells that are as many."""
+    seen, grow = [], G.Forest._in_tasks
+
+    def counted(forest, session, cells, classes):
+        seen.append((cells.count(), cells.agg(F.sum("n")).first()[0]))
+        return grow(forest, session, cells, classes)
+
+    monkeypatch.setattr(G.Forest, "_in_tasks", counted)
+    many = rows.crossJoin(spark.range(100).select("id")).drop("id")
+    for own in (rows, many):
+        model = R.fit_once_read(own, FEATURES, trees=5, depth=12)
+    assert [n for _, n in seen] == [3000, 300_000] and seen[1][0] <= 32 * 5 * 3
+    # Cells of the same values: quantiles of the repeated rows are those of the rows.
+    assert seen[0][0] == seen[1][0]
+    table = {r["prediction"]: r for r in R.confusion(model, rows, classes=(0.0, 1.0, 2.0)).collect()}
+    right = sum(table[str(float(c))][str(float(c))] for c in range(3))
+    assert table["Total"]["Total"] == 3000 and right == R.evaluate(model, rows).first().n_correct > 2700

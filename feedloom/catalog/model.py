@@ -120,7 +120,7 @@ def profile_prediction(spark, sf):
     """
     wide = cut_lineage(_wide(spark, sf).select(S.TS, S.LABEL, *S.FEATURES))
     rows = M.numeric_frame(wide, keep=M.CAMERA)
-    model = R.fit_once_read(rows, S.FEATURES, trees=4, depth=4)
+    model = R.fit_once_read(rows, S.FEATURES)
     profile = reports.hourly_profile(wide, [f for f in S.FEATURES if f not in M.CAMERA])
     hours = F.lpad((F.col("c_custkey") % 24).cast("string"), 2, "0")
     asked = table(spark, sf, "customer").select(

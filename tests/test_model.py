@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom import schemas as S
+from feedloom.catalog import QUERIES
 from feedloom.ml import features as M
 from feedloom.ml import forest as R
+from feedloom.ml import grow
 from feedloom.plans import reports
 from feedloom.plans.wide_table import build_wide_table
 from tests import fixtures as X
@@ -167,3 +169,17 @@ def test_prediction_from_a_profile_of_many_measures(spark):
     asked = spark.createDataFrame([(2, "0130"), (9, "0130")], "cam_id long, time string")
     got = R.predict_profile(model, reports.hourly_profile(wide, measures), asked).collect()
     assert [(r.cam_id, r.congestion_prediction, r.m3) for r in got] == [(2, "Medium", 5.0)]
+
+
+def test_profile_prediction_fits_the_whole_forest(spark, monkeypatch):
+    """The query names no smaller forest than its operator's 280 trees of depth 19."""
+    class Seen(Exception):
+        pass
+
+    def fit(forest, rows):
+        raise Seen(forest.trees, forest.depth, len(forest.features))
+
+    monkeypatch.setattr(grow.Forest, "fit", fit)
+    with pytest.raises(Seen) as seen:
+        QUERIES["profile_prediction"](spark, "/root/testdata/sf0.001")
+    assert seen.value.args == (280, 19, 37)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import simhash
 from feedloom.llm.components import components
 from feedloom.llm.text import gram_hashes, let, spare, words
-from feedloom.session import cut_by_key, cut_lineage, release
+from feedloom.session import cut_by_key, cut_lineage, release, sized_at_run_time
 
 WIDTH, SHARE = 5, 0.8
 # Texts sampled for common shingles, common shingles held, texts of a shingle that are paired at
@@ -471,15 +471,8 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         "a", "na", "b", "nb")
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-               width: int = WIDTH, share: float = SHARE) -> DataFrame:
-    """One row of each component of near copies, that of the smallest id, with its columns.
-
-    Shingles are ``width`` lower-cased words; texts below that length, null and empty ones are
-    copies only of texts with the same words. Rows without an id and rows that repeat one are
-    rows like any other; a row with an id goes before one without. Columns may have any names;
-    an empty table gives an empty one. A text may be as long as memory holds one.
-    """
+def _kept(docs: DataFrame, doc_id: str, text: str, width: int, share: float):
+    """The rows as dealt, what names the one that stays of each component, and its columns."""
     k1, k2, who = (spare(docs, x) for x in ("k1", "k2", "who"))
     key = [k1, k2, who]
     digests = _halves(F.col(text))
@@ -500,6 +493,20 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     many = spare(docs, "many")
     kept = cut_lineage(best.select(*[F.col(f"r.{c}").alias(n) for n, c in zip(key, KEY)],
                                    (F.col("r.c") > 1).alias(many)))
+    return rows, kept, key, many
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+               width: int = WIDTH, share: float = SHARE) -> DataFrame:
+    """One row of each component of near copies, that of the smallest id, with its columns.
+
+    Shingles are ``width`` lower-cased words; texts below that length, null and empty ones are
+    copies only of texts with the same words. Rows without an id and rows that repeat one are
+    rows like any other; a row with an id goes before one without. Columns may have any names;
+    an empty table gives an empty one. A text may be as long as memory holds one.
+    """
+    with sized_at_run_time(docs.sparkSession):
+        rows, kept, key, many = _kept(docs, doc_id, text, width, share)
     left = rows.join(kept, key)
     once = left.filter(~F.col(many)).select(*docs.columns)
     return once.unionAll(left.filter(many).dropDuplicates(key).select(*docs.columns))

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,29 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def sized_at_run_time(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark broadcasts a table only once it has met its rows, or where it is told to, and
+    deletes the rows that a query exchanged as soon as the query ends.
+
+    Else it goes by the size of compressed files, which says little of short keys, lists or what an
+    explode makes of them, and exchanged rows stay on disk until the driver happens to collect
+    garbage.
+    """
+    static, adaptive, clean = (f"spark.sql.{n}" for n in (
+        "autoBroadcastJoinThreshold", "adaptive.autoBroadcastJoinThreshold",
+        "classic.shuffleDependency.fileCleanup.enabled"))
+    before = {n: spark.conf.get(n, None) for n in (static, adaptive, clean)}
+    spark.conf.set(adaptive, before[adaptive] or spark.conf.get(static))
+    spark.conf.set(static, "-1")
+    spark.conf.set(clean, "true")
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
 def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     spark = (

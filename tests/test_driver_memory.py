@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedloom.llm import simhash
+from feedloom.llm import near_copies, simhash
 from feedloom.operators import boxes as B
 from feedloom.session import cut_lineage
 
@@ -41,3 +41,24 @@ def test_cells_of_many_boxes_are_not_broadcast(spark, monkeypatch):
     assert len(want) > 500
     for found in (many, few):
         assert sorted((r.id, r.b) for r in found.collect()) == want
+
+
+def test_near_copies_are_sized_at_run_time(spark, monkeypatch):
+    """What the stage joins is broadcast once its rows are known, and its settings end with it."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+             "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = [spark.conf.get(n, None) for n in names]
+    seen, alike = [], near_copies._Texts.alike
+
+    def looked(texts, pairs, share):
+        seen.append(plan(texts.may(pairs, share)))
+        return alike(texts, pairs, share)
+
+    monkeypatch.setattr(near_copies._Texts, "alike", looked)
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda w: F.concat(
+        F.floor(F.col("id") / 2).cast("string"), F.lit("w"), w.cast("string"))))
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.when(
+        F.col("id") % 2 == 0, text).otherwise(F.concat(text, F.lit(" more"))).alias("text"))
+    assert sorted(r.doc_id for r in near_copies.keep_first(docs).collect()) == list(range(0, 40, 2))
+    assert seen and not any("BroadcastExchange" in p for p in seen)
+    assert [spark.conf.get(n, None) for n in names] == before

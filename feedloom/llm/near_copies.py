@@ -11,8 +11,9 @@ or two per shingle, each the parity of the shingles that fall on it, and two tex
 many shingles as parities at least. Texts that may be similar still are verified on all their
 shingles (64-bit hashes). No pair is missed.
 
-Linked are the pairs that matter to components. A shingle that few texts share gives all their
-pairs. Where many share one, each text is told against a leading text only: those like it are in its
+Linked are the pairs that matter to components. Of texts that share a shingle those go first whose
+sizes, places and parities leave them no partner among up to ``WIDE`` others, as texts that share no
+more than a common line. A shingle that few texts share gives all their pairs. Where many share one, each text is told against a leading text only: those like it are in its
 component. A pair of which one is not like it has either another shingle in common that the lead
 lacks, or a text smaller than the lead and as much in common within it as the pair needs. So the
 texts meet again, in prefixes of what the lead lacks, and the few that can be of the second kind
@@ -47,6 +48,8 @@ WIDTH, SHARE = 5, 0.8
 SAMPLE, HELD, PAIRED, ROUNDS, FEW, LONG = 4000, 100_000, 8, 4, 2, 64
 # Pairs of a text that make it a lead, leads looked at, hashes of leads broadcast at once.
 LED, LEADS, BROADCAST = 16, 10_000, 500_000
+# Texts of a shingle that are looked through in one task, words of parities compared at once.
+WIDE, WORDS = 2048, 1 << 21
 PRINT, PAIR, MANY = 0, 1, 2
 KEY = ["k1", "k2", "who"]
 LOW = (1 << 32) - 1
@@ -225,6 +228,62 @@ def _pairer(share: float, paired: int):
     return run
 
 
+def _partners(share: float):
+    """Of rows ``h, node, n, place, root, bits`` sorted by ``h`` those that may be like another of
+    the same ``h`` and another component. A task holds one batch and one run."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+            h = rows["h"].to_numpy()
+            last = int(np.searchsorted(h, h[-1], "left"))
+            held = rows.slice(last)
+            yield from kept(rows.slice(0, last))
+        if held is not None:
+            yield from kept(held)
+
+    def kept(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not rows.num_rows:
+            return
+        rows = rows.combine_chunks()
+        h, n, place, root = (rows[c].to_numpy().astype(np.int64) for c in ("h", "n", "place", "root"))
+        bits = rows["bits"].chunk(0)
+        # Of signed numbers numpy counts the bits of the absolute value.
+        words = bits.flatten().to_numpy().view(np.uint64)
+        ends = np.cumsum(bits.value_lengths().to_numpy())
+        hit = np.zeros(len(h), bool)
+        cuts = [0, *(np.flatnonzero(np.diff(h)) + 1), len(h)]
+        for a, b in zip(cuts, cuts[1:]):
+            hit[a:b] = _may_meet(n[a:b], place[a:b], root[a:b], ends[a:b],
+                                 np.diff(ends[a:b], prepend=ends[a - 1] if a else 0), words, share)
+        yield from rows.drop_columns("bits").filter(pa.array(hit)).combine_chunks().to_batches()
+    return run
+
+
+def _may_meet(n, place, root, ends, width, words, share: float) -> np.ndarray:
+    """Which texts may be like another, by sizes, places, components and parities, whose words
+    lie in ``words`` up to ``ends``. Sizes that are near have as many parities or twice as many."""
+    hit = np.zeros(len(n), bool)
+    for w in np.unique(width):
+        one, two = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        own = words[ends[one][:, None] - w + np.arange(w)]
+        more = words[ends[two][:, None] - 2 * w + np.arange(2 * w)]
+        others, theirs = np.append(one, two), np.concatenate((own, more[:, :w] ^ more[:, w:]))
+        step = max(1, WORDS // (len(others) * int(w)))
+        for first in range(0, len(one), step):
+            i = one[first:first + step, None]
+            both = np.ceil(share / (1 + share) * (n[i] + n[others]) - 1e-9)
+            fits = (np.minimum(n[i], n[others]) >= np.ceil(share * np.maximum(n[i], n[others]) - 1e-9)) \
+                & (np.minimum(n[i] - place[i], (n - place)[others]) >= both) & (root[i] != root[others])
+            a, b = np.nonzero(fits)
+            differ = np.bitwise_count(own[first + a] ^ theirs[b]).sum(axis=1, dtype=np.int64)
+            near = (n[one[first + a]] + n[others[b]] - differ) >= 2 * both[a, b]
+            hit[one[first + a[near]]] = hit[others[b[near]]] = True
+    return hit
+
+
 def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several texts of a sample hold, by hash, and how many do."""
     found = sets.select(F.explode("hs").alias("h")).groupBy("h").agg(F.count("*").alias("c"))
@@ -258,6 +317,19 @@ class _Texts:
         return pairs.filter(n - F.coalesce(differ, F.lit(0)) >= 2 * _need(n / (1 + share), share)) \
             .select("a", "na", "b", "nb")
 
+    def partnered(self, rooted: DataFrame, share: float) -> DataFrame:
+        """The rows ``h, node, n, place, root`` of shingles that texts of several components share,
+        without those that can be like no other, and how many ``were`` there; a cut. Of a shingle of
+        over ``WIDE`` texts all stay."""
+        names = ["h", "node", "n", "place", "root", "were"]
+        open_ = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                        F.count("*").alias("were")).filter("low <> high")
+        rows = rooted.join(open_.select("h", "were"), "h")
+        few = rows.filter(F.col("were") <= WIDE).join(self.bits, "node").select(*names, "bits")
+        few = few.repartition("h").sortWithinPartitions("h").mapInArrow(
+            _partners(share), "h long, node long, n int, place int, root long, were long")
+        return cut_lineage(few.unionAll(rows.filter(F.col("were") > WIDE).select(*names)))
+
     def at(self, of: DataFrame, node: str = "node") -> DataFrame:
         """The rows of ``of`` with the text of their node; ``of`` moves, texts stay."""
         placed = of.join(self.places.withColumnRenamed("node", node), node)
@@ -407,8 +479,8 @@ def links(texts: _Texts, nodes: DataFrame, share: float = SHARE) -> DataFrame:
         if many.isEmpty():
             break
         roots = cut_lineage(components(edges))
-        rooted = many.join(roots, "node", "left").select(
-            *many.columns, F.coalesce("root", "node").alias("root"))
+        rooted = texts.partnered(many.join(roots, "node", "left").select(
+            *many.columns, F.coalesce("root", "node").alias("root")), share)
         # A shingle whose texts are all in one component has nothing left to say. Of the others
         # the lead has the fewest rarer ones, as a text has that others were made from.
         open_ = rooted.groupBy("h").agg(
@@ -417,9 +489,11 @@ def links(texts: _Texts, nodes: DataFrame, share: float = SHARE) -> DataFrame:
             F.min_by(F.struct("node", "n"), F.struct("place", "node")).alias("lead"))
         open_ = open_.filter("low <> high").select("h", "small", "c", "lead")
         last, many = many, cut_lineage(rooted.join(open_, "h"))
+        release(rooted)
         if k:
             release(last)
-        long_ = F.col("c") > LONG
+        # As many as share a shingle, not as have a partner: those that do would be paired in full.
+        long_ = F.col("were") > LONG
         tries, led = many.agg(F.sum((F.col("c") - 1) / 2), F.count_if(long_)).first()
         if not tries:
             release(many, found)

@@ -137,3 +137,75 @@ def test_parities_bound_the_difference():
         assert len(one) * 64 >= min(64, n) and len(one) == len(two)
         differ = sum(bin(x & (1 << 64) - 1).count("1") for x in (one ^ two).tolist())
         assert differ <= len(np.setxor1d(a, b))
+
+
+def test_texts_that_share_a_common_line_only_are_not_told_against_a_lead(spark, monkeypatch):
+    """More texts of a shingle than are paired at once; only copies among them have a partner."""
+    rng, told = random.Random(11), []
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    line = text(40)
+    rows = [(i, " ".join(text(80) + line)) for i in range(150)]
+    rows += [(150 + i, t.replace(t.split()[70], "x")) for i, t in rows[:3]]
+    lookup = near_copies._Texts.told
+
+    def counted(texts, pairs, say):
+        told.append(pairs.count())
+        return lookup(texts, pairs, say)
+
+    monkeypatch.setattr(near_copies._Texts, "told", counted)
+    # No shingle is known to be common.
+    monkeypatch.setattr(near_copies, "_common", lambda sets: (np.array([], np.int64),) * 2)
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS).repartition(4)
+    got = sorted(r.doc_id for r in near_copies.keep_first(df).collect())
+    assert got == sorted(kept_ids(rows)) == list(range(150))
+    assert sum(told) <= 20
+
+
+def test_partners_are_all_that_may_be_like_another(monkeypatch):
+    """Sizes on both sides of a power of two, in small blocks too: no similar pair goes."""
+    rng = np.random.default_rng(4)
+    base, sets = [rng.integers(-2 ** 63, 2 ** 63 - 1, n) for n in (40, 62, 70, 300)], []
+    for own in base:
+        for cut in (0, 1, 3, 6, 20):
+            sets.append(np.unique(np.append(own[cut:], rng.integers(-2 ** 63, 2 ** 63 - 1, 2 * (cut == 3)))))
+    sets += [rng.integers(-2 ** 63, 2 ** 63 - 1, n) for n in (40, 62, 70, 300, 33, 128)]
+    n, root = np.array([len(s) for s in sets]), np.arange(len(sets))
+    bits = [near_copies._parities(s) for s in sets]
+    width = np.array([len(b) for b in bits])
+    like = [any(i != j and 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))
+                for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    for words in (near_copies.WORDS, 50):
+        monkeypatch.setattr(near_copies, "WORDS", words)
+        held = np.concatenate(bits).view(np.uint64)
+        hit = near_copies._may_meet(n, 0 * n, root, np.cumsum(width), width, held, 0.8)
+        assert not (np.array(like) & ~hit).any() and not hit[-6:].any() and len(set(width)) > 2
+        assert not near_copies._may_meet(n, 0 * n, 0 * root, np.cumsum(width), width, held, 0.8).any()
+
+
+def test_rows_of_a_shingle_over_several_batches_find_their_partners():
+    """As all pairs say by their parities, negative words among them."""
+    import pyarrow as pa
+
+    rng, rows = np.random.default_rng(6), []
+    for h in range(40):
+        base = rng.integers(-2 ** 63, 2 ** 63 - 1, 90)
+        for k in range(rng.integers(1, 9)):
+            own = np.unique(np.append(base[rng.integers(0, 30):], rng.integers(-2 ** 63, 2 ** 63 - 1, 5)))
+            rows.append((h, len(rows), len(own), int(rng.integers(0, 9)), int(rng.integers(0, 2)),
+                         near_copies._parities(own).tolist()))
+    want = set()
+    for a in rows:
+        for b in rows:
+            n, both = a[2] + b[2], -(-4 * (a[2] + b[2]) // 9)
+            if len(a[5]) == len(b[5]):
+                differ = sum(bin((x ^ y) & (1 << 64) - 1).count("1") for x, y in zip(a[5], b[5]))
+                if a[0] == b[0] and a[4] != b[4] and n - differ >= 2 * both and 5 * min(a[2], b[2]) >= 4 * max(
+                        a[2], b[2]) and min(a[2] - a[3], b[2] - b[3]) >= both:
+                    want |= {a[1], b[1]}
+    assert len({len(r[5]) for r in rows}) == 1 and 10 < len(want) < len(rows) - 10
+    schema = pa.schema([("h", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32()),
+                        ("root", pa.int64()), ("bits", pa.list_(pa.int64()))])
+    table = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+    for size in (7, 1000):
+        got = near_copies._partners(0.8)(iter(table.to_batches(max_chunksize=size)))
+        assert {x for b in got for x in b.column(1).to_pylist()} == want
